@@ -49,7 +49,8 @@ def difference(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str,
 
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+                                               "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, texts, bad = connect(folder), oracle.oracle_sql(), 0
     for name in sys.argv[2:] or registry.all_queries():

@@ -146,9 +146,11 @@ class Inputs:
         self.spark, self.folder, self.stream = spark, folder, stream
 
     def given(self, table: str) -> DataFrame:
-        path = f"{self.folder}/{table}.parquet"
-        batch = self.spark.read.parquet(path)
-        return self.spark.readStream.schema(batch.schema).parquet(path) if self.stream else batch
+        batch = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if not self.stream:
+            return batch
+        # A stream takes a folder or a pattern; the pattern fits a single file and a folder of parts.
+        return self.spark.readStream.schema(batch.schema).parquet(f"{self.folder}/{table}.parque[t]")
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name]

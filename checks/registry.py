@@ -74,7 +74,7 @@ def transport(t: Inputs) -> DataFrame:
 
 
 def status(t: Inputs) -> DataFrame:
-    return fleet.vehicle_status(t.telemetry, AS_OF)
+    return fleet.vehicle_status(t.telemetry, AS_OF, tie_break="event_id")
 
 
 def alerts(t: Inputs) -> DataFrame:
@@ -242,7 +242,8 @@ query("stream_national_summary")(lambda t: adoption.national_ev_summary(
 @query("stream_vehicle_status")
 def stream_vehicle_status(t: Inputs) -> DataFrame:
     work = work_folder(t.spark, "vehicle_status")
-    fleet_stream.refresh_status(streamed(t).telemetry, f"{work}/state", f"{work}/checkpoint").awaitTermination()
+    fleet_stream.refresh_status(
+        streamed(t).telemetry, f"{work}/state", f"{work}/checkpoint", tie_break="event_id").awaitTermination()
     return fleet_stream.current_status(t.spark, f"{work}/state", END_OF_EVENTS)
 
 

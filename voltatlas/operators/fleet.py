@@ -14,17 +14,14 @@ LATEST = ("battery_pct", "latitude", "longitude", "charging")
 
 
 def event_order(tie_break: str | None) -> Column:
-    """Key that orders a vehicle's events by event time.
+    """What orders a vehicle's events: the event time, then ``tie_break`` where the table has such a column.
 
-    With ``tie_break`` (a bigint column) equal times are settled by it. Both
-    go into one decimal, not a struct: a fixed-width key lets Spark aggregate
-    by hash, where a struct would make it sort all events by vehicle.
+    Without it, two events of one vehicle at the same microsecond leave open
+    which one is shown, and the fixed-width key lets Spark aggregate by hash.
+    With it the answer is settled, at the price of a sort by vehicle in each
+    task: about four times the time on 20 million events.
     """
-    if tie_break is None:
-        return F.col("event_timestamp")
-    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp")).cast("decimal(18,0)")
-    shift = F.lit("10000000000000000000").cast("decimal(20,0)")
-    return micros * shift + F.col(tie_break).cast("decimal(19,0)")
+    return F.col("event_timestamp") if tie_break is None else F.struct("event_timestamp", tie_break)
 
 
 def status_partials(order: Column) -> list[Column]:
@@ -66,7 +63,7 @@ def status_from_partials(per_vehicle: DataFrame) -> DataFrame:
 
 
 def vehicle_status(
-    telemetry: DataFrame, as_of: datetime, hours: int = 24, tie_break: str | None = "event_id"
+    telemetry: DataFrame, as_of: datetime, hours: int = 24, tie_break: str | None = None
 ) -> DataFrame:
     """Latest status of each vehicle over the events after ``as_of - hours``.
 

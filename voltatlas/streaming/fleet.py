@@ -20,21 +20,22 @@ from voltatlas.streaming.sink import put_batch, read_batches, run
 
 
 def bucket_partials(
-    telemetry: DataFrame, bucket_seconds: int = 60, keep_hours: int = 24, tie_break: str | None = "event_id"
+    telemetry: DataFrame, bucket_seconds: int = 60, keep_hours: int = 24, tie_break: str | None = None
 ) -> DataFrame:
     """Mergeable state per vehicle and bucket; late events are merged by event time.
 
     The model's cut is exclusive (later than ``as_of - 24 h``), so a bucket
     holds its end and not its start: windows run over the time less one
-    microsecond.
+    microsecond. Watermarks need an instant, which is why the session must
+    run in UTC.
     """
-    shifted = F.col("event_timestamp") - F.expr("interval 1 microsecond")
+    shifted = F.col("event_timestamp").cast("timestamp") - F.expr("interval 1 microsecond")
     return (
         telemetry.withColumn("shifted", shifted)
         .withWatermark("shifted", f"{keep_hours} hours")
         .groupBy("vin", F.window("shifted", f"{bucket_seconds} seconds").alias("bucket"))
         .agg(*status_partials(event_order(tie_break)))
-        .select("vin", F.col("bucket.end").alias("bucket_end"), "last_seen", "latest", *LATEST, "speed_sum", "speed_count")
+        .select("vin", F.col("bucket.end").cast("timestamp_ntz").alias("bucket_end"), "last_seen", "latest", *LATEST, "speed_sum", "speed_count")
     )
 
 
@@ -43,7 +44,7 @@ def refresh_status(
     state: str,
     checkpoint: str,
     bucket_seconds: int = 60,
-    tie_break: str | None = "event_id",
+    tie_break: str | None = None,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Writes the buckets each micro-batch changed; run it with a one-minute trigger in production."""
