@@ -88,8 +88,8 @@ def plate_months(vehicles: DataFrame, first_year: int = 2015) -> DataFrame:
 
 def plate_fuels(vehicles_fuel: DataFrame) -> DataFrame:
     """Fuel records per plate, one column per label: at most one row per plate."""
-    label = fuel_label(F.col("brandstof_omschrijving"))
-    return vehicles_fuel.groupBy("kenteken").agg(*[F.count_if(label == name).alias(name) for name in FUEL_LABELS])
+    labelled = vehicles_fuel.select("kenteken", fuel_label(F.col("brandstof_omschrijving")).alias("label"))
+    return labelled.groupBy("kenteken").agg(*[F.count_if(F.col("label") == name).alias(name) for name in FUEL_LABELS])
 
 
 def month_fuel_sums(months: DataFrame, fuels: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltatlas.functions import before, percentage, ratio, round_half_up
@@ -67,9 +68,16 @@ def budget_crossings(
         "start_time",
         "credits_used",
     )
-    limits = usage.sparkSession.createDataFrame(
-        [(pct, float(quota) * pct / 100) for pct in thresholds], "threshold_pct int, credit_limit double"
-    ).withColumn("credit_limit", F.col("credit_limit").cast("decimal(28,4)"))
+    limits = F.array(*[
+        F.struct(
+            F.lit(pct).alias("threshold_pct"),
+            F.lit(Decimal(str(quota)) * pct / 100).cast("decimal(28,4)").alias("credit_limit"),
+        )
+        for pct in thresholds
+    ])
+
+    def is_passed(limit: Column) -> Column:
+        return (F.col("base") < limit["credit_limit"]) & (F.col("upto") >= limit["credit_limit"])
 
     by_second = Window.partitionBy("month").orderBy("second").rowsBetween(Window.unboundedPreceding, 0)
     running = (
@@ -78,13 +86,10 @@ def budget_crossings(
         .withColumn("upto", F.sum("used").over(by_second))
         .withColumn("base", F.col("upto") - F.col("used"))
     )
-    # At most len(thresholds) rows per month come out of this, so broadcasting them is safe.
+    # At most one row per month and threshold comes out of this, so broadcasting it is safe.
     crossed = (
-        running.join(
-            F.broadcast(limits),
-            (F.col("base") < F.col("credit_limit")) & (F.col("upto") >= F.col("credit_limit")),
-        )
-        .select("month", "second", "threshold_pct", "credit_limit", "base")
+        running.withColumn("limit", F.explode(F.filter(limits, is_passed)))
+        .select("month", "second", "limit.*", "base")
     )
     moment = Window.partitionBy("month", "threshold_pct").orderBy("start_time").rowsBetween(
         Window.unboundedPreceding, 0)

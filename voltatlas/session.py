@@ -19,12 +19,22 @@ SETTINGS = {
 }
 
 
+# For large inputs: start with many small shuffle partitions and let Spark merge
+# them to the advised size, so that the plate joins fit into executor memory.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(app: str = "voltatlas", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the settings the jobs rely on; cluster sizing is left to the caller."""
+    """Session with the settings the jobs rely on; off a local master also those for large inputs."""
     builder = SparkSession.builder.appName(app)
+    local = (master or "").startswith("local")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS), **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

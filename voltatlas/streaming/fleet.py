@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from voltatlas.functions import before
 from voltatlas.operators.fleet import LATEST, event_order, merged_partials, status_from_partials, status_partials
-from voltatlas.streaming.sink import put_batch, read_batches, run
+from voltatlas.streaming.sink import run
 
 
 def bucket_partials(
@@ -47,10 +47,15 @@ def refresh_status(
     tie_break: str | None = None,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Writes the buckets each micro-batch changed; run it with a one-minute trigger in production."""
+    """Writes the buckets each micro-batch changed; run it with a one-minute trigger in production.
+
+    The state is kept by day, so a read touches the days of its window only
+    and older days can be deleted. A replayed batch replaces its own folders.
+    """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        put_batch(batch, state, batch_id)
+        keyed = batch.withColumn("day", F.to_date("bucket_end")).withColumn("batch_id", F.lit(batch_id))
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(state)
 
     partials = bucket_partials(telemetry, bucket_seconds, tie_break=tie_break)
     return run(partials, each_batch, checkpoint, mode="update", trigger=trigger)
@@ -63,7 +68,8 @@ def current_status(
     cut = as_of - timedelta(hours=hours)
     if (cut - datetime(1970, 1, 1)).total_seconds() % bucket_seconds:
         raise ValueError(f"as_of must be a multiple of {bucket_seconds} seconds")
-    written = read_batches(spark, state).where(F.col("bucket_end") > before(as_of, hours=hours))
+    written = spark.read.parquet(state).where(
+        (F.col("day") >= F.lit(cut.date())) & (F.col("bucket_end") > before(as_of, hours=hours)))
     values = ["last_seen", "latest", *LATEST, "speed_sum", "speed_count"]
     newest = written.groupBy("vin", "bucket_end").agg(*[F.max_by(name, "batch_id").alias(name) for name in values])
     return status_from_partials(newest.groupBy("vin").agg(*merged_partials()))
