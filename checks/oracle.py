@@ -157,6 +157,11 @@ LEFT JOIN (SELECT {region_of_area('postal_area')} AS region, sum(electric_vehicl
                   sum(total_vehicles)::bigint AS total,
                   {pct('sum(electric_vehicles)', 'sum(total_vehicles)', 2)} AS ev_share_pct
            FROM ev_by_region GROUP BY 1) e ON region = climate_region""",
+    "ev_weather_emissions": """
+SELECT g.registration_year AS year, g.ev_count AS total_evs, g.yoy_growth_percent,
+       w.avg_temp_celsius, w.freezing_hours, t.transport_co2_mt
+FROM ev_yoy_growth g LEFT JOIN weather_yearly w ON w.year = g.registration_year
+LEFT JOIN transport_emissions t ON t.year = g.registration_year WHERE g.registration_year >= 2015""",
     "vehicle_status": status_sql(AS_OF),
     "fleet_alerts": f"""
 SELECT brand, count(*) AS total_vehicles, count(*) FILTER (status = 'LOW_BATTERY') AS low_battery_count,
@@ -179,7 +184,7 @@ READS: dict[str, str] = {
         "ev_by_region", "charging_by_area", "vehicles_with_fuel", "national_ev_summary", "ev_growth_trends",
         "ev_yoy_growth", "fuel_per_month", "chargers_per_postcode", "fuel_per_postcode", "ev_infrastructure",
         "weather_yearly", "weather_monthly", "transport_emissions", "total_emissions", "regional_weather_ev",
-        "vehicle_status", "fleet_alerts",
+        "ev_weather_emissions", "vehicle_status", "fleet_alerts",
     )
 }
 READS |= {
@@ -192,11 +197,6 @@ FROM (SELECT {region_of_station('stationname')} AS climate_region, avg(temp) AS
       FROM weather_hourly WHERE temp IS NOT NULL GROUP BY 1) w
 LEFT JOIN (SELECT {region_of_area('left(postcode, 2)')} AS region, sum(aantal) FILTER (brandstof = 'E') AS evs, sum(aantal) AS total
            FROM vehicles_by_postcode WHERE voertuigsoort = 'Personenauto' GROUP BY 1) e ON region = climate_region""",
-    "ev_weather_emissions": """
-SELECT g.registration_year AS year, g.ev_count AS total_evs, g.yoy_growth_percent,
-       w.avg_temp_celsius, w.freezing_hours, t.transport_co2_mt
-FROM ev_yoy_growth g LEFT JOIN weather_yearly w ON w.year = g.registration_year
-LEFT JOIN transport_emissions t ON t.year = g.registration_year WHERE g.registration_year >= 2015""",
     "fleet_summary": f"""
 SELECT brand, count(*) AS total_vehicles, count(*) FILTER (status = 'LOW_BATTERY') AS low_battery_count,
        count(*) FILTER (status = 'CHARGING') AS charging_count,
@@ -218,6 +218,13 @@ FROM vehicle_status GROUP BY brand""",
     "row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, {n}::bigint AS expected FROM {name}"
         for name, n in EXPECTED_ROWS.items()),
+    "view_row_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, NULL::bigint AS expected FROM {name}"
+        for name in ("weather_yearly", "weather_monthly", "transport_emissions", "total_emissions",
+                     "ev_weather_emissions", "regional_weather_ev")),
+    "vehicle_count": "SELECT 'Count all vehicles' AS query, count(*) AS result FROM vehicles",
+    "classified_count": "SELECT 'Join vehicles + fuel' AS query, count(*) AS result FROM vehicles_with_fuel",
+    "telemetry_payload": "SELECT event_id, vin, battery_pct AS battery, latitude AS lat FROM telemetry",
     "plate_overlap": "SELECT count(DISTINCT v.kenteken) AS overlap_count FROM vehicles v "
                      "JOIN vehicles_fuel f ON f.kenteken = v.kenteken",
     "fuel_frequencies": "SELECT brandstof_omschrijving, count(*) AS count FROM vehicles_fuel GROUP BY ALL",

@@ -116,6 +116,12 @@ query("late_json_field")(lambda t: t.given("events").select(
     landing.late_field(F.parse_json("props"), "k").alias("k"),
     landing.late_field(F.parse_json("props"), "new_field").alias("new_field")))
 
+query("telemetry_payload")(lambda t: t.telemetry.select("event_id", landing.telemetry_payload().alias("raw_json")).select(
+    "event_id",
+    landing.field(F.col("raw_json"), "vin").alias("vin"),
+    landing.field(F.col("raw_json"), "battery", "int").alias("battery"),
+    landing.field(F.col("raw_json"), "location.lat", "double").alias("lat")))
+
 
 def ingested(t: Inputs, view: str, table: str) -> DataFrame:
     return landing.rows_of(t.pages(view), table).drop("raw_json")
@@ -135,7 +141,24 @@ query("scan_emissions")(lambda t: t.emissions.select("date", "geo_id", "variable
 EXPECTED_ROWS = {"vehicles_by_postcode": 46645, "charging_capacity": 3139, "vehicles_fuel": 50000,
                  "parking_address": 3382, "vehicles": 50000}
 
-query("row_counts")(lambda t: explore.row_counts({name: (t.view(name), n) for name, n in EXPECTED_ROWS.items()}))
+query("row_counts")(lambda t: explore.row_counts({name: t.view(name) for name in EXPECTED_ROWS}, EXPECTED_ROWS))
+
+
+@query("view_row_counts")
+def view_row_counts(t: Inputs) -> DataFrame:
+    yearly = climate.weather_yearly(t.weather_hourly)
+    return explore.row_counts({
+        "weather_yearly": yearly,
+        "weather_monthly": climate.weather_monthly(t.weather_hourly),
+        "transport_emissions": transport(t),
+        "total_emissions": climate.total_emissions(t.emissions),
+        "ev_weather_emissions": climate.ev_weather_emissions(growth(t), yearly, transport(t)),
+        "regional_weather_ev": climate.regional_weather_ev(t.weather_hourly, regions(t)),
+    })
+
+
+query("vehicle_count")(lambda t: explore.labelled_count(t.vehicles, "Count all vehicles"))
+query("classified_count")(lambda t: explore.labelled_count(classified(t), "Join vehicles + fuel"))
 query("plate_overlap")(lambda t: explore.key_overlap(t.vehicles, t.vehicles_fuel, "kenteken"))
 query("fuel_frequencies")(lambda t: explore.frequencies(t.vehicles_fuel, "brandstof_omschrijving"))
 query("category_frequencies")(lambda t: explore.frequencies(classified(t), "fuel_category"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from voltatlas.operators import access, adoption, climate, curated, fleet, quality, usage
+from voltatlas.plans import explore
 
 POSTCODE = "postcode string, voertuigsoort string, brandstof string, extern_oplaadbaar string, aantal int"
 
@@ -212,6 +213,11 @@ def test_freshness(spark):
         ("a", 61, True), ("b", 60, False), ("c", None, True)]
 
 
+def test_row_counts_with_and_without_expectation(spark):
+    found = explore.row_counts({"a": spark.range(3), "b": spark.range(0)}, {"a": 5})
+    assert rows(found) == [("a", 3, 5), ("b", 0, None)]
+
+
 def test_published_models(spark, tmp_path):
     models = {"ev_growth_trends": spark.range(3), "vehicles_with_fuel": spark.range(9)}
     assert access.publish(models, str(tmp_path)) == ["ev_growth_trends"]

@@ -56,6 +56,13 @@ def test_written_tables_equal_the_models(lake):
     assert rows(lake.read("curated", "vehicle_status")) == rows(fleet.vehicle_status(given.telemetry, AS_OF))
 
 
+def test_status_reads_the_days_of_its_window(lake):
+    lake, _, _ = lake
+    df = fleet.vehicle_status(lake.read("raw", "telemetry_raw"), AS_OF)
+    text = df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "event_date#" in text and ">= 2024-01-29" in text.split("PartitionFilters")[1].splitlines()[0]
+
+
 def test_invariants(lake):
     lake, _, _ = lake
     regions = lake.read("curated", "ev_by_region")
@@ -89,5 +96,7 @@ def test_sql_over_the_layers(spark, lake):
     assert top.count() == 10
     share = spark.sql("SELECT registration_year, ev_share_percent FROM ANALYTICS.EV_YOY_GROWTH WHERE registration_year >= 2015")
     assert share.count() == 11
+    events = spark.sql("SELECT count(*) FROM raw.telemetry_raw WHERE event_date >= DATE '2024-01-15'").first()[0]
+    assert 0 < events < lake.read("raw", "telemetry_raw").count()
     field = spark.sql("SELECT DISTINCT raw_json:merk::string AS merk FROM raw.vehicles_raw")
     assert field.count() == 4

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,9 +68,12 @@ def vehicle_status(
     """Latest status of each vehicle over the events after ``as_of - hours``.
 
     Each task reduces its events to one row per vehicle before the shuffle,
-    so a vehicle with a third of all events costs no more than any other.
+    so a vehicle with a third of all events costs no more than any other. Where
+    the table is kept by day, only the days of the window are read.
     """
     recent = telemetry.where(F.col("event_timestamp") > before(as_of, hours=hours))
+    if "event_date" in telemetry.columns:
+        recent = recent.where(F.col("event_date") >= F.lit((as_of - timedelta(hours=hours)).date()))
     return status_from_partials(recent.groupBy("vin").agg(*status_partials(event_order(tie_break))))
 
 

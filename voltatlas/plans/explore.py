@@ -15,13 +15,14 @@ from voltatlas.functions import round_half_up, since_year
 from voltatlas.operators.climate import HOME_COUNTRY, TOTAL_CO2, hours_below
 
 
-def row_counts(tables: dict[str, tuple[DataFrame, int]]) -> DataFrame:
-    """Rows of each table beside the expected number."""
+def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = None) -> DataFrame:
+    """Rows of each table, beside the expected number where there is one."""
+    expected = expected or {}
     parts = [
         df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count", F.lit(expected).cast("bigint").alias("expected")
+            F.lit(name).alias("table_name"), "row_count", F.lit(expected.get(name)).cast("bigint").alias("expected")
         )
-        for name, (df, expected) in tables.items()
+        for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -44,6 +45,10 @@ def filtered_count(df: DataFrame, condition: Column, name: str) -> DataFrame:
     return df.where(condition).agg(F.count("*").alias(name))
 
 
+def labelled_count(df: DataFrame, label: str) -> DataFrame:
+    return df.agg(F.count("*").alias("result")).select(F.lit(label).alias("query"), "result")
+
+
 def weather_sample(weather: DataFrame, first_year: int = 2024, limit: int = 10) -> DataFrame:
     """First observations from a year on, under readable names."""
     return (

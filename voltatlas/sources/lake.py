@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
-from voltatlas.sources.schemas import EMISSIONS, LAYERS, RAW_TABLES, WEATHER_HOURLY
+from voltatlas.sources.schemas import DAY_OF, EMISSIONS, LAYERS, RAW_TABLES, WEATHER_HOURLY
 
 
 @dataclass(frozen=True)
@@ -25,27 +26,34 @@ class Lake:
 
     def exists(self, layer: str, table: str) -> bool:
         try:
-            return bool(self.spark.read.parquet(self.path(layer, table)).schema)
+            return bool(self.read(layer, table).schema)
         except AnalysisException:
             return False
 
+    def read(self, layer: str, table: str) -> DataFrame:
+        reader = self.spark.read
+        if layer == "raw" and table in RAW_TABLES:
+            schema = StructType([*RAW_TABLES[table]])
+            reader = reader.schema(schema.add(DAY_OF[table][0], DateType()) if table in DAY_OF else schema)
+        return reader.parquet(self.path(layer, table))
+
     def create_missing(self, tables: dict[str, StructType] | None = None) -> list[str]:
         """Empty raw tables with types and column comments, where there are none yet."""
         created = []
         for table, schema in (tables or RAW_TABLES).items():
             if not self.exists("raw", table):
-                self.spark.createDataFrame([], schema).write.parquet(self.path("raw", table))
+                self.append(self.spark.createDataFrame([], schema), table)
                 created.append(table)
         return created
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
-
     def append(self, df: DataFrame, table: str) -> None:
         """Adds rows to a raw table, column by column in the table's order."""
-        schema = RAW_TABLES[table]
-        df.select(*[df[field.name].cast(field.dataType).alias(field.name) for field in schema]).write.mode(
-            "append").parquet(self.path("raw", table))
+        rows = df.select(*[df[field.name].cast(field.dataType).alias(field.name) for field in RAW_TABLES[table]])
+        writer = rows.write
+        if table in DAY_OF:
+            day, moment = DAY_OF[table]
+            writer = rows.withColumn(day, F.to_date(moment)).write.partitionBy(day)
+        writer.mode("append").parquet(self.path("raw", table))
 
     def replace(self, df: DataFrame, layer: str, table: str) -> None:
         """Replaces a table; running it twice leaves the same rows."""
@@ -60,6 +68,8 @@ class Lake:
             if self.exists(layer, table):
                 self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
                 self.spark.catalog.createTable(f"{layer}.{table}", path=self.path(layer, table), source="parquet")
+                if layer == "raw" and table in DAY_OF:
+                    self.spark.catalog.recoverPartitions(f"{layer}.{table}")
                 mounted.append(f"{layer}.{table}")
         return mounted
 

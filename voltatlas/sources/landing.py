@@ -69,6 +69,16 @@ def late_field(raw: Column, name: str, kind: str = "string") -> Column:
     return F.try_variant_get(raw, f"$.{name}", kind)
 
 
+def telemetry_payload() -> Column:
+    """The nested record kept beside the typed columns of a telemetry event."""
+    return F.to_variant_object(F.struct(
+        "vin",
+        F.col("battery_pct").alias("battery"),
+        F.col("speed_kmh").alias("speed"),
+        F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")).alias("location"),
+    ))
+
+
 def typed(records: DataFrame, table: str) -> DataFrame:
     """Columns of the raw table from its records, with the whole record as ``raw_json``."""
     value = F.col("value")

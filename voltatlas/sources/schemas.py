@@ -80,6 +80,10 @@ EMISSIONS = _table(
 
 LAYERS = ("raw", "curated", "analytics")
 
+# Folder column and the time it comes from. Parquet statistics do not prune on
+# timestamps without a zone, so a table read by its last hours is kept by day.
+DAY_OF = {"telemetry_raw": ("event_date", "event_timestamp")}
+
 
 def without_raw(schema: T.StructType) -> T.StructType:
     """The typed columns only; a stream that reads these never touches the raw record."""

@@ -46,19 +46,26 @@ def refresh_status(
     bucket_seconds: int = 60,
     tie_break: str | None = None,
     trigger: dict[str, object] | None = None,
+    state_partitions: int | None = None,
+    files_per_day: int = 4,
 ) -> StreamingQuery:
     """Writes the buckets each micro-batch changed; run it with a one-minute trigger in production.
 
     The state is kept by day, so a read touches the days of its window only
     and older days can be deleted. A replayed batch replaces its own folders.
+    Spark does not adapt the plan of a stateful stream, so both sizes are set
+    here: ``state_partitions`` for the life of the checkpoint, and the files a
+    batch writes per day it touches.
     """
+    slot = F.pmod(F.xxhash64("vin", "bucket_end"), F.lit(files_per_day))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         keyed = batch.withColumn("day", F.to_date("bucket_end")).withColumn("batch_id", F.lit(batch_id))
-        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(state)
+        keyed.repartition("day", slot).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day", "batch_id").parquet(state)
 
     partials = bucket_partials(telemetry, bucket_seconds, tie_break=tie_break)
-    return run(partials, each_batch, checkpoint, mode="update", trigger=trigger)
+    return run(partials, each_batch, checkpoint, mode="update", trigger=trigger, partitions=state_partitions)
 
 
 def current_status(

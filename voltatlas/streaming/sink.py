@@ -30,15 +30,28 @@ def run(
     checkpoint: str,
     mode: str = "append",
     trigger: dict[str, object] | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Starts the query; by default it works through what is there and stops."""
-    return (
+    """Starts the query; by default it works through what is there and stops.
+
+    ``partitions`` is the number of state partitions. A query takes it from the
+    session when it first starts, so the session's own setting is put back after.
+    """
+    writer = (
         stream.writeStream.foreachBatch(each_batch)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
-        .start()
     )
+    if partitions is None:
+        return writer.start()
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, partitions)
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
 
 
 def fold(partials: DataFrame, keys: list[str]) -> DataFrame:
