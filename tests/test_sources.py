@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from voltatlas.session import work_folder
 from voltatlas.sources import landing
 from voltatlas.sources.lake import Lake, read_emissions, read_weather
 from voltatlas.sources.paged import DATASETS, PagedJsonReader, read_pages
@@ -144,3 +145,18 @@ def test_external_tables(spark, tmp_path):
     spark.createDataFrame([], EMISSIONS).write.parquet(str(tmp_path / "e"))
     assert read_weather(spark, str(tmp_path / "w")).columns == WEATHER_HOURLY.fieldNames()
     assert read_emissions(spark, str(tmp_path / "e")).columns == EMISSIONS.fieldNames()
+
+
+def test_work_folder(spark):
+    folder = work_folder(spark, "status")
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir")) and folder != work_folder(spark, "status")
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError):
+        work_folder(Cluster, "status")
