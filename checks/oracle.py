@@ -202,8 +202,8 @@ SELECT brand, count(*) AS total_vehicles, count(*) FILTER (status = 'LOW_BATTERY
        count(*) FILTER (status = 'CHARGING') AS charging_count,
        {rnd('avg(current_battery)', 1)} AS avg_battery, {rnd('avg(avg_speed_kmh)', 1)} AS avg_speed
 FROM vehicle_status GROUP BY brand""",
-    "page_offsets": "SELECT (place - 1)::bigint AS page_offset FROM "
-                    "(SELECT row_number() OVER () AS place FROM orders) o WHERE (place - 1) % 1000 = 0",
+    "page_offsets": "SELECT DISTINCT ((place - 1) // 1000 * 1000)::bigint AS page_offset FROM "
+                    "(SELECT row_number() OVER () AS place FROM orders) o",
     "json_fields": "SELECT event_id, cast(json_extract_string(props, '$.k') AS int) AS k FROM events",
     "late_json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k, "
                        "json_extract_string(props, '$.new_field') AS new_field FROM events",
@@ -264,7 +264,7 @@ FROM (SELECT fuel_category, registration_year, count(*) AS vehicle_count FROM ve
     "top_regions": "SELECT * FROM ev_by_region ORDER BY ev_percentage DESC NULLS LAST, postal_area LIMIT 10",
     "top_charger_postcodes": "SELECT * FROM chargers_per_postcode ORDER BY aantal DESC NULLS LAST, postcode LIMIT 10",
     "top_infrastructure_gaps":
-        "SELECT * FROM ev_infrastructure ORDER BY evs_per_charging_point DESC NULLS LAST, postal_area LIMIT 70",
+        "SELECT * FROM ev_infrastructure ORDER BY evs_per_charging_point DESC NULLS LAST, postal_area LIMIT 10",
     "first_fuel_postcodes": "SELECT * FROM fuel_per_postcode ORDER BY postcode, brandstof LIMIT 20",
     "fleet_metrics": f"""
 SELECT 'Total Vehicles' AS metric, count(*)::varchar AS value FROM vehicle_status
@@ -396,7 +396,7 @@ WHERE spent >= {QUOTA} * threshold_pct / 100 GROUP BY ALL""",
 SELECT model, target_lag_seconds, last_refresh, date_sub('second', last_refresh, {END_OF_EVENTS}) AS lag_seconds,
        coalesce(date_sub('second', last_refresh, {END_OF_EVENTS}) > target_lag_seconds, true) AS is_late
 FROM targets LEFT JOIN (SELECT model, max(refreshed_at) AS last_refresh FROM refresh_log GROUP BY 1) r USING (model)""",
-    "stream_vehicle_status": status_sql(END_OF_EVENTS),
+    "stream_vehicle_status": status_sql("TIMESTAMP '2024-01-31 00:10:30'"),
 }
 READS |= {f"stream_{name}": READS[name] for name in (
     "ev_by_region", "charging_by_area", "ev_growth_trends", "fuel_per_postcode", "fuel_per_month",

@@ -30,6 +30,7 @@ MIN_TOTAL = 7000
 MIN_TOTAL_LARGE = 8000
 QUOTA = 4000
 END_OF_EVENTS = datetime(2024, 1, 31)
+AFTER_EVENTS = datetime(2024, 1, 31, 0, 10, 30)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -178,7 +179,7 @@ query("category_year_mix")(lambda t: explore.category_year_mix(classified(t)))
 query("top_regions")(lambda t: explore.top(regions(t), "ev_percentage", 10, "postal_area"))
 query("top_charger_postcodes")(lambda t: explore.top(chargers(t), "aantal", 10, "postcode"))
 query("top_infrastructure_gaps")(
-    lambda t: explore.top(infrastructure(t), "evs_per_charging_point", 70, "postal_area"))
+    lambda t: explore.top(infrastructure(t), "evs_per_charging_point", 10, "postal_area"))
 query("first_fuel_postcodes")(lambda t: adoption.fuel_per_postcode(t.vehicles_by_postcode).orderBy(
     "postcode", "brandstof").limit(20))
 query("fleet_metrics")(lambda t: explore.fleet_metrics(status(t)))
@@ -267,7 +268,7 @@ def stream_vehicle_status(t: Inputs) -> DataFrame:
     work = work_folder(t.spark, "vehicle_status")
     fleet_stream.refresh_status(
         streamed(t).telemetry, f"{work}/state", f"{work}/checkpoint", tie_break="event_id").awaitTermination()
-    return fleet_stream.current_status(t.spark, f"{work}/state", END_OF_EVENTS)
+    return fleet_stream.current_status(t.spark, f"{work}/state", AFTER_EVENTS, t.telemetry, tie_break="event_id")
 
 
 @query("stream_null_counts")

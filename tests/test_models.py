@@ -213,6 +213,11 @@ def test_freshness(spark):
         ("a", 61, True), ("b", 60, False), ("c", None, True)]
 
 
+def test_top_puts_missing_values_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("c", 2.0), ("d", 2.0)], "k string, x double")
+    assert [r.k for r in explore.top(df, "x", 4, "k").collect()] == ["c", "d", "b", "a"]
+
+
 def test_row_counts_with_and_without_expectation(spark):
     found = explore.row_counts({"a": spark.range(3), "b": spark.range(0)}, {"a": 5})
     assert rows(found) == [("a", 3, 5), ("b", 0, None)]

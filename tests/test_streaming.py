@@ -97,24 +97,31 @@ def test_join_model_by_postcode(spark, given, tmp_path):
 AS_OF = datetime(2024, 1, 31)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_status_with_shuffled_batches(spark, given, tmp_path, seed):
+@pytest.mark.parametrize(("seed", "bucket"), [(1, 3600), (2, 60)])
+def test_status_with_shuffled_batches(spark, given, tmp_path, seed, bucket):
     source = written(given.telemetry, tmp_path / "in", 6, seed)
     state, checkpoint = str(tmp_path / "state"), tmp_path / "checkpoint"
-    full = rows(fleet.vehicle_status(given.telemetry, AS_OF, tie_break="event_id"))
-    assert full
+
+    def streamed(as_of):
+        return rows(fleet_stream.current_status(
+            spark, state, as_of, given.telemetry, bucket_seconds=bucket, tie_break="event_id"))
+
+    def full(as_of):
+        return rows(fleet.vehicle_status(given.telemetry, as_of, tie_break="event_id"))
+
     for _ in range(2):
-        fleet_stream.refresh_status(stream(spark, source), state, str(checkpoint), tie_break="event_id").awaitTermination()
-        assert rows(fleet_stream.current_status(spark, state, AS_OF)) == full
+        fleet_stream.refresh_status(
+            stream(spark, source), state, str(checkpoint), bucket, tie_break="event_id", state_partitions=3).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+        assert streamed(AS_OF) == full(AS_OF) != []
         forget_last_commit(checkpoint)
-    # A later look at the same state forgets what has left its window.
-    later = AS_OF + timedelta(hours=12)
-    assert rows(fleet_stream.current_status(spark, state, later)) == rows(
-        fleet.vehicle_status(given.telemetry, later, tie_break="event_id"))
+    # A later look at the same state forgets what has left its window; it may fall anywhere within an hour.
+    for later in (timedelta(hours=12), timedelta(minutes=7, seconds=3, microseconds=1), timedelta(hours=30)):
+        assert streamed(AS_OF + later) == full(AS_OF + later)
 
 
-def test_status_at_bucket_edges(spark, tmp_path):
-    """Events on the edge of the window and a late event; the batch model says what counts."""
+def test_status_at_the_cut(spark, tmp_path):
+    """Events around the cut and on bucket edges, late ones among them; the batch model says what counts."""
     kinds = "event_id bigint, vin string, event_timestamp timestamp_ntz, battery_pct int, latitude double, " \
             "longitude double, speed_kmh int, charging boolean"
     noon, micro = datetime(2024, 1, 2, 12), timedelta(microseconds=1)
@@ -122,13 +129,19 @@ def test_status_at_bucket_edges(spark, tmp_path):
     events = [(0, "VW-EV-1", noon - timedelta(hours=24), 1, 0.0, 0.0, 100, False),
               (1, "VW-EV-1", noon - timedelta(hours=24) + micro, 2, 0.0, 0.0, 50, False),
               (2, "VW-EV-2", noon - timedelta(hours=24), 3, 0.0, 0.0, 50, False),
-              (3, "VW-EV-3", noon, 4, 0.0, 0.0, None, False)]
+              (3, "VW-EV-3", noon, 4, 0.0, 0.0, None, False),
+              (4, "VW-EV-9", noon - timedelta(hours=23), 5, 0.0, 0.0, 7, True),
+              (5, "VW-EV-8", noon - timedelta(hours=23) + micro, 6, 0.0, 0.0, 7, True)]
     events += [(i, f"VW-EV-{rng.randrange(4)}", noon - timedelta(minutes=rng.randrange(1441)), rng.randrange(101),
-                0.0, 0.0, rng.randrange(130), rng.random() < 0.5) for i in range(4, 200)]
+                0.0, 0.0, rng.randrange(130), rng.random() < 0.5) for i in range(6, 200)]
     df = spark.createDataFrame(events, kinds)
     source, state = written(df, tmp_path / "in", 5), str(tmp_path / "state")
     fleet_stream.refresh_status(stream(spark, source), state, str(tmp_path / "c"), tie_break="event_id").awaitTermination()
-    assert rows(fleet_stream.current_status(spark, state, noon)) == rows(fleet.vehicle_status(df, noon, tie_break="event_id"))
+    by_day = df.withColumn("event_date", F.to_date("event_timestamp"))
+    for as_of in (noon, noon + micro, noon + timedelta(minutes=30), noon + timedelta(hours=1) - micro,
+                  noon + timedelta(hours=1), noon + timedelta(hours=1) + micro, noon + timedelta(hours=23)):
+        found = fleet_stream.current_status(spark, state, as_of, by_day, tie_break="event_id")
+        assert rows(found) == rows(fleet.vehicle_status(df, as_of, tie_break="event_id"))
     with pytest.raises(ValueError):
         fleet_stream.current_status(spark, state, noon + timedelta(seconds=1))
 

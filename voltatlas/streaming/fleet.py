@@ -1,9 +1,9 @@
 """Latest status per vehicle from a stream of telemetry.
 
-The stream keeps one state row per vehicle and time bucket, and the watermark
-drops buckets that can no longer lie within the last day. A status for the
-last 24 hours is the merge of the buckets after the cut, which equals the
-batch model for any ``as_of`` on a bucket's edge.
+The stream keeps one state row per vehicle and hour, and the watermark drops
+hours that can no longer lie within the last day. A status for the last 24
+hours merges the whole hours after the cut with the events between the cut and
+the next full hour, read from the raw table. That equals the batch model.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from voltatlas.functions import before
+from voltatlas.functions import timestamp
 from voltatlas.operators.fleet import LATEST, event_order, merged_partials, status_from_partials, status_partials
 from voltatlas.streaming.sink import run
 
 
 def bucket_partials(
-    telemetry: DataFrame, bucket_seconds: int = 60, keep_hours: int = 24, tie_break: str | None = None
+    telemetry: DataFrame, bucket_seconds: int = 3600, keep_hours: int = 24, tie_break: str | None = None
 ) -> DataFrame:
     """Mergeable state per vehicle and bucket; late events are merged by event time.
 
@@ -43,7 +43,7 @@ def refresh_status(
     telemetry: DataFrame,
     state: str,
     checkpoint: str,
-    bucket_seconds: int = 60,
+    bucket_seconds: int = 3600,
     tie_break: str | None = None,
     trigger: dict[str, object] | None = None,
     state_partitions: int | None = None,
@@ -69,14 +69,33 @@ def refresh_status(
 
 
 def current_status(
-    spark: SparkSession, state: str, as_of: datetime, hours: int = 24, bucket_seconds: int = 60
+    spark: SparkSession,
+    state: str,
+    as_of: datetime,
+    raw: DataFrame | None = None,
+    hours: int = 24,
+    bucket_seconds: int = 3600,
+    tie_break: str | None = None,
 ) -> DataFrame:
-    """Status per vehicle over the events after ``as_of - hours``; ``as_of`` must lie on a bucket's edge."""
+    """Status per vehicle over the events after ``as_of - hours``.
+
+    ``raw`` is the telemetry table; it is needed unless the cut lies on a
+    bucket's edge, and then read for that one bucket only.
+    """
     cut = as_of - timedelta(hours=hours)
-    if (cut - datetime(1970, 1, 1)).total_seconds() % bucket_seconds:
-        raise ValueError(f"as_of must be a multiple of {bucket_seconds} seconds")
+    into_bucket = timedelta(microseconds=(cut - datetime(1970, 1, 1)) // timedelta(microseconds=1) % (bucket_seconds * 10**6))
+    edge = cut - into_bucket + timedelta(seconds=bucket_seconds) if into_bucket else cut
     written = spark.read.parquet(state).where(
-        (F.col("day") >= F.lit(cut.date())) & (F.col("bucket_end") > before(as_of, hours=hours)))
+        (F.col("day") >= F.lit(edge.date())) & (F.col("bucket_end") > timestamp(edge)))
     values = ["last_seen", "latest", *LATEST, "speed_sum", "speed_count"]
-    newest = written.groupBy("vin", "bucket_end").agg(*[F.max_by(name, "batch_id").alias(name) for name in values])
-    return status_from_partials(newest.groupBy("vin").agg(*merged_partials()))
+    partials = written.groupBy("vin", "bucket_end").agg(
+        *[F.max_by(name, "batch_id").alias(name) for name in values]).select("vin", *values)
+    if into_bucket:
+        if raw is None:
+            raise ValueError("as_of lies within a bucket: pass the raw telemetry for the part after the cut")
+        moment = F.col("event_timestamp")
+        part = raw.where((moment > timestamp(cut)) & (moment <= timestamp(edge)))
+        if "event_date" in raw.columns:
+            part = part.where(F.col("event_date").between(F.lit(cut.date()), F.lit(edge.date())))
+        partials = partials.unionByName(part.groupBy("vin").agg(*status_partials(event_order(tie_break))))
+    return status_from_partials(partials.groupBy("vin").agg(*merged_partials()))
