@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltatlas.functions import (
-    area_of, climate_region_of_area, climate_region_of_station, percentage, round_half_up, since_year,
+    climate_region_of_area, climate_region_of_station, percentage, ratio, round_half_up, since_year,
 )
-from voltatlas.operators.curated import PASSENGER_CAR
+from voltatlas.operators.curated import region_sums
 
 # Keys of the emissions series.
 HOME_COUNTRY = "country/NLD"
@@ -55,59 +55,61 @@ def total_emissions(emissions: DataFrame, first_year: int = 2010) -> DataFrame:
     return emissions_in_megatonnes(emissions, TOTAL_CO2, "total_co2_mt", first_year)
 
 
+def climate_by_region(weather: DataFrame) -> DataFrame:
+    """Temperatures per climate region.
+
+    Hours are summed per station first, so that station names are searched
+    once per station and not once per hour.
+    """
+    stations = weather.groupBy("stationname").agg(
+        F.sum("temp").alias("degrees"),
+        F.count("temp").alias("hours"),
+        F.min("temp").alias("lowest"),
+        hours_below(0).alias("freezing"),
+        hours_below(-5).alias("extreme"),
+    )
+    return stations.groupBy(climate_region_of_station(F.col("stationname")).alias("climate_region")).agg(
+        round_half_up(ratio(F.sum("degrees"), F.sum("hours")), 1).alias("mean"),
+        round_half_up(F.min("lowest"), 1).alias("lowest"),
+        F.sum("freezing").alias("total_freezing_hours"),
+        F.sum("extreme").alias("total_extreme_cold_hours"),
+    )
+
+
+def adoption_by_region(areas: DataFrame) -> DataFrame:
+    """Electric and all cars per climate region, from sums per postal area."""
+    return areas.groupBy(climate_region_of_area(F.col("postal_area")).alias("region")).agg(
+        F.sum("electric_vehicles").alias("evs"), F.sum("total_vehicles").alias("total")
+    )
+
+
 def regional_weather_ev(weather: DataFrame, ev_by_region: DataFrame, first_year: int = 2020) -> DataFrame:
     """Recent climate of a region beside its adoption.
 
     The region's name comes from the adoption side, so a climate region
     without areas keeps its weather under a NULL name.
     """
-    climate = (
-        weather.where(since_year(F.col("time"), first_year))
-        .groupBy(climate_region_of_station(F.col("stationname")).alias("climate_region"))
-        .agg(
-            round_half_up(F.avg("temp"), 1).alias("avg_temp"),
-            hours_below(0).alias("total_freezing_hours"),
-            hours_below(-5).alias("total_extreme_cold_hours"),
-        )
-    )
-    adoption = (
-        ev_by_region.groupBy(climate_region_of_area(F.col("postal_area")).alias("region"))
-        .agg(F.sum("electric_vehicles").alias("evs"), F.sum("total_vehicles").alias("total"))
-        .withColumn("ev_share_pct", percentage(F.col("evs"), F.col("total"), 2))
-    )
+    climate = climate_by_region(weather.where(since_year(F.col("time"), first_year)))
+    adoption = adoption_by_region(ev_by_region)
     return climate.join(adoption, climate.climate_region == adoption.region, "left").select(
-        "region", "evs", "total", "ev_share_pct", "avg_temp", "total_freezing_hours", "total_extreme_cold_hours"
+        "region", "evs", "total",
+        percentage(F.col("evs"), F.col("total"), 2).alias("ev_share_pct"),
+        F.col("mean").alias("avg_temp"), "total_freezing_hours", "total_extreme_cold_hours",
     )
 
 
 def regional_climate_extremes(weather: DataFrame, vehicles_by_postcode: DataFrame) -> DataFrame:
     """All years, with the lowest temperature; a region without cars shows zeroes."""
-    climate = (
-        weather.where(F.col("temp").isNotNull())
-        .groupBy(climate_region_of_station(F.col("stationname")).alias("climate_region"))
-        .agg(
-            F.avg("temp").alias("mean"),
-            F.min("temp").alias("lowest"),
-            hours_below(0).alias("total_freezing_hours"),
-            hours_below(-5).alias("total_extreme_cold_hours"),
-        )
-    )
-    adoption = (
-        vehicles_by_postcode.where(F.col("voertuigsoort") == PASSENGER_CAR)
-        .groupBy(climate_region_of_area(area_of(F.col("postcode"))).alias("climate_region"))
-        .agg(
-            F.sum(F.when(F.col("brandstof") == "E", F.col("aantal")).otherwise(0)).alias("evs"),
-            F.sum("aantal").alias("total"),
-        )
-    )
+    climate = climate_by_region(weather.where(F.col("temp").isNotNull()))
+    adoption = adoption_by_region(region_sums(vehicles_by_postcode))
     evs = F.coalesce("evs", F.lit(0))
-    return climate.join(adoption, "climate_region", "left").select(
+    return climate.join(adoption, climate.climate_region == adoption.region, "left").select(
         "climate_region",
         evs.alias("total_evs"),
         F.coalesce("total", F.lit(0)).alias("total_vehicles"),
         percentage(evs, F.col("total"), 1).alias("ev_share_pct"),
-        round_half_up(F.col("mean"), 1).alias("avg_temp_c"),
-        round_half_up(F.col("lowest"), 1).alias("coldest_temp_c"),
+        F.col("mean").alias("avg_temp_c"),
+        F.col("lowest").alias("coldest_temp_c"),
         "total_freezing_hours", "total_extreme_cold_hours",
     )
 
