@@ -161,6 +161,15 @@ class Inputs:
         record = F.parse_json(F.to_json(F.struct(*view.columns)))
         return view.withColumn("raw_json", record).drop("parkingaddressreference")
 
+    def raw_tables(self) -> dict[str, DataFrame]:
+        """The raw tables as loaded: typed columns beside the whole record."""
+        tables = {f"{name}_raw": self.view(name) for name in (
+            "vehicles", "vehicles_fuel", "charging_capacity", "vehicles_by_postcode", "telemetry")}
+        loaded = {
+            name: df.withColumn("raw_json", F.parse_json(F.to_json(F.struct(*df.columns)))) for name, df in tables.items()
+        }
+        return {**loaded, "parking_address_raw": self.parking_address_raw}
+
     def pages(self, name: str, limit: int = 1000) -> DataFrame:
         """Pages of at most ``limit`` records of a view as JSON arrays."""
         records = self.view(name).select(F.to_json(F.struct("*")).alias("record"))

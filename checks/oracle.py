@@ -401,6 +401,22 @@ FROM targets LEFT JOIN (SELECT model, max(refreshed_at) AS last_refresh FROM ref
 READS |= {f"stream_{name}": READS[name] for name in (
     "ev_by_region", "charging_by_area", "ev_growth_trends", "fuel_per_postcode", "fuel_per_month",
     "chargers_per_postcode", "null_counts")}
+READS["published_groups"] = READS["dealer_extract"]
+READS["published_models"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS table_name, count(*) AS row_count FROM {cte}" for model, cte in (
+        ("ev_growth_trends", "ev_growth_trends"), ("ev_yoy_growth", "ev_yoy_growth"),
+        ("ev_infrastructure_correlation", "ev_infrastructure")))
+READS["full_refresh"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS table_name, count(*) AS row_count FROM {cte}" for model, cte in (
+        ("ev_by_region", "ev_by_region"), ("charging_by_area", "charging_by_area"),
+        ("vehicles_with_fuel", "vehicles_with_fuel"), ("national_ev_summary", "national_ev_summary"),
+        ("ev_growth_trends", "ev_growth_trends"), ("ev_yoy_growth", "ev_yoy_growth"),
+        ("brandstof_per_postcode_datum", "fuel_per_month"), ("laadpalen_per_postcode", "chargers_per_postcode"),
+        ("brandstof_per_postcode", "fuel_per_postcode"), ("ev_infrastructure_correlation", "ev_infrastructure"),
+        ("nl_weather_yearly", "weather_yearly"), ("nl_monthly_weather", "weather_monthly"),
+        ("nl_transport_emissions", "transport_emissions"), ("nl_total_emissions", "total_emissions"),
+        ("regional_weather_ev_correlation", "regional_weather_ev"), ("ev_weather_emissions", "ev_weather_emissions"),
+        ("vehicle_status", "vehicle_status"), ("fleet_alerts", "fleet_alerts")))
 READS["stream_national_summary"] = READS["national_ev_summary"]
 
 

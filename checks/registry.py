@@ -16,9 +16,10 @@ from checks.inputs import AS_OF, Inputs
 from voltatlas.functions import since_year
 from voltatlas.operators import access, adoption, climate, curated, fleet, quality, usage
 from voltatlas.operators.climate import HOME_COUNTRY, TOTAL_CO2, TRANSPORT_CO2
-from voltatlas.plans import dashboard, explore
+from voltatlas.plans import dashboard, explore, refresh
 from voltatlas.session import work_folder
 from voltatlas.sources import landing
+from voltatlas.sources.lake import Lake
 from voltatlas.streaming import incremental
 from voltatlas.streaming import fleet as fleet_stream
 from voltatlas.streaming import quality as quality_stream
@@ -231,6 +232,38 @@ query("budget_use")(lambda t: usage.budget_use(t.usage_log, QUOTA))
 query("budget_crossings")(lambda t: usage.budget_crossings(t.usage_log, QUOTA))
 query("freshness")(lambda t: usage.freshness(t.refresh_log, t.targets(), END_OF_EVENTS))
 
+# --- written tables --------------------------------------------------------------------
+
+
+@query("full_refresh")
+def full_refresh(t: Inputs) -> DataFrame:
+    """Loads the raw tables, runs the full refresh and counts the rows of every written model."""
+    lake = Lake(t.spark, work_folder(t.spark, "lake"))
+    lake.create_missing()
+    for table, df in t.raw_tables().items():
+        lake.append(df, table)
+    refresh.refresh_all(
+        lake, {"weather_hourly": t.weather_hourly, "emissions": t.emissions},
+        as_of=AS_OF, min_total_summary=MIN_TOTAL, min_total_infrastructure=MIN_TOTAL)
+    return explore.row_counts({model.name: lake.read(model.layer, model.name) for model in refresh.MODELS}).drop("expected")
+
+
+@query("published_models")
+def published_models(t: Inputs) -> DataFrame:
+    folder = work_folder(t.spark, "share")
+    models = {"ev_growth_trends": adoption.ev_growth_trends(classified(t)), "ev_yoy_growth": growth(t),
+              "ev_infrastructure_correlation": infrastructure(t), "vehicles_with_fuel": classified(t)}
+    names = access.publish(models, folder)
+    return explore.row_counts({name: t.spark.read.parquet(f"{folder}/{name}") for name in names}).drop("expected")
+
+
+@query("published_groups")
+def published_groups(t: Inputs) -> DataFrame:
+    folder = work_folder(t.spark, "dealers")
+    access.publish_by_group(access.dealer_extract(infrastructure(t)), folder)
+    return t.spark.read.parquet(folder)
+
+
 # --- incremental refresh ---------------------------------------------------------------
 
 

@@ -22,14 +22,7 @@ def lake(spark, tmp_path_factory):
     lake = Lake(spark, str(tmp_path_factory.mktemp("lake")))
     given = Inputs(spark, f"{GIVEN}/sf0.001")
     lake.create_missing()
-    tables = {
-        "vehicles_raw": given.vehicles, "vehicles_fuel_raw": given.vehicles_fuel,
-        "parking_address_raw": given.parking_address_raw, "charging_capacity_raw": given.charging_capacity,
-        "vehicles_by_postcode_raw": given.vehicles_by_postcode, "telemetry_raw": given.telemetry,
-    }
-    for table, df in tables.items():
-        if "raw_json" not in df.columns:
-            df = df.withColumn("raw_json", F.parse_json(F.to_json(F.struct(*df.columns))))
+    for table, df in given.raw_tables().items():
         lake.append(df, table)
     external = {"weather_hourly": given.weather_hourly, "emissions": given.emissions}
     for _ in range(2):  # a second run replaces everything

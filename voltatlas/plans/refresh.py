@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from voltatlas.functions import timestamp
 from voltatlas.operators import adoption, climate, curated, fleet
 from voltatlas.sources.lake import Lake
 
@@ -71,10 +73,9 @@ def refresh_all(lake: Lake, external: dict[str, DataFrame] | None = None, **opti
     def table(name: str) -> DataFrame | None:
         if name in external:
             return external[name]
-        layer = layer_of.get(name, "raw")
-        if layer != "raw" and name not in refreshed:
-            return None
-        return lake.read(layer, name) if lake.exists(layer, name) else None
+        if name in layer_of:
+            return lake.read(layer_of[name], name) if name in refreshed else None
+        return lake.read("raw", name) if lake.exists("raw", name) else None
 
     for model in MODELS:
         inputs = [table(name) for name in model.inputs]
@@ -89,8 +90,8 @@ def refresh_all(lake: Lake, external: dict[str, DataFrame] | None = None, **opti
 
 def log_refresh(lake: Lake, model: Model) -> None:
     now = datetime.now(timezone.utc).replace(tzinfo=None)
-    row = lake.spark.createDataFrame([(model.name, now)], "model string, refreshed_at timestamp_ntz")
-    row.coalesce(1).write.mode("append").parquet(lake.path("analytics", "refresh_log"))
+    row = lake.spark.range(1).select(F.lit(model.name).alias("model"), timestamp(now).alias("refreshed_at"))
+    row.write.mode("append").parquet(lake.path("analytics", "refresh_log"))
 
 
 def refresh_targets(lake: Lake) -> DataFrame:
