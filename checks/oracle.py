@@ -82,7 +82,8 @@ SELECT kenteken,
        fuel_type,
        CASE WHEN lower(fuel_type) LIKE '%hybride%' THEN 'Hybrid'
             ELSE coalesce(map {{'elektriciteit': 'Electric', 'elektrisch': 'Electric', 'waterstof': 'Hydrogen',
-                               'benzine': 'Petrol', 'diesel': 'Diesel', 'lpg': 'LPG', 'cng': 'Gas', 'lng': 'Gas'}}[lower(fuel_type)],
+                               'benzine': 'Petrol', 'diesel': 'Diesel', 'lpg': 'LPG', 'cng': 'Gas',
+                               'lng': 'Gas'}}[lower(fuel_type)],
                           'Other') END AS fuel_category,
        coalesce({LOW_CARBON}, false) AS is_ev_or_hybrid
 FROM (SELECT kenteken, brandstof_omschrijving AS fuel_type FROM vehicles_fuel) f""",
@@ -190,12 +191,14 @@ READS: dict[str, str] = {
 READS |= {
     "regional_climate_extremes": f"""
 SELECT climate_region, coalesce(evs, 0)::bigint AS total_evs, coalesce(total, 0)::bigint AS total_vehicles,
-       {pct('coalesce(evs, 0)', 'total', 1)} AS ev_share_pct, {rnd('mean', 1)} AS avg_temp_c, {rnd('lowest', 1)} AS coldest_temp_c,
+       {pct('coalesce(evs, 0)', 'total', 1)} AS ev_share_pct,
+       {rnd('mean', 1)} AS avg_temp_c, {rnd('lowest', 1)} AS coldest_temp_c,
        total_freezing_hours, total_extreme_cold_hours
 FROM (SELECT {region_of_station('stationname')} AS climate_region, avg(temp) AS mean, min(temp) AS lowest,
              count(*) FILTER (temp < 0) AS total_freezing_hours, count(*) FILTER (temp < -5) AS total_extreme_cold_hours
       FROM weather_hourly WHERE temp IS NOT NULL GROUP BY 1) w
-LEFT JOIN (SELECT {region_of_area('left(postcode, 2)')} AS region, sum(aantal) FILTER (brandstof = 'E') AS evs, sum(aantal) AS total
+LEFT JOIN (SELECT {region_of_area('left(postcode, 2)')} AS region,
+                  sum(aantal) FILTER (brandstof = 'E') AS evs, sum(aantal) AS total
            FROM vehicles_by_postcode WHERE voertuigsoort = 'Personenauto' GROUP BY 1) e ON region = climate_region""",
     "fleet_summary": f"""
 SELECT brand, count(*) AS total_vehicles, count(*) FILTER (status = 'LOW_BATTERY') AS low_battery_count,
@@ -294,8 +297,10 @@ WHERE total_vehicles > {MIN_TOTAL_LARGE} ORDER BY ev_percentage DESC NULLS LAST,
 SELECT {rnd('avg(evs_per_charging_point)', 2)} AS avg_evs_per_charger,
        first(region_name ORDER BY evs_per_charging_point DESC, electric_vehicles DESC, postal_area) AS most_underserved,
        max(evs_per_charging_point) AS most_underserved_ratio,
-       first(electric_vehicles ORDER BY evs_per_charging_point DESC, electric_vehicles DESC, postal_area) AS most_underserved_evs,
-       first(charging_points ORDER BY evs_per_charging_point DESC, electric_vehicles DESC, postal_area) AS most_underserved_points,
+       first(electric_vehicles ORDER BY evs_per_charging_point DESC, electric_vehicles DESC, postal_area)
+           AS most_underserved_evs,
+       first(charging_points ORDER BY evs_per_charging_point DESC, electric_vehicles DESC, postal_area)
+           AS most_underserved_points,
        first(region_name ORDER BY evs_per_charging_point, electric_vehicles DESC, postal_area) AS best_served,
        min(evs_per_charging_point) AS best_served_ratio
 FROM adoption_and_chargers""",

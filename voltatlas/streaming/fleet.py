@@ -19,6 +19,9 @@ from voltatlas.operators.fleet import LATEST, event_order, merged_partials, stat
 from voltatlas.streaming.sink import run
 
 
+STATE = ("last_seen", "latest", *LATEST, "speed_sum", "speed_count")
+
+
 def bucket_partials(
     telemetry: DataFrame, bucket_seconds: int = 3600, keep_hours: int = 24, tie_break: str | None = None
 ) -> DataFrame:
@@ -35,7 +38,7 @@ def bucket_partials(
         .withWatermark("shifted", f"{keep_hours} hours")
         .groupBy("vin", F.window("shifted", f"{bucket_seconds} seconds").alias("bucket"))
         .agg(*status_partials(event_order(tie_break)))
-        .select("vin", F.col("bucket.end").cast("timestamp_ntz").alias("bucket_end"), "last_seen", "latest", *LATEST, "speed_sum", "speed_count")
+        .select("vin", F.col("bucket.end").cast("timestamp_ntz").alias("bucket_end"), *STATE)
     )
 
 
@@ -54,9 +57,10 @@ def refresh_status(
     The state is kept by day, so a read touches the days of its window only
     and older days can be deleted. A replayed batch replaces its own folders.
     Spark does not adapt the plan of a stateful stream, so both sizes are set
-    here: ``state_partitions`` for the life of the checkpoint, and the files a
-    batch writes per day it touches.
+    here: ``state_partitions`` for the life of the checkpoint (by default the
+    cores there are), and the files a batch writes per day it touches.
     """
+    state_partitions = state_partitions or telemetry.sparkSession.sparkContext.defaultParallelism
     slot = F.pmod(F.xxhash64("vin", "bucket_end"), F.lit(files_per_day))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -87,9 +91,8 @@ def current_status(
     edge = cut - into_bucket + timedelta(seconds=bucket_seconds) if into_bucket else cut
     written = spark.read.parquet(state).where(
         (F.col("day") >= F.lit(edge.date())) & (F.col("bucket_end") > timestamp(edge)))
-    values = ["last_seen", "latest", *LATEST, "speed_sum", "speed_count"]
-    partials = written.groupBy("vin", "bucket_end").agg(
-        *[F.max_by(name, "batch_id").alias(name) for name in values]).select("vin", *values)
+    newest = [F.max_by(name, "batch_id").alias(name) for name in STATE]
+    partials = written.groupBy("vin", "bucket_end").agg(*newest).select("vin", *STATE)
     if into_bucket:
         if raw is None:
             raise ValueError("as_of lies within a bucket: pass the raw telemetry for the part after the cut")
