@@ -260,8 +260,9 @@ def published_models(t: Inputs) -> DataFrame:
 @query("published_groups")
 def published_groups(t: Inputs) -> DataFrame:
     folder = work_folder(t.spark, "dealers")
-    access.publish_by_group(access.dealer_extract(infrastructure(t)), folder)
-    return t.spark.read.parquet(folder)
+    extract = access.dealer_extract(infrastructure(t))
+    access.publish_by_group(extract, folder)
+    return t.spark.read.schema(extract.schema).parquet(folder)  # also where no area passes the threshold
 
 
 # --- incremental refresh ---------------------------------------------------------------
