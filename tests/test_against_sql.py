@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.oracle import oracle_sql
+from checks.registry import all_queries as queries
 from checks.compare import connect, difference
 from tests.conftest import GIVEN
 
