@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def in_chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
               most: int = CHARS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that a chunk holds few characters, or a single row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         start = total = 0
         for row, size in enumerate(sizes.tolist()):
             if total and total + size > most:
