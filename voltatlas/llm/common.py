@@ -36,7 +36,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the folder all executors share and reads it back, so that later steps start from files."""
     spark = df.sparkSession
     folder = work_folder(spark, f"llm-{purpose}")
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe
+from voltatlas.llm import bpe, host_rules
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +23,64 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary())
 
 
+def op5_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return host_rules.judge(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op5_host_rules": op5_host_rules,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the method.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_host_rules": r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS i, doc_id, source, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT i, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
+         generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS n
+  FROM raw
+), windows AS (
+  SELECT * FROM (
+    SELECT i, n, word, lead(word) OVER w AS second, lead(word, 2) OVER w AS third
+    FROM words WINDOW w AS (PARTITION BY i ORDER BY n)) WHERE third IS NOT NULL
+), repeated AS (
+  SELECT i, n FROM (SELECT i, n, count(*) OVER (PARTITION BY i, word, second, third) AS times FROM windows)
+  WHERE times > 1
+), covered AS (
+  SELECT i, count(DISTINCT n + step) AS n_repeat_words FROM repeated, (VALUES (0), (1), (2)) s(step) GROUP BY i
+), counted AS (
+  SELECT i, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY i
+), lines AS (
+  SELECT i, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT i, unnest(string_split(text, chr(10))) AS line FROM raw)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY i
+), measures AS (
+  SELECT doc_id, source, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM raw LEFT JOIN counted USING (i) LEFT JOIN lines USING (i) LEFT JOIN covered USING (i)
+), hosts AS (
+  SELECT source, rule, count(*) AS n, sum(failed::INT) AS k FROM (
+    SELECT source, unnest(['short', 'repeating', 'symbols', 'copied_lines']) AS rule,
+           unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words,
+                   10 * n_dup_lines > n_words]) AS failed
+    FROM measures WHERE source IS NOT NULL) GROUP BY source, rule
+), moments AS (
+  SELECT rule, sum(k) / sum(n) AS mean, var_pop(k / n) AS variance FROM hosts GROUP BY rule
+), priors AS (
+  SELECT rule, mean, CASE WHEN variance > 0
+    THEN least(greatest(mean * (1 - mean) / variance - 1, 2), 10000) ELSE 10000 END AS weight FROM moments
+), rejected AS (
+  SELECT DISTINCT source FROM hosts JOIN priors USING (rule)
+  JOIN (VALUES ('short', 0.8), ('repeating', 0.5), ('symbols', 0.5), ('copied_lines', 0.5)) l(rule, most) USING (rule)
+  WHERE (k + mean * weight) / (n + weight) > most
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND coalesce(source NOT IN (SELECT source FROM rejected), true) AS kept
+FROM measures
+""",
+}
