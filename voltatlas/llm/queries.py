@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules
+from voltatlas.llm import bpe, host_rules, mixing, sharding
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,19 @@ def op5_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op5_host_rules": op5_host_rules,
+    "op6_mixing": op6_mixing,
+    "op7_sharding": op7_sharding,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the method.
