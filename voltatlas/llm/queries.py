@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules, mixing, sharding
+from voltatlas.llm import bpe, host_rules, mixing, pii, sharding
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,11 +35,16 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op5_host_rules": op5_host_rules,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the method.
