@@ -51,10 +51,9 @@ def spread_sample(rows: DataFrame, group: str, per_group: int, key: str = "doc_i
     Ids fall into ``per_group`` hash bins and each bin keeps one, so the bound
     holds for tables of any size and no sort or window is needed.
     """
-    hashed = F.xxhash64(F.col(key), F.lit(17))
     return rows.where(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(
-        F.col(group), F.pmod(hashed, F.lit(per_group)).alias("bin")).agg(
-        F.min(F.xxhash64(F.col(key), F.lit(29)) ).alias("least"), F.min(F.col(key)).alias(key)).select(group, key)
+        F.col(group), F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(per_group)).alias("bin")).agg(
+        F.min(F.col(key)).alias(key)).select(group, key)
 
 
 def in_chunks(batches: Iterator[pa.RecordBatch], text: str = "text",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules, mixing, pii, sharding
+from voltatlas.llm import bpe, host_rules, language, mixing, pii, sharding
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary())
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 def op5_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.judge(table(spark, folder, "documents"))
 
@@ -41,6 +46,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_language": op2_language,
     "op5_host_rules": op5_host_rules,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
