@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import os
+from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +31,11 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; also lets Python tasks import this package from its folder where it is not installed."""
+    own = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if own not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, own)))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -70,5 +77,3 @@ def in_chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
         if start < len(sizes):
             yield batch.slice(start)
 
-
-ArrowTask = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules, language, mixing, pii, quality, sharding
+from voltatlas.llm import bpe, host_rules, language, mixing, pii, quality, sharding, toxicity
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.rate(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.rate(docs, quality.learn(docs, table(spark, folder, "labels")))
@@ -52,6 +57,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_host_rules": op5_host_rules,
     "op6_mixing": op6_mixing,
