@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules, language, mixing, pii, quality, sharding, toxicity
+from voltatlas.llm import bpe, host_rules, language, mixing, pii, quality, sharding, shingle_join, toxicity
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"))
 
 
+def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.classes(table(spark, folder, "documents"))
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op5_host_rules": op5_host_rules,
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
+    "op8_shingle_join": op8_shingle_join,
     "op10_pii": op10_pii,
 }
 

@@ -78,10 +78,8 @@ def shingles(words: Words, size: int) -> list[np.ndarray]:
             found = np.sort(rolled[first:first + count - size + 1])
             out.append(found[np.append(True, found[1:] != found[:-1])])
         elif count:
-            value = np.uint64(0)
-            for one in hashes[first:first + count]:
-                value = value * _BASE + one
-            out.append(mix(np.array([value + np.uint64(count)], dtype=np.uint64)))
+            own = hashes[first:first + count] * powers(count)[::-1]
+            out.append(mix(np.add.reduce(own, keepdims=True) + np.uint64(count)))
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
