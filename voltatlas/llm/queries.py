@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, host_rules, language, mixing, pii, quality, sharding, shingle_join, toxicity
+from voltatlas.llm import bpe, grid_join, host_rules, language, mixing, pii, quality, sharding, shingle_join, toxicity
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.classes(table(spark, folder, "documents"))
 
 
+def op9_grid_join(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_join.near_copies(table(spark, folder, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op7_sharding": op7_sharding,
     "op8_shingle_join": op8_shingle_join,
+    "op9_grid_join": op9_grid_join,
     "op10_pii": op10_pii,
 }
 
@@ -120,5 +125,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
          AND coalesce(source NOT IN (SELECT source FROM rejected), true) AS kept
 FROM measures
+""",
+    "op9_grid_join": """
+WITH RECURSIVE usable AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS i, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.i AS a, b.i AS b, b.vec_id FROM usable a JOIN usable b
+    ON a.i <> b.i AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached(i, j, vec_id) AS (
+  SELECT a, b, vec_id FROM links UNION SELECT r.i, l.b, l.vec_id FROM reached r JOIN links l ON l.a = r.j
+), least AS (
+  SELECT i, min(vec_id) AS vec_id FROM reached GROUP BY i
+), counted AS (
+  SELECT a AS i, count(*) AS n FROM links GROUP BY a
+), found AS (
+  SELECT u.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(u.vec_id, coalesce(l.vec_id, u.vec_id)) AS component_id
+  FROM usable u LEFT JOIN least l USING (i) LEFT JOIN counted USING (i)
+  UNION ALL
+  SELECT vec_id, 0, vec_id FROM embeddings WHERE vec_id IS NULL OR embedding IS NULL OR len(embedding) = 0
+    OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0
+    OR len(list_filter(embedding, lambda x: x <> 0)) = 0
+)
+SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM found
 """,
 }
