@@ -128,7 +128,7 @@ def learn(docs: DataFrame, held_remainder: int = 2, divisor: int = 4) -> Model:
     schema = T.StructType([rows.schema["doc_id"], rows.schema["lang"], T.StructField("bits", T.BinaryType())])
     # Rows that repeat an id come once: the bound holds for them too.
     found = few.mapInArrow(task, schema).groupBy("lang", "doc_id").agg(F.min("bits").alias("bits")).toPandas()
-    found = found[[any(value) for value in found["bits"]]].sort_values(["lang", "doc_id"])
+    found = found[found["bits"].map(any).astype(bool)].sort_values(["lang", "doc_id"])
     x = np.unpackbits(np.frombuffer(b"".join(found["bits"]), dtype=np.uint8)).reshape(len(found), PLACES)
     return Model(x, found["lang"].tolist())
 
