@@ -151,7 +151,7 @@ def frequent_tokens(counts: DataFrame, sets: int) -> np.ndarray:
 
 
 def keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, sig, n, rare (single keys of the set) and whether the key is a combination, for every set."""
+    """key, sig, n, the numbers of single and of all keys of the set, and whether the key is a combination."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,16 +174,21 @@ def keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     pa.array(np.repeat(np.array([part[2] for part in parts], dtype=np.int64), counts)),
                     pa.array(np.repeat(np.array([part[3] for part in parts], dtype=np.int32), counts)),
                     pa.array(np.repeat(np.array([len(part[0]) for part in parts], dtype=np.int32), counts)),
+                    pa.array(np.repeat(counts.astype(np.int32), counts)),
                     pa.array(np.concatenate([np.arange(len(a) + len(b)) >= len(a) for a, b, _, _ in parts]))],
-                    ["key", "sig", "n", "rare", "combined"])
+                    ["key", "sig", "n", "rare", "total", "combined"])
 
-    return pick(docs, "text").mapInArrow(task, "key long, sig long, n int, rare int, combined boolean")
+    return pick(docs, "text").mapInArrow(task, "key long, sig long, n int, rare int, total int, combined boolean")
 
 
 #: Hubs of a key: the set that is least after its signature is turned by one of these numbers.
 TURNS = (0, 0x2545F4914F6CDD1D)
 
 
+#: A set is compared with a hub if they share this part of the set's keys, one in so many.
+STAR_SHARE = 4
+
+
 def members(all_keys: DataFrame) -> DataFrame:
     """The keys that different sets share, each set once, and the hubs of each key."""
     group = "partition by key"
@@ -198,10 +203,11 @@ def star_pairs(found: DataFrame) -> DataFrame:
     pairs = None
     for n in range(len(TURNS)):
         hub = F.col(f"hub{n}")
-        best = found.groupBy("sig", hub.alias("hub")).agg(F.count(F.lit(1)).alias("shared")).groupBy("sig").agg(
-            F.sum("shared").alias("keys"),
+        best = found.groupBy("sig", hub.alias("hub")).agg(
+            F.count(F.lit(1)).alias("shared"), F.max("total").alias("total")).groupBy("sig").agg(
+            F.max("total").alias("total"),
             F.max(F.when(F.col("hub") != F.col("sig"), F.struct("shared", "hub"))).alias("best")).where(
-            F.col("best").isNotNull() & (5 * F.col("best.shared") >= F.col("keys"))).select(
+            F.col("best").isNotNull() & (STAR_SHARE * F.col("best.shared") >= F.col("total"))).select(
             F.least("sig", "best.hub").alias("a"), F.greatest("sig", "best.hub").alias("b"))
         pairs = best if pairs is None else pairs.union(best)
     return pairs.distinct()
@@ -231,47 +237,84 @@ def cross_pairs(found: DataFrame, joined: DataFrame) -> DataFrame:
         F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b"))
 
 
-def compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of signatures whose sets reach the similarity; token sets are made anew for the documents needed."""
-    pairs = stored(pairs, "pairs")
+def bit_table(ids: DataFrame) -> DataFrame:
+    """The filter's words that have a bit set for some doc_id: at most FILTER_BITS / 64 rows, so it may be broadcast."""
+    return ids.where("doc_id is not null").groupBy(F.expr(
+        f"cast(shiftright(pmod(xxhash64(doc_id), {FILTER_BITS}), 6) as int)").alias("word")).agg(F.bit_or(F.expr(
+            f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) & 63 as int))")).alias("bits"))
+
+
+def suspected(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Adds hit: true for every row whose doc_id is among the ids, and for few others; no row is shuffled."""
+    word = F.expr(f"cast(shiftright(pmod(xxhash64(doc_id), {FILTER_BITS}), 6) as int)")
+    return rows.withColumn("word", word).join(F.broadcast(bit_table(ids)), "word", "left").withColumn(
+        "hit", F.coalesce(F.expr(f"doc_id is not null and getbit(bits, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) "
+                                 "& 63 as int)) = 1"), F.lit(False))).drop("word", "bits")
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit for each token in a vector of eight to sixteen times as many bits, a power of two."""
+    bits = np.zeros(8 << max(len(tokens) - 1, 0).bit_length(), dtype=np.uint8)
+    bits[(tokens % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_common(one: np.ndarray, two: np.ndarray, n_one: int, n_two: int) -> int:
+    """Tokens two sets have in common at most, by their sketches.
+
+    A bit both have set stands for one common token at most, but for the
+    tokens that had to share a bit with another one.
+    """
+    size = min(len(one), len(two))
+    one, two = (np.bitwise_or.reduce(side.reshape(-1, size), axis=0) for side in (one, two))
+    count = lambda bits: int(np.bitwise_count(bits).sum())
+    return count(one & two) + min(n_one - count(one), n_two - count(two))
+
+
+def may_link(one: pa.Scalar, two: pa.Scalar, n_one: int, n_two: int) -> bool:
+    one, two = (np.frombuffer(side.as_buffer(), dtype=np.uint8) for side in (one, two))
+    return (UNDER + OVER) * most_common(one, two, n_one, n_two) >= OVER * (n_one + n_two)
+
+
+def do_link(one: pa.Scalar, two: pa.Scalar, n_one: int, n_two: int) -> bool:
+    one, two = (np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in (one, two))
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return UNDER * common >= OVER * (n_one + n_two - common)
+
+
+def passing(docs: DataFrame, sets: DataFrame, pairs: DataFrame, form, test) -> DataFrame:
+    """The pairs that pass a test on a form of their sets, which is made anew from the texts of the documents needed."""
     needed = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     ids = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(needed, "sig")
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = ids.groupBy(F.shiftright(bit, 6).cast("int").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) & 63 as int))")).alias("bits"))
-    found = words.toPandas()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    wanted = docs.sparkSession.sparkContext.broadcast(table)
-    rows = pick(docs, "doc_id", "text").select(bit.alias("bit"), "text")
-
-    def sets_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = wanted.value
+    rows = suspected(pick(docs, "doc_id", "text"), ids).where("hit").select("text")
+
+    def form_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in in_chunks(batches):
+            made = [tokens for tokens in shingles(words_of(chunk.column(0).to_pylist()), SIZE) if len(tokens)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([signature(tokens) for tokens in made], pa.int64()),
+                pa.array([len(tokens) for tokens in made], pa.int32()),
+                pa.array([form(tokens) for tokens in made], pa.binary())], ["sig", "n", "form"])
+
+    forms = stored(rows.mapInArrow(form_task, "sig long, n int, form binary").join(needed, "sig", "left_semi")
+                   .dropDuplicates(["sig"]), "forms")
+    side = lambda name: forms.select(
+        F.col("sig").alias(name), F.col("n").alias(f"n_{name}"), F.col("form").alias(f"form_{name}"))
+
+    def test_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            hit = (table[at >> 6] >> (at & 63)) & 1
-            chosen = batch.filter(pa.array(hit == 1))
-            for chunk in in_chunks([chosen]):
-                made = [tokens for tokens in shingles(words_of(chunk.column(1).to_pylist()), SIZE) if len(tokens)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([signature(tokens) for tokens in made], pa.int64()),
-                    pa.array([tokens.tobytes() for tokens in made], pa.binary())], ["sig", "tokens"])
+            passed = [test(*values) for values in zip(
+                batch.column("form_a"), batch.column("form_b"),
+                batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    tokens = stored(rows.mapInArrow(sets_task, "sig long, tokens binary").join(needed, "sig", "left_semi")
-                    .dropDuplicates(["sig"]), "needed-sets")
-    side = lambda name: tokens.select(F.col("sig").alias(name), F.col("tokens").alias(f"tokens_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test_task, "a long, b long"), "passed")
 
-    def compare_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for one, two in zip(batch.column("tokens_a"), batch.column("tokens_b")):
-                left, right = (np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in (one, two))
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                linked.append(UNDER * common >= OVER * (len(left) + len(right) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return both.mapInArrow(compare_task, "a long, b long")
+def compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of signatures whose sets reach the similarity: first by sketches, which rule most others out, then whole."""
+    likely = passing(docs, sets, stored(pairs, "pairs"), sketch, may_link)
+    return passing(docs, sets, likely, np.ndarray.tobytes, do_link)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -280,8 +323,8 @@ def classes(docs: DataFrame) -> DataFrame:
     sets = made.where("token is null").select("doc_id", "n", "sig")
     frequent = frequent_tokens(made, sets.where("sig is not null").count())
     found = stored(members(keys(docs, frequent)), "members")
-    star = stored(compared(docs, sets, star_pairs(found)), "star-links")
-    apart = stored(compared(docs, sets, cross_pairs(found, components(star))), "cross-links")
+    star = compared(docs, sets, star_pairs(found))
+    apart = compared(docs, sets, cross_pairs(found, components(star)))
     joined = components(star.union(apart)).withColumnRenamed("node", "sig")
     nodes = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(
         joined, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
@@ -289,3 +332,22 @@ def classes(docs: DataFrame) -> DataFrame:
     named = nodes.join(least, "component").select("sig", "component_id")
     return sets.join(named, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with one of each class of near copies: the one with the least doc_id.
+
+    A row that repeats an id with the same text stays once. Documents with an empty
+    set or a null id always stay. Only documents that a filter of fixed size
+    suspects of having to go are shuffled; the rest stay where they were read.
+    """
+    rows = pick(docs, "doc_id", "text", "lang", "source", "n_chars")
+    found = classes(docs).where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("times"), F.min("component_id").alias("component_id"))
+    special = stored(found.where("times > 1 or component_id <> doc_id").select(
+        "doc_id", (F.col("component_id") != F.col("doc_id")).alias("goes")), "special")
+    marked = suspected(rows, special)
+    hits = marked.where("hit").join(special, "doc_id", "left").where("goes is null or not goes")
+    names = rows.columns
+    again = hits.where("goes is not null").select(*names).dropDuplicates(["doc_id", "text"])
+    return marked.where("not hit").select(*names).union(hits.where("goes is null").select(*names)).union(again)
