@@ -2,21 +2,26 @@
 
 Tokens are shingle hashes. Their order puts rare tokens first and frequent
 ones last, by hash within a class. Two sets of similarity t share at least the
-least t * n of their tokens, so:
-
-* their least common token lies in the first n - ceil(t n) + 1 of both. If it
-  is rare, a single-token key of that prefix brings them together;
-* else all common tokens are frequent. Their K least common tokens lie in the
-  prefix extended to n - ceil(t n) + K. Frequent tokens fall into K - 1
-  buckets by hash, so two of the K share a bucket: combinations of two tokens
-  within a bucket are the keys. K grows with the set's size, which keeps the
-  number of combinations in proportion to it. As it must be the same on
-  both sides, a set is indexed under its own size class and the one below.
+least t * n of their tokens, so their K least common tokens lie in the first
+n - ceil(t n) + K of both.
+
+* If all of these K are rare, the sets share K single-token keys of that
+  prefix. K is a part of the set's size, so a set with fewer shared keys is
+  done with, and of the others only the least shared keys need be looked at:
+  a set that must share r of its m shared keys shares one of the m - r + 1 that
+  come first in the order of how many sets hold them.
+* Else fewer than K common tokens are rare, and of the B + K least common ones,
+  in the prefix extended to n - ceil(t n) + B + K, more than B are frequent.
+  Frequent tokens fall into B buckets by hash, so two of them share a bucket:
+  combinations of two tokens within a bucket are the keys. B grows with the
+  set's size, which keeps the number of combinations in proportion to it. As it
+  must be the same on both sides, a set is indexed under its own size class and
+  the one below.
 
 Which tokens count as frequent changes the cost, never the result. Equal sets
-are one node from the start. Nodes that a common key puts next to the key's
-hubs are compared first; only pairs that this leaves in different components,
-and whose shared keys allow the similarity, are then compared one by one.
+are one node from the start. Sets are first compared with the hub they share
+most keys with; only pairs that this leaves in different components are then
+compared one by one, by sketches before the sets themselves.
 
 Rows: a null or empty text has an empty set and links with nothing. Rows with
 fewer than five words have one shingle. Equal ids and repeated rows are
@@ -30,6 +35,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +55,8 @@ FREQUENT_SETS, FREQUENT_SHARE = 32, 10_000
 TOKENS_AT_ONCE, OFTEN = 2_000_000, 3
 #: Sets with fewer tokens per bucket class than this share one bucket.
 TOKENS_PER_BUCKET = 8
+#: A set is indexed so that a link shows in one key for so many of its tokens.
+TOKENS_PER_SHARED = 16
 #: Bits of the filter that tells which documents a comparison needs; its size is fixed.
 FILTER_BITS = 1 << 24
 
@@ -63,6 +72,11 @@ def signature(tokens: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(tokens))).view(np.int64)[0])
 
 
+def shared_singles(n: int) -> int:
+    """Single keys that sets of at least n tokens share if they link, unless they share a combination."""
+    return max(1, n // TOKENS_PER_SHARED)
+
+
 def size_class(n: int) -> int:
     return max(n // TOKENS_PER_BUCKET, 1).bit_length() - 1
 
@@ -92,16 +106,16 @@ def keys_of(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nd
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         known = frequent[at] == tokens
     rare, often = tokens[~known], tokens[known]
-    spare = n - least_common(n)
+    spare = n - least_common(n) + shared_singles(n)
     combined = []
     own = size_class(n)
     for size in (own, own - 1):
         if size < 0 or size < own and OVER * n >= UNDER * (TOKENS_PER_BUCKET << own):
             continue  # no set of the class below is large enough
         buckets = 1 << size
-        part = often[:max(0, spare + buckets + 1 - len(rare))]
+        part = often[:max(0, spare + buckets - len(rare))]
         combined.append(combination_keys(part, buckets, size))
-    return rare[:spare + 1], np.concatenate(combined)
+    return rare[:spare], np.concatenate(combined)
 
 
 def sets_and_counts(docs: DataFrame) -> DataFrame:
@@ -176,65 +190,95 @@ def keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     pa.array(np.repeat(np.array([len(part[0]) for part in parts], dtype=np.int32), counts)),
                     pa.array(np.repeat(counts.astype(np.int32), counts)),
                     pa.array(np.concatenate([np.arange(len(a) + len(b)) >= len(a) for a, b, _, _ in parts]))],
-                    ["key", "sig", "n", "rare", "total", "combined"])
+                    ["key", "sig", "n", "singles", "total", "combined"])
 
-    return pick(docs, "text").mapInArrow(task, "key long, sig long, n int, rare int, total int, combined boolean")
-
-
-#: Hubs of a key: the set that is least after its signature is turned by one of these numbers.
-TURNS = (0, 0x2545F4914F6CDD1D)
+    return pick(docs, "text").mapInArrow(task, "key long, sig long, n int, singles int, total int, combined boolean")
 
 
 #: A set is compared with a hub if they share this part of the set's keys, one in so many.
 STAR_SHARE = 4
+#: A leading key that more sets have brings them into a cluster, whose sets are compared in blocks; pairs are not made.
+HOT_KEY = 64
+#: Sets, and bytes of sketches, of such a block.
+BLOCK_SETS, BLOCK_BYTES = 512, 262_144
+#: Rounds of comparing with hubs, and hubs of a key in each. More of them leave fewer pairs to the end; the result is the same.
+ROUNDS, HUBS = 2, 6
 
 
 def members(all_keys: DataFrame) -> DataFrame:
-    """The keys that different sets share, each set once, and the hubs of each key."""
+    """The keys that different sets share, each set once, with the number of the key's rows."""
     group = "partition by key"
-    hubs = [f"min(sig ^ {turn}L) over ({group}) ^ {turn}L as hub{n}" for n, turn in enumerate(TURNS)]
     found = all_keys.selectExpr(
-        "*", f"lag(sig) over ({group} order by sig) as before", f"max(sig) over ({group}) as last", *hubs)
-    return found.where("hub0 <> last and (before is null or before <> sig)").drop("before", "last")
-
-
-def star_pairs(found: DataFrame) -> DataFrame:
-    """For each set and turn the hub it shares most keys with, if it is a good part of its keys."""
-    pairs = None
-    for n in range(len(TURNS)):
-        hub = F.col(f"hub{n}")
-        best = found.groupBy("sig", hub.alias("hub")).agg(
-            F.count(F.lit(1)).alias("shared"), F.max("total").alias("total")).groupBy("sig").agg(
-            F.max("total").alias("total"),
-            F.max(F.when(F.col("hub") != F.col("sig"), F.struct("shared", "hub"))).alias("best")).where(
-            F.col("best").isNotNull() & (STAR_SHARE * F.col("best.shared") >= F.col("total"))).select(
-            F.least("sig", "best.hub").alias("a"), F.greatest("sig", "best.hub").alias("b"))
-        pairs = best if pairs is None else pairs.union(best)
-    return pairs.distinct()
-
-
-def cross_pairs(found: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share a key, and whose shared keys allow the similarity."""
-    own = found.join(joined.withColumnRenamed("node", "sig"), "sig", "left").selectExpr(
-        "key", "sig", "n", "rare", "combined", "coalesce(component, sig) as component")
-    own = stored(own.selectExpr("*", "min(component) over (partition by key) as low",
-                                "max(component) over (partition by key) as high").where("low <> high").drop(
-        "low", "high"), "members-apart")
+        "*", f"lag(sig) over ({group} order by sig) as before", f"min(sig) over ({group}) as first",
+        f"max(sig) over ({group}) as last", f"count(1) over ({group}) as times")
+    return found.where("first <> last and (before is null or before <> sig)").drop("before", "first", "last")
+
+
+def with_lead(found: DataFrame) -> DataFrame:
+    """Leaves out sets that share too few tokens to link; lead marks the keys that are enough to find each link by.
+
+    These are the combinations, and the least shared of the single keys as far
+    as a link may miss the others. ``most`` is how many tokens a set may have
+    in common with any other: all but those whose single key no other set has.
+    """
+    smallest = f"(({OVER} * n + {UNDER - 1}) div {UNDER})"  # tokens of the smallest set it may link to
+    must = f"greatest(1, {smallest} div {TOKENS_PER_SHARED})"
+    ranked = found.selectExpr(
+        "*", "cast(sum(int(not combined)) over (partition by sig) as int) as held",
+        "row_number() over (partition by sig, combined order by times, key) as place").withColumn(
+        "most", F.expr("n - singles + held"))
+    return ranked.where(f"(combined or held >= {must}) and most >= {smallest}").selectExpr(
+        "key", "sig", "n", "most", "total", "times", f"combined or place <= held - {must} + 1 as lead")
+
+
+#: Whether sets of these sizes, with so many tokens in common with any other, may link.
+SIZES_ALLOW = (f"{UNDER} * least(a_n, b_n) >= {OVER} * greatest(a_n, b_n) and "
+               f"{UNDER + OVER} * least(a_most, b_most) >= {OVER} * (a_n + b_n)")
+
+
+def apart(found: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """Adds each set's component and leaves the keys that sets of different components share."""
+    if joined is None:
+        own = found.withColumn("component", F.col("sig"))
+    else:
+        own = found.join(joined.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+            "component", F.coalesce("component", "sig"))
+    ends = own.selectExpr("*", "min(component) over (partition by key) as low", "max(component) over (partition by key) as high")
+    return stored(ends.where("low <> high").drop("low", "high"), "members-apart")
+
+
+def star_pairs(own: DataFrame, number: int) -> DataFrame:
+    """For each set and turn the hub of another component it shares most keys with, if it is a good part of its keys.
+
+    A key's hub is the set that is least once its signature is turned by a
+    number of the round's own.
+    """
+    rng = np.random.default_rng(number)
+    turns = [int(turn) for turn in rng.integers(0, 2 ** 63 - 1, HUBS)]
+    hubs = own.groupBy("key").agg(*(F.expr(f"min(sig ^ {turn}L) ^ {turn}L").alias(f"hub{n}") for n, turn in enumerate(turns)))
+    rows = own.join(hubs, "key").select(
+        "sig", "total", F.posexplode(F.array(*(f"hub{n}" for n in range(HUBS)))).alias("turn", "hub"))
+    best = rows.groupBy("sig", "turn", "hub").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("total").alias("total")).where(
+        (F.col("hub") != F.col("sig")) & (STAR_SHARE * F.col("shared") >= F.col("total"))).groupBy("sig", "turn").agg(
+        F.max(F.struct("shared", "hub")).alias("best")).select(
+        F.col("sig").alias("a_sig"), F.col("best.hub").alias("b_sig")).distinct()
+    of = lambda name: own.select(*(
+        F.col(c).alias(f"{name}_{c}") for c in ("sig", "n", "most", "component"))).distinct()
+    return best.join(of("a"), "a_sig").join(of("b"), "b_sig").where("a_component <> b_component").where(
+        SIZES_ALLOW).select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
+
+
+def cross_pairs(own: DataFrame) -> DataFrame:
+    """Pairs of sets of different components, of sizes that allow a link, that share a leading key few sets have."""
+    own = own.where(f"lead and times <= {HOT_KEY}").select("key", "sig", "n", "most", "component")
     parts = own.select("key", "component").distinct()
     two = parts.alias("a").join(parts.alias("b"), "key").where("a.component < b.component").selectExpr(
         "key", "a.component as one", "b.component as two")
     side = lambda name, by: own.select(
-        "key", F.col("component").alias(by), *(F.col(c).alias(f"{name}_{c}") for c in ("sig", "n", "rare")), *(
-            [F.col("combined")] if name == "a" else []))
-    pairs = two.join(side("a", "one"), ["key", "one"]).join(side("b", "two"), ["key", "two"]).where(
-        f"{UNDER} * least(a_n, b_n) >= {OVER} * greatest(a_n, b_n)")
-    shared = pairs.groupBy("a_sig", "b_sig", "a_n", "b_n", "a_rare", "b_rare").agg(
-        F.sum((~F.col("combined")).cast("int")).alias("single"), F.max("combined").alias("combined"))
-    # Common tokens: those in both prefixes, and no more than the tokens after the shorter reaching prefix.
-    return shared.where(
-        F.col("combined") | (F.expr(f"({UNDER} + {OVER}) * (single + greatest(a_n - a_rare, b_n - b_rare))")
-                             >= F.expr(f"{OVER} * (a_n + b_n)"))).select(
-        F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b"))
+        "key", F.col("component").alias(by), *(F.col(c).alias(f"{name}_{c}") for c in ("sig", "n", "most")))
+    return two.join(side("a", "one"), ["key", "one"]).join(side("b", "two"), ["key", "two"]).where(SIZES_ALLOW).select(
+        F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct()
 
 
 def bit_table(ids: DataFrame) -> DataFrame:
@@ -282,39 +326,165 @@ def do_link(one: pa.Scalar, two: pa.Scalar, n_one: int, n_two: int) -> bool:
     return UNDER * common >= OVER * (n_one + n_two - common)
 
 
-def passing(docs: DataFrame, sets: DataFrame, pairs: DataFrame, form, test) -> DataFrame:
-    """The pairs that pass a test on a form of their sets, which is made anew from the texts of the documents needed."""
-    needed = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+def forms_of(docs: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """sig, n, sketch and tokens of the sets that share enough keys, made anew from the texts of one document each."""
+    needed = found.select("sig").distinct()
     ids = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(needed, "sig")
     rows = suspected(pick(docs, "doc_id", "text"), ids).where("hit").select("text")
 
-    def form_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches):
             made = [tokens for tokens in shingles(words_of(chunk.column(0).to_pylist()), SIZE) if len(tokens)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([signature(tokens) for tokens in made], pa.int64()),
                 pa.array([len(tokens) for tokens in made], pa.int32()),
-                pa.array([form(tokens) for tokens in made], pa.binary())], ["sig", "n", "form"])
+                pa.array([sketch(tokens) for tokens in made], pa.binary()),
+                pa.array([tokens.tobytes() for tokens in made], pa.binary())], ["sig", "n", "sketch", "tokens"])
+
+    made = rows.mapInArrow(task, "sig long, n int, sketch binary, tokens binary")
+    return stored(made.join(needed, "sig", "left_semi").dropDuplicates(["sig"]), "forms")
 
-    forms = stored(rows.mapInArrow(form_task, "sig long, n int, form binary").join(needed, "sig", "left_semi")
-                   .dropDuplicates(["sig"]), "forms")
-    side = lambda name: forms.select(
+
+def passing(forms: DataFrame, pairs: DataFrame, form: str, test) -> DataFrame:
+    """The pairs that pass a test on a form of their sets."""
+    needed = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    own = forms.select("sig", "n", F.col(form).alias("form")).join(needed, "sig", "left_semi")
+    side = lambda name: own.select(
         F.col("sig").alias(name), F.col("n").alias(f"n_{name}"), F.col("form").alias(f"form_{name}"))
 
-    def test_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             passed = [test(*values) for values in zip(
                 batch.column("form_a"), batch.column("form_b"),
                 batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test_task, "a long, b long"), "passed")
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(task, "a long, b long"), "passed")
 
 
-def compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+def compared(forms: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of signatures whose sets reach the similarity: first by sketches, which rule most others out, then whole."""
-    likely = passing(docs, sets, stored(pairs, "pairs"), sketch, may_link)
-    return passing(docs, sets, likely, np.ndarray.tobytes, do_link)
+    return passing(forms, passing(forms, stored(pairs, "pairs"), "sketch", may_link), "tokens", do_link)
+
+
+def hot_blocks(own: DataFrame, forms: DataFrame) -> DataFrame:
+    """Blocks of the sets that share hot keys, by cluster; sets of one component lie side by side.
+
+    Sets with a hot leading key in common are in one cluster. The clusters are
+    sorted in ranges and cut into blocks where they lie, so none is ever whole
+    in one task.
+    """
+    hot = own.where(f"lead and times > {HOT_KEY}")
+    hubs = hot.groupBy("key").agg(F.min("sig").alias("hub"))
+    clusters = components(hot.join(hubs, "key").select(F.col("sig").alias("a"), F.col("hub").alias("b")))
+    rows = clusters.select(F.col("node").alias("sig"), F.col("component").alias("cluster")).join(
+        own.select("sig", "most", "component").distinct(), "sig").join(forms.select("sig", "n", "sketch"), "sig")
+    rows = stored(rows.select("cluster", "component", "n", "most", "sig", "sketch"), "hot-sets")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def packed() -> pa.RecordBatch:
+            block = pa.Table.from_batches(held).combine_chunks()
+            get = lambda name, kind: pa.array([block.column(name).to_numpy().astype(kind).tobytes()])
+            least = lambda name: pa.array([pc.min(block.column(name)).as_py()])
+            greatest = lambda name: pa.array([pc.max(block.column(name)).as_py()])
+            return pa.RecordBatch.from_arrays([
+                least("cluster"), pa.array([(part << 32) + number]), get("component", np.int64), get("n", np.int64),
+                get("most", np.int64), get("sig", np.int64),
+                pa.array([[value.as_py() for value in block.column("sketch")]], pa.list_(pa.binary())),
+                least("component"), greatest("component"), least("n"), greatest("n")], BLOCK_NAMES)
+
+        for batch in batches:
+            cluster = batch.column("cluster").to_numpy()
+            bytes_of = pc.binary_length(batch.column("sketch")).to_numpy()
+            for row in range(batch.num_rows):
+                if held and (len(held) >= BLOCK_SETS or size >= BLOCK_BYTES or held[0].column("cluster")[0].as_py() != cluster[row]):
+                    yield packed()
+                    number, held, size = number + 1, [], 0
+                held.append(batch.slice(row, 1))
+                size += int(bytes_of[row])
+        if held:
+            yield packed()
+
+    ranges = max(1, -(-rows.count() // (4 * BLOCK_SETS)))
+    order = ["cluster", "component", "n", "sig"]
+    return stored(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(task, BLOCK_KINDS), "hot-blocks")
+
+
+BLOCK_NAMES = ["cluster", "block", "components", "ns", "mosts", "sigs", "sketches", "low", "high", "least", "greatest"]
+BLOCK_KINDS = ("cluster long, block long, components binary, ns binary, mosts binary, sigs binary, sketches array<binary>, "
+               "low long, high long, least long, greatest long")
+
+
+def folded_bits(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of at least a number of bytes, folded to it, as rows of 0 and 1."""
+    folded = np.stack([np.bitwise_or.reduce(np.frombuffer(one, dtype=np.uint8).reshape(-1, size), axis=0) for one in sketches])
+    return np.unpackbits(folded, axis=1).astype(np.float32)
+
+
+def block_pairs(one: dict, two: dict, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sets in two blocks that may link and are of different components."""
+    found = []
+    sizes = [np.array([len(sketch) for sketch in block["sketches"]]) for block in (one, two)]
+    for left in np.unique(sizes[0]):
+        for right in np.unique(sizes[1]):
+            if max(left, right) > 2 * min(left, right):
+                continue  # set sizes that differ by more than a link allows
+            i, j = np.flatnonzero(sizes[0] == left), np.flatnonzero(sizes[1] == right)
+            x, y = (folded_bits([block["sketches"][n] for n in rows], int(min(left, right)))
+                    for block, rows in ((one, i), (two, j)))
+            n_x, n_y = one["ns"][i][:, None], two["ns"][j][None, :]
+            spare = np.minimum(n_x - x.sum(1).astype(np.int64)[:, None], n_y - y.sum(1).astype(np.int64)[None, :])
+            common = np.minimum((x @ y.T).astype(np.int64) + spare, np.minimum(one["mosts"][i][:, None], two["mosts"][j][None, :]))
+            may = ((UNDER + OVER) * common >= OVER * (n_x + n_y)) & (
+                one["components"][i][:, None] != two["components"][j][None, :])
+            if same:
+                may &= i[:, None] < j[None, :]
+            a, b = np.nonzero(may)
+            found.append((i[a], j[b]))
+    return tuple(np.concatenate([side[n] for side in found]) if found else np.empty(0, dtype=np.int64) for n in (0, 1))
+
+
+def hot_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs of sets of one cluster that may link by their sketches; blocks within one component are passed over."""
+    side = lambda name: blocks.select("cluster", *(F.col(c).alias(f"{name}_{c}") for c in BLOCK_NAMES[1:]))
+    both = side("a").join(side("b"), "cluster").where(
+        f"a_block <= b_block and not (a_low = b_high and a_high = b_low) "
+        f"and {UNDER} * a_greatest >= {OVER} * b_least and {UNDER} * b_greatest >= {OVER} * a_least")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                def block(name: str) -> dict:
+                    numbers = {c: np.frombuffer(batch.column(f"{name}_{c}")[row].as_buffer(), dtype=np.int64)
+                               for c in ("components", "ns", "mosts", "sigs")}
+                    return {**numbers, "sketches": batch.column(f"{name}_sketches")[row].as_py()}
+
+                one, two = block("a"), block("b")
+                same = batch.column("a_block")[row].as_py() == batch.column("b_block")[row].as_py()
+                i, j = block_pairs(one, two, same)
+                a, b = one["sigs"][i], two["sigs"][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return both.mapInArrow(task, "a long, b long")
+
+
+def links_between(docs: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Links that connect whatever is connected: those with hubs, round by round, then all that are left between components."""
+    forms = forms_of(docs, sets, found)
+    links, joined = None, None
+    for number in range(ROUNDS):
+        fresh = compared(forms, star_pairs(apart(found, joined), number))
+        if fresh.isEmpty():
+            break
+        links = fresh if links is None else links.union(fresh)
+        joined = components(links)
+    own = apart(found, joined)
+    for fresh in (compared(forms, cross_pairs(own)),
+                  passing(forms, stored(hot_pairs(hot_blocks(own, forms)), "hot-pairs"), "tokens", do_link)):
+        links = fresh if links is None else links.union(fresh)
+    return links
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -322,10 +492,8 @@ def classes(docs: DataFrame) -> DataFrame:
     made = stored(sets_and_counts(docs), "sets")
     sets = made.where("token is null").select("doc_id", "n", "sig")
     frequent = frequent_tokens(made, sets.where("sig is not null").count())
-    found = stored(members(keys(docs, frequent)), "members")
-    star = compared(docs, sets, star_pairs(found))
-    apart = compared(docs, sets, cross_pairs(found, components(star)))
-    joined = components(star.union(apart)).withColumnRenamed("node", "sig")
+    found = stored(with_lead(members(keys(docs, frequent))), "members")
+    joined = components(links_between(docs, sets, found)).withColumnRenamed("node", "sig")
     nodes = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(
         joined, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
