@@ -39,7 +39,9 @@ FROM {lineitem}""",
     "charging_capacity": """
 SELECT cast(p_partkey as string) AS areaid,
        cast(p_partkey % 100 as string) AS areamanagerid,
-       CASE WHEN p_size % 7 = 0 THEN 'n/a' ELSE cast(p_size - 1 as string) END AS chargingpointcapacity
+       CASE p_size % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN concat(cast(p_size as string), '.7') WHEN 2 THEN '0.4'
+            WHEN 3 THEN concat(' ', cast(p_size as string), ' ') WHEN 4 THEN concat(cast(p_size as string), 'x')
+            ELSE cast(p_size - 1 as string) END AS chargingpointcapacity
 FROM {part}""",
     "parking_address": """
 SELECT cast(s_suppkey as string) AS areaid,
@@ -109,7 +111,7 @@ SELECT event_id AS query_id, concat('user', cast(user_id as string)) AS user_nam
        CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status,
        cast(floor(value * 10) as bigint) AS total_elapsed_time,
        props AS query_text,
-       CASE WHEN user_id % 2 = 0 THEN 'EV_LAB' ELSE 'SANDBOX' END AS database_name,
+       CASE WHEN user_id % 2 = 0 THEN 'VOLT_MODELS' ELSE 'SANDBOX' END AS database_name,
        ts AS start_time
 FROM {events}""",
     "refresh_log": """

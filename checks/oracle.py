@@ -71,7 +71,7 @@ FROM (SELECT left(postcode, 2) AS postal_area,
       FROM vehicles_by_postcode WHERE voertuigsoort = 'Personenauto' GROUP BY ALL) s""",
     "charging_by_area": """
 SELECT areamanagerid AS area_manager_id, count(*) AS num_parking_areas,
-       sum(try_cast(chargingpointcapacity AS int))::bigint AS total_charging_points
+       sum(round(try_cast(trim(chargingpointcapacity) AS decimal(28,7)))::int)::bigint AS total_charging_points
 FROM charging_capacity GROUP BY ALL""",
     "vehicles_with_fuel": f"""
 SELECT kenteken,
@@ -119,7 +119,7 @@ JOIN (SELECT kenteken, CASE WHEN lower(brandstof_omschrijving) IN ('elektricitei
 WHERE day >= DATE '2015-01-01' GROUP BY ALL""",
     "chargers_per_postcode": """
 SELECT left(zipcode, 4) AS postcode, sum(points)::bigint AS aantal
-FROM (SELECT areamanagerid, try_cast(chargingpointcapacity AS int) AS points FROM charging_capacity) c
+FROM (SELECT areamanagerid, round(try_cast(trim(chargingpointcapacity) AS decimal(28,7)))::int AS points FROM charging_capacity) c
 JOIN parking_address p ON p.parkingaddressreference = c.areamanagerid
 WHERE parkingaddresstype = 'F' AND zipcode <> '' AND points > 0 GROUP BY ALL""",
     "fuel_per_postcode": """
@@ -382,7 +382,7 @@ FROM ev_growth_trends GROUP BY 1""",
     "recent_activity": f"""
 SELECT query_id, user_name, role_name, warehouse_name, query_type, execution_status,
        total_elapsed_time::double / 1000 AS seconds, query_text
-FROM query_log WHERE database_name = 'EV_LAB' AND start_time > {AS_OF} - INTERVAL 1 HOUR
+FROM query_log WHERE database_name = 'VOLT_MODELS' AND start_time > {AS_OF} - INTERVAL 1 HOUR
 ORDER BY start_time DESC, query_id DESC LIMIT 10""",
     "usage_by_resource": f"""
 SELECT warehouse_name, sum(credits_used)::double AS total_credits, count(*) AS query_count,

@@ -18,7 +18,7 @@ from voltatlas.operators import access, adoption, climate, curated, fleet, quali
 from voltatlas.operators.climate import HOME_COUNTRY, TOTAL_CO2, TRANSPORT_CO2
 from voltatlas.plans import dashboard, explore, refresh
 from voltatlas.session import work_folder
-from voltatlas.sources import landing
+from voltatlas.sources import landing, versions
 from voltatlas.sources.lake import Lake
 from voltatlas.streaming import incremental
 from voltatlas.streaming import fleet as fleet_stream
@@ -226,7 +226,7 @@ query("masked_plates")(lambda t: access.masked(classified(t), "kenteken", is_adm
 query("unmasked_plates")(lambda t: access.masked(classified(t), "kenteken", is_admin=True))
 query("dealer_extract")(lambda t: access.dealer_extract(infrastructure(t)))
 query("manufacturer_extract")(lambda t: access.manufacturer_extract(adoption.ev_growth_trends(classified(t))))
-query("recent_activity")(lambda t: usage.recent_activity(t.query_log, AS_OF, "EV_LAB"))
+query("recent_activity")(lambda t: usage.recent_activity(t.query_log, AS_OF, "VOLT_MODELS"))
 query("usage_by_resource")(lambda t: usage.usage_by_resource(t.usage_log, AS_OF))
 query("budget_use")(lambda t: usage.budget_use(t.usage_log, QUOTA))
 query("budget_crossings")(lambda t: usage.budget_crossings(t.usage_log, QUOTA))
@@ -254,7 +254,7 @@ def published_models(t: Inputs) -> DataFrame:
     models = {"ev_growth_trends": adoption.ev_growth_trends(classified(t)), "ev_yoy_growth": growth(t),
               "ev_infrastructure_correlation": infrastructure(t), "vehicles_with_fuel": classified(t)}
     names = access.publish(models, folder)
-    return explore.row_counts({name: t.spark.read.parquet(f"{folder}/{name}") for name in names}).drop("expected")
+    return explore.row_counts({name: versions.read(t.spark, f"{folder}/{name}") for name in names}).drop("expected")
 
 
 @query("published_groups")
@@ -262,7 +262,8 @@ def published_groups(t: Inputs) -> DataFrame:
     folder = work_folder(t.spark, "dealers")
     extract = access.dealer_extract(infrastructure(t))
     access.publish_by_group(extract, folder)
-    return t.spark.read.schema(extract.schema).parquet(folder)  # also where no area passes the threshold
+    north, south = (versions.read(t.spark, f"{folder}/{group}") for group in access.DEALER_GROUPS.values())
+    return north.unionByName(south)
 
 
 # --- incremental refresh ---------------------------------------------------------------

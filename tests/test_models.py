@@ -9,9 +9,11 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from checks.inputs import AS_OF, Inputs
+from tests.conftest import GIVEN, rows
 from voltatlas.operators import access, adoption, climate, curated, fleet, quality, usage
-from voltatlas.plans import explore
+from voltatlas.plans import dashboard, explore
+from voltatlas.sources import versions
 
 POSTCODE = "postcode string, voertuigsoort string, brandstof string, extern_oplaadbaar string, aantal int"
 
@@ -225,9 +227,9 @@ def test_row_counts_with_and_without_expectation(spark):
 
 def test_published_models(spark, tmp_path):
     models = {"ev_growth_trends": spark.range(3), "vehicles_with_fuel": spark.range(9)}
-    assert access.publish(models, str(tmp_path)) == ["ev_growth_trends"]
-    assert access.publish(models, str(tmp_path)) == ["ev_growth_trends"]
-    assert spark.read.parquet(str(tmp_path / "ev_growth_trends")).count() == 3
+    for _ in range(2):
+        assert access.publish(models, str(tmp_path), ("ev_growth_trends",)) == ["ev_growth_trends"]
+    assert versions.read(spark, str(tmp_path / "ev_growth_trends")).count() == 3
     assert not (tmp_path / "vehicles_with_fuel").exists()
 
 
@@ -235,6 +237,53 @@ def test_published_groups(spark, tmp_path):
     extract = access.dealer_extract(spark.createDataFrame(
         [("88", 1), ("50", 2), ("10", 3), (None, 4)], "postal_area string, n int"))
     access.publish_by_group(extract, str(tmp_path / "dealers"))
-    assert rows(spark.read.parquet(str(tmp_path / "dealers" / "dealer_group=north")), "postal_area") == [("88",)]
-    assert rows(spark.read.parquet(str(tmp_path / "dealers" / "dealer_group=south")), "postal_area") == [("50",)]
-    assert sorted(p.name for p in (tmp_path / "dealers").glob("dealer_group=*")) == ["dealer_group=north", "dealer_group=south"]
+    assert rows(versions.read(spark, str(tmp_path / "dealers" / "north")), "postal_area") == [("88",)]
+    assert rows(versions.read(spark, str(tmp_path / "dealers" / "south")), "postal_area") == [("50",)]
+    assert sorted(p.name for p in (tmp_path / "dealers").iterdir()) == ["north", "south"]
+
+
+@pytest.mark.parametrize("text,points", [("12.7", 13), ("3", 3), ("0.4", 0), (" 12 ", 12), ("12x", None), ("n/a", None), ("", None),
+                                         (None, None), ("2.5", 3), ("-0.5", -1), ("1e3", 1000), ("99999999999", None)])
+def test_capacity_text(spark, text, points):
+    df = spark.createDataFrame([("a", "m", text)], "areaid string, areamanagerid string, chargingpointcapacity string")
+    assert curated.charging_by_area(df).first().total_charging_points == points
+    assert rows(adoption.manager_capacity(df)) == ([("m", points)] if points and points > 0 else [])
+
+
+def test_shares_that_are_published(spark, tmp_path):
+    trends = spark.createDataFrame([(2020, "Electric", 5, 5, 100.0)],
+                                   "registration_year int, fuel_category string, vehicle_count bigint, ev_hybrid_count bigint, "
+                                   "ev_percentage double")
+    with pytest.raises(LookupError):
+        access.publish({"ev_growth_trends": trends}, str(tmp_path))
+    assert list(tmp_path.iterdir()) == []
+    access.publish_totals(trends, str(tmp_path))
+    assert rows(versions.read(spark, str(tmp_path / "manufacturer_totals"))) == [("Electric", 5, 5)]
+    access.publish_by_group(spark.createDataFrame([("97", "north")], "postal_area string, dealer_group string"), str(tmp_path))
+    assert [versions.read(spark, str(tmp_path / group)).count() for group in ("north", "south")] == [1, 0]
+
+
+def test_latest_status_with_tie_breaks(spark):
+    """Ties, negative and missing tie-breaks, times before 1970."""
+    noon = datetime(2024, 1, 2, 12)
+    kinds = "event_id bigint, vin string, event_timestamp timestamp_ntz, battery_pct int, latitude double, longitude double, " \
+            "speed_kmh int, charging boolean"
+    events = [(n, "VW-1", noon, b, 0.0, 0.0, 1, False) for n, b in ((-5, 1), (7, 2), (None, 3), (-2 ** 63 + 1, 4))]
+    events += [(2 ** 63 - 1, "VW-1", noon - timedelta(microseconds=1), 5, 0.0, 0.0, 1, False),
+               (None, "VW-2", noon, 6, 0.0, 0.0, 1, False)]
+    found = fleet.vehicle_status(spark.createDataFrame(events, kinds), noon, tie_break="event_id")
+    assert rows(found, "vin", "current_battery") == [("VW-1", 2), ("VW-2", 6)]
+
+
+def test_order_of_the_lists(spark):
+    """The checks compare sorted rows; here the order itself counts."""
+    given = Inputs(spark, f"{GIVEN}/sf0.001")
+    status = fleet.vehicle_status(given.telemetry, AS_OF, tie_break="event_id")
+    listed = [(r.status, r.current_battery) for r in dashboard.vehicle_list(status).collect()]
+    rank = {"LOW_BATTERY": 0, "CHARGING": 1, "ACTIVE": 2}
+    assert listed == sorted(listed, key=lambda r: (rank[r[0]], r[1]))
+    low = [r.current_battery for r in explore.needing_attention(status).collect()]
+    assert low == sorted(low)
+    growth = adoption.ev_yoy_growth(curated.vehicles_with_fuel(given.vehicles_fuel))
+    years = [r[0] for r in dashboard.share_by_year(growth).collect()]
+    assert years == sorted(years)

@@ -81,6 +81,8 @@ def test_shuffles(stored):
 def test_latest_status_is_hashed_not_sorted(stored):
     status = plan(fleet.vehicle_status(stored["telemetry"], datetime(2024, 1, 30, 12)))
     assert "HashAggregate" in status and "SortAggregate" not in status
+    settled = plan(fleet.vehicle_status(stored["telemetry"], datetime(2024, 1, 30, 12), tie_break="event_id"))
+    assert "HashAggregate" in settled and "SortAggregate" not in settled
 
 
 def test_limits_do_not_sort_everything(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import quote, unquote_plus
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from voltatlas.session import work_folder
-from voltatlas.sources import landing
+from voltatlas.plans.refresh import IncompleteLoad, refresh_all
+from voltatlas.sources import landing, versions
 from voltatlas.sources.lake import Lake, read_emissions, read_weather
 from voltatlas.sources.paged import DATASETS, PagedJsonReader, read_pages
 from voltatlas.sources.schemas import EMISSIONS, RAW_TABLES, WEATHER_HOURLY
@@ -93,35 +95,162 @@ def test_request_of_the_service(monkeypatch):
                      ("https://example.org/resource/abcd-1234.json?%24limit=5&%24offset=0", 60.0)]
 
 
+def write_key_pages(folder, dataset, records, key, limit, splits, broken=()):
+    """The answers of a service that is asked for keys from one on, one file per request a reader makes.
+
+    ``broken`` maps a part to what its first page holds instead.
+    """
+    target = folder / dataset
+    target.mkdir(parents=True, exist_ok=True)
+    order = sorted((r for r in records if r.get(key) is not None), key=lambda r: str(r[key]))
+    bounds = ["", *splits, None]
+    parts = list(enumerate(zip(bounds, bounds[1:]))) + [(len(bounds) - 1, (None, None))]
+    for number, (low, high) in parts:
+        start, skip = low, 0
+        while True:
+            if low is None:
+                own = [r for r in records if r.get(key) is None]
+            else:
+                own = [r for r in order if str(r[key]) >= start and (high is None or str(r[key]) < high)]
+            page = own[skip:skip + limit]
+            name = "null" if start is None else quote(start, safe="") or "start"
+            text = dict(broken).get(number, json.dumps(page)) if (start, skip) == (low, 0) else json.dumps(page)
+            if text is not None:
+                (target / f"{key}-{name}-{skip}.json").write_text(text)
+            if len(page) < limit:
+                break
+            last = None if low is None else str(page[-1][key])
+            if low is not None and last != start:
+                start, skip = last, sum(str(r[key]) == last for r in page)
+            else:
+                skip += limit
+
+
+def plates(n: int) -> list[dict]:
+    return [{"kenteken": f"{chr(65 + i % 26)}{i:03d}", "merk": "VW", "new_field": i} for i in range(n)]
+
+
+DATA = {
+    "vehicles_raw": plates(230),
+    # A plate with more records than a page holds, one whose records cross a page's end, and records without a plate.
+    "vehicles_fuel_raw": [{"kenteken": "A001", "brandstof_omschrijving": f"LPG {i}"} for i in range(35)]
+    + [{"kenteken": f"A1{i:02d}", "brandstof_omschrijving": "LPG"} for i in range(8)]
+    + [{"kenteken": "A200", "brandstof_omschrijving": f"B{i}"} for i in range(9)]
+    + [{"brandstof_omschrijving": f"none {i}"} for i in range(20)],
+    "parking_address_raw": [{"areaid": str(i), "parkingaddresstype": "FB"[i % 2], "zipcode": "", "parkingaddressreference": f"m{i}"}
+                            for i in range(30)],  # exactly three pages
+    "charging_capacity_raw": [{"areaid": str(i), "chargingpointcapacity": i} for i in range(4)],
+    "vehicles_by_postcode_raw": RECORDS,
+}
+KEPT = {"vehicles_raw": 230, "vehicles_fuel_raw": 72, "parking_address_raw": 15, "charging_capacity_raw": 4,
+        "vehicles_by_postcode_raw": 25}
+
+
 def test_loads(spark, tmp_path):
-    """All five loads into empty tables, twice: an append adds, columns stay in order."""
+    """All five loads to the end of their datasets; running one again replaces its rows."""
     lake, pages = Lake(spark, str(tmp_path / "lake")), tmp_path / "pages"
     assert sorted(lake.create_missing()) == sorted(RAW_TABLES)
     assert lake.create_missing() == []
-    data = {
-        "vehicles_raw": [{"kenteken": f"P{i}", "merk": "VW", "new_field": i} for i in range(30)],
-        "vehicles_fuel_raw": [{"kenteken": f"P{i}", "brandstof_omschrijving": "LPG"} for i in range(12)],
-        "parking_address_raw": [{"areaid": str(i), "parkingaddresstype": "FB"[i % 2], "zipcode": "", "parkingaddressreference": "m"}
-                                for i in range(9)],
-        "charging_capacity_raw": [{"areaid": str(i), "chargingpointcapacity": i} for i in range(4)],
-        "vehicles_by_postcode_raw": RECORDS,
-    }
-    kept = {"vehicles_raw": 30, "vehicles_fuel_raw": 12, "parking_address_raw": 5, "charging_capacity_raw": 4,
-            "vehicles_by_postcode_raw": 25}
-    for table, records in data.items():
+    for table, records in DATA.items():
         how = landing.LOADS[table]
-        write_pages(pages, DATASETS[table], records, 10, 4, order=how.order or "default")
-        for times in (1, 2):
-            failed = landing.load(lake, table, limit=10, pages=4, base=pages)
-            assert failed.count() == 0
-            assert lake.read("raw", table).count() == kept[table] * times
+        write_key_pages(pages, DATASETS[table], records, how.key, 10, [b for b in how.splits.split(",") if b])
+        for _ in (1, 2):
+            assert landing.load(lake, table, limit=10, base=pages).count() == 0
+            assert lake.read("raw", table).count() == KEPT[table] and lake.incomplete(table) == {}
     vehicles = lake.read("raw", "vehicles_raw")
     assert vehicles.schema["kenteken"].metadata["comment"] == "licence plate, key"
     late = vehicles.select(landing.late_field(F.col("raw_json"), "new_field", "int").alias("n")).distinct()
-    assert rows(late) == sorted(((i,) for i in range(30)), key=str)
+    assert rows(late) == sorted(((i,) for i in range(230)), key=str)
     assert rows(vehicles.select(landing.late_field(F.col("raw_json"), "absent").alias("n")).distinct()) == [(None,)]
+    fuel = lake.read("raw", "vehicles_fuel_raw")
+    assert rows(fuel.select("kenteken", "brandstof_omschrijving")) == sorted(
+        ((r.get("kenteken"), r["brandstof_omschrijving"]) for r in DATA["vehicles_fuel_raw"]),
+        key=lambda r: tuple((v is None, str(v)) for v in r))
     capacity = lake.read("raw", "charging_capacity_raw")
     assert rows(capacity.select("chargingpointcapacity").distinct()) == [("0",), ("1",), ("2",), ("3",)]
+    landing.load(lake, "charging_capacity_raw", load_id="more", limit=10, base=pages)
+    assert lake.read("raw", "charging_capacity_raw").count() == 8  # another load adds
+
+
+def test_failed_parts_are_fetched_again(spark, tmp_path):
+    """A lost page and a body that is no JSON leave the load partial; the next run fetches those parts only."""
+    lake, pages, how = Lake(spark, str(tmp_path / "lake")), tmp_path / "pages", landing.LOADS["vehicles_raw"]
+    splits = how.splits.split(",")
+    lost, bad = splits.index("C") + 1, splits.index("D") + 1
+    write_key_pages(pages, DATASETS["vehicles_raw"], DATA["vehicles_raw"], "kenteken", 5, splits,
+                    {lost: None, bad: "<html>busy</html>"}.items())
+    failed = landing.load(lake, "vehicles_raw", limit=5, base=pages)
+    assert sorted((row.part, row.error.split(":")[0]) for row in failed.collect()) == [
+        (lost, "FileNotFoundError"), (bad, "JSONDecodeError")]
+    held = [r for r in DATA["vehicles_raw"] if r["kenteken"][0] not in "CD"]
+    assert lake.read("raw", "vehicles_raw").count() == len(held)
+    assert lake.incomplete("vehicles_raw") == {"all": "partial"}
+    with pytest.raises(IncompleteLoad):
+        refresh_all(lake)
+    assert refresh_all(lake, skip_missing=True, allow_incomplete=True) == []
+    for page in (pages / DATASETS["vehicles_raw"]).glob("kenteken-[AB]-*"):
+        page.unlink()  # what was complete is not asked for again
+    write_key_pages(tmp_path / "whole", DATASETS["vehicles_raw"], DATA["vehicles_raw"], "kenteken", 5, splits)
+    for page in (tmp_path / "whole" / DATASETS["vehicles_raw"]).glob("kenteken-[CD]*"):
+        (pages / DATASETS["vehicles_raw"] / page.name).write_text(page.read_text())
+    assert landing.load(lake, "vehicles_raw", limit=5, base=pages).count() == 0
+    assert lake.read("raw", "vehicles_raw").count() == 230 and lake.incomplete("vehicles_raw") == {}
+
+
+def test_sample_is_marked(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    write_pages(tmp_path, DATASETS["charging_capacity_raw"], DATA["charging_capacity_raw"], 2, 3, order="areaid")
+    landing.load(lake, "charging_capacity_raw", limit=2, pages=1, base=tmp_path)
+    assert lake.read("raw", "charging_capacity_raw").count() == 2
+    assert lake.incomplete("charging_capacity_raw") == {"all": "sample"}
+
+
+def test_bad_body_among_good_ones(spark):
+    pages = spark.createDataFrame([("d", 0, 0, '[{"a": 1}]', None), ("d", 1, 10, "<html>", None), ("d", 2, 20, '{"a": 1}', None),
+                                   ("d", 3, 30, None, "TimeoutError: late"), ("d", 4, 40, "[]", None)],
+                                  "dataset string, part int, page_offset bigint, body string, error string")
+    assert landing.elements(pages).count() == 1
+    assert rows(landing.failed_pages(pages), "page_offset", "error") == [
+        (10, "the body is no JSON array"), (20, "the body is no JSON array"), (30, "TimeoutError: late")]
+
+
+def test_request_by_key(monkeypatch):
+    asked = []
+
+    class Answer:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def read(self):
+            return b"[]"
+
+    monkeypatch.setattr("urllib.request.urlopen", lambda url, timeout: asked.append(url) or Answer())
+    reader = PagedJsonReader({"dataset": "abcd-1234", "limit": "5", "key": "plate", "splits": "B", "base": "https://example.org/r"})
+    assert [part[0] for part in reader.key_parts()] == [0, 1, 2]
+    for part in reader.key_parts():
+        assert [row[2:] for row in reader.read_part(*part)] == [(0, "[]", None)]
+    wanted = [unquote_plus(url).split("&")[2] for url in asked]
+    assert wanted == ["$where=plate >= '' and plate < 'B'", "$where=plate >= 'B'", "$where=plate is null"]
+    assert all("%24order=plate%2C%3Aid" in url and "%24offset=0" in url for url in asked)
+
+
+def test_versions(spark, tmp_path):
+    """A reader that has begun finishes, a failed write changes nothing, and two versions stay."""
+    folder = str(tmp_path / "t")
+    versions.put(spark.range(3), folder)
+    begun = versions.read(spark, folder)
+    versions.put(spark.range(5), folder, "note")
+    assert begun.count() == 3 and versions.read(spark, folder).count() == 5
+    with pytest.raises(PySparkException):
+        versions.put(spark.range(7).select(F.raise_error(F.lit("stop")).alias("id")), folder)
+    assert versions.read(spark, folder).count() == 5 and versions.note_of(versions.current(spark, folder)) == "note"
+    versions.put(spark.range(7), folder)
+    assert versions.versions(spark, folder) == ["v000002.note", "v000004"]
+    with pytest.raises(LookupError):
+        versions.read(spark, str(tmp_path / "none"))
 
 
 def test_field_that_does_not_fit(spark):

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from checks.inputs import Inputs
 from tests.conftest import GIVEN, rows
-from voltatlas.operators import adoption, climate, curated, fleet
+from voltatlas import __main__ as jobs
+from voltatlas.operators import adoption, climate, curated, fleet, usage
+from voltatlas.plans.refresh import refresh_targets
+from voltatlas.sources.lake import Lake
 from voltatlas.streaming import fleet as fleet_stream
 from voltatlas.streaming import quality as quality_stream
 from voltatlas.streaming.incremental import JOIN_MODELS, SUM_MODELS, read_join, read_sums, refresh_join, refresh_sums
@@ -54,7 +57,7 @@ def test_sum_models(spark, given, tmp_path, name):
     model, state, checkpoint = SUM_MODELS[name], str(tmp_path / "state"), tmp_path / "checkpoint"
     for _ in range(2):
         refresh_sums(stream(spark, source), model, state, str(checkpoint)).awaitTermination()
-        assert len(list(Path(state).glob("batch_id=*"))) == 4
+        assert len(list(Path(state, "batches").glob("batch_id=*"))) == 4
         assert rows(read_sums(spark, model, state)) == rows(full(given.view(view)))
         forget_last_commit(checkpoint)
 
@@ -80,7 +83,7 @@ def test_join_model_by_month(spark, given, tmp_path):
     assert full
     for _ in range(2):
         refresh_join(stream(spark, left), stream(spark, right), model, state, str(checkpoint)).awaitTermination()
-        assert len(list(Path(state, "sums").glob("batch_id=*"))) > 2
+        assert len(list(Path(state, "sums", "batches").glob("batch_id=*"))) > 2
         assert rows(read_join(spark, model, state)) == full
         forget_last_commit(checkpoint)
 
@@ -111,8 +114,7 @@ def test_status_with_shuffled_batches(spark, given, tmp_path, seed, bucket):
 
     for _ in range(2):
         fleet_stream.refresh_status(
-            stream(spark, source), state, str(checkpoint), bucket, tie_break="event_id", state_partitions=3).awaitTermination()
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+            stream(spark, source), state, str(checkpoint), bucket, tie_break="event_id").awaitTermination()
         assert streamed(AS_OF) == full(AS_OF) != []
         forget_last_commit(checkpoint)
     # A later look at the same state forgets what has left its window; it may fall anywhere within an hour.
@@ -146,24 +148,126 @@ def test_status_at_the_cut(spark, tmp_path):
         fleet_stream.current_status(spark, state, noon + timedelta(seconds=1))
 
 
-def test_events_too_late_to_matter_are_dropped(spark, tmp_path):
-    kinds = "vin string, event_timestamp timestamp_ntz, battery_pct int, latitude double, longitude double, speed_kmh int, " \
-            "charging boolean"
-    noon = datetime(2024, 1, 2, 12)
-    for number, moment in enumerate((noon, noon - timedelta(hours=30), noon - timedelta(hours=30))):
-        spark.createDataFrame([("VW-1", moment, number, 0.0, 0.0, 10, False)], kinds).coalesce(1).write.mode("append").parquet(
-            str(tmp_path / "in"))
+KINDS = "vin string, event_timestamp timestamp_ntz, battery_pct int, latitude double, longitude double, speed_kmh int, " \
+        "charging boolean"
+
+
+def test_a_wrong_clock_harms_no_other_vehicle(spark, tmp_path):
+    """One event stamped far ahead, then events of other vehicles at normal and at late times."""
+    noon, folder = datetime(2024, 1, 2, 12), tmp_path / "in"
+    batches = [[("VW-1", noon)], [("VW-BAD", datetime(2030, 1, 1))], [("VW-2", noon - timedelta(minutes=5))],
+               [("VW-3", noon - timedelta(hours=23)), ("VW-1", noon - timedelta(hours=20))]]
+    for events in batches:
+        spark.createDataFrame([(vin, moment, 50, 0.0, 0.0, 10, False) for vin, moment in events], KINDS).coalesce(1).write.mode(
+            "append").parquet(str(folder))
+        fleet_stream.refresh_status(
+            stream(spark, str(folder)), str(tmp_path / "state"), str(tmp_path / "c")).awaitTermination()
+    raw = spark.read.parquet(str(folder))
+    found = rows(fleet_stream.current_status(spark, str(tmp_path / "state"), noon, raw))
+    assert len(found) == 4 and found == rows(fleet.vehicle_status(raw, noon))
+
+
+def test_many_batches_are_folded(spark, tmp_path):
+    """Files stay few, results are those of one run, also after a fold that was cut short and a replay."""
+    noon, folder, state, checkpoint = datetime(2024, 1, 2, 12), tmp_path / "in", str(tmp_path / "state"), tmp_path / "c"
+    rng = random.Random(4)
+    for number in range(23):  # all times differ, so that the latest event is settled
+        events = [(f"VW-{rng.randrange(5)}", noon - timedelta(minutes=rng.randrange(1500), microseconds=6 * number + n),
+                   rng.randrange(100), 0.0, 0.0, rng.randrange(90), False) for n in range(6)]
+        spark.createDataFrame(events, KINDS).coalesce(1).write.mode("append").parquet(str(folder))
+    for _ in range(2):
         fleet_stream.refresh_status(
-            stream(spark, str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "c")).awaitTermination()
-    days = sorted(p.name for p in (tmp_path / "state").glob("day=*"))
-    assert days == ["day=2024-01-02"]
+            stream(spark, str(folder)), state, str(checkpoint), fold_every=5).awaitTermination()
+        log = fleet_stream.status_log(spark, state)
+        assert log.folded_to() == 19 and len(list(Path(state, "batches").glob("batch_id=*"))) < 12
+        assert len(list(Path(state, "base").glob("v*"))) == 2
+        raw = spark.read.parquet(str(folder))
+        assert rows(fleet_stream.current_status(spark, state, noon, raw)) == rows(fleet.vehicle_status(raw, noon))
+        forget_last_commit(checkpoint)
+        Path(state, "base", "v000099.21").mkdir(exist_ok=True)  # a fold without its success marker does not count
+
+
+def test_expired_days_are_refused(spark, tmp_path):
+    noon, state = datetime(2024, 1, 10, 12), str(tmp_path / "state")
+    spark.createDataFrame([("VW-1", noon - timedelta(days=n), n, 0.0, 0.0, 10, False) for n in range(5)], KINDS).write.parquet(
+        str(tmp_path / "in"))
+    raw = spark.read.parquet(str(tmp_path / "in"))
+    fleet_stream.refresh_status(stream(spark, str(tmp_path / "in")), state, str(tmp_path / "c")).awaitTermination()
+    fleet_stream.expire(spark, state, noon - timedelta(hours=30))
+    assert fleet_stream.kept_from(spark, state) == (noon - timedelta(hours=30)).date()
+    assert fleet_stream.status_log(spark, state).read().select("day").distinct().count() == 2
+    assert rows(fleet_stream.current_status(spark, state, noon, raw)) == rows(fleet.vehicle_status(raw, noon))
+    with pytest.raises(ValueError):
+        fleet_stream.current_status(spark, state, noon, raw, hours=72)
+
+
+def test_session_must_run_in_utc(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Amsterdam")
+        with pytest.raises(ValueError):
+            fleet_stream.current_status(spark, str(tmp_path), datetime(2024, 1, 1))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sums_and_joins_are_folded(spark, given, tmp_path):
+    source = written(given.vehicles_by_postcode, tmp_path / "in", 7)
+    model, state = SUM_MODELS["ev_by_region"], str(tmp_path / "state")
+    refresh_sums(stream(spark, source), model, state, str(tmp_path / "c"), fold_every=2).awaitTermination()
+    assert len(list(Path(state, "batches").glob("batch_id=*"))) < 6
+    assert rows(read_sums(spark, model, state)) == rows(curated.ev_by_region(given.vehicles_by_postcode))
+    left, right = written(given.vehicles, tmp_path / "left", 3), written(given.vehicles_fuel, tmp_path / "right", 4)
+    model, state = JOIN_MODELS["brandstof_per_postcode_datum"], str(tmp_path / "joined")
+    refresh_join(stream(spark, left), stream(spark, right), model, state, str(tmp_path / "j"), fold_every=2).awaitTermination()
+    assert list(Path(state, "left", "base").glob("v*")) and list(Path(state, "sums", "base").glob("v*"))
+    assert rows(read_join(spark, model, state)) == rows(adoption.fuel_per_month(given.vehicles, given.vehicles_fuel))
+
+
+def test_watch_publishes_after_each_batch(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    moment = jobs.now().replace(microsecond=0)
+    events = [("VW-1", moment - timedelta(minutes=n), 90 - n, 0.0, 0.0, n, False) for n in range(60)]
+    lake.append(spark.createDataFrame(events, KINDS).withColumn("raw_json", F.parse_json(F.lit("{}"))), "telemetry_raw")
+    monkeypatch.setattr(jobs, "now", lambda: moment)
+    jobs.watch(lake, str(tmp_path / "state"), str(tmp_path / "c"), {"availableNow": True}).awaitTermination()
+    status = fleet.vehicle_status(lake.read("raw", "telemetry_raw"), moment)
+    assert rows(lake.read("curated", "vehicle_status")) == rows(status) != []
+    assert rows(lake.read("analytics", "fleet_alerts")) == rows(fleet.fleet_alerts(status))
+    report = usage.freshness(lake.read("analytics", "refresh_log"), refresh_targets(lake), jobs.datetime.now(jobs.timezone.utc).replace(
+        tzinfo=None)).where("model in ('vehicle_status', 'fleet_alerts')")
+    assert report.count() == 2 and report.where("is_late").count() == 0
+
+
+def test_update_keeps_the_incremental_models(spark, given, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    tables = {name: df for name, df in given.raw_tables().items() if name != "telemetry_raw"}
+    for half in (0, 1):
+        for name, df in tables.items():
+            part = df.where(F.pmod(F.xxhash64(*[c for c in df.columns if c != "raw_json"]), F.lit(2)) == half)
+            lake.put_load(part, name, f"half-{half}")
+        jobs.update(lake, str(tmp_path / "state"), str(tmp_path / "c"))
+    raw = {name: lake.read("raw", name) for name in tables}
+    assert rows(lake.read("curated", "ev_by_region")) == rows(curated.ev_by_region(raw["vehicles_by_postcode_raw"]))
+    assert rows(lake.read("analytics", "brandstof_per_postcode_datum")) == rows(
+        adoption.fuel_per_month(raw["vehicles_raw"], raw["vehicles_fuel_raw"]))
+    assert rows(lake.read("analytics", "laadpalen_per_postcode")) == rows(
+        adoption.chargers_per_postcode(raw["parking_address_raw"], raw["charging_capacity_raw"]))
+    lake.put_load(tables["vehicles_raw"], "vehicles_raw", "half-0")
+    with pytest.raises(ValueError):
+        lake.stream("vehicles_raw")
 
 
 def test_metric_history(spark, tmp_path):
-    folder = tmp_path / "in"
-    for values in ([None, "a"], [None, None, "b"]):
+    """The history holds the metric of the table, not of the change, and a replay keeps the time."""
+    folder, history, checkpoint = tmp_path / "in", str(tmp_path / "history"), tmp_path / "c"
+    for values in ([None, "a"], [None, None, "b"], ["c"]):
         spark.createDataFrame([(v,) for v in values], "postcode string").coalesce(1).write.mode("append").parquet(str(folder))
         quality_stream.record_null_counts(
-            stream(spark, str(folder)), "t", ["postcode"], str(tmp_path / "history"), str(tmp_path / "c")).awaitTermination()
-    history = quality_stream.read_history(spark, str(tmp_path / "history"))
-    assert [r.value for r in history.collect()] == [2, 1]  # newest first
+            stream(spark, str(folder)), "t", ["postcode"], history, str(checkpoint)).awaitTermination()
+    found = quality_stream.read_history(spark, history).collect()
+    assert [r.value for r in found] == [3, 3, 1]  # newest first
+    forget_last_commit(checkpoint)
+    quality_stream.record_null_counts(
+        stream(spark, str(folder)), "t", ["postcode"], history, str(checkpoint)).awaitTermination()
+    assert quality_stream.read_history(spark, history).collect() == found

@@ -15,6 +15,11 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.round(value.cast("decimal(28,7)"), digits).cast("double")
 
 
+def whole_number(text: Column) -> Column:
+    """Text as an int, decimals rounded half away from zero; NULL where it is no number or too large."""
+    return F.round(text.try_cast("decimal(28,7)"), 0).try_cast("int")
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as double, NULL when whole is 0."""
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltatlas.functions import climate_region_of_area
+from voltatlas.sources import versions
 
 MASK = "****"
 
@@ -46,13 +47,24 @@ def manufacturer_extract(ev_growth_trends: DataFrame) -> DataFrame:
 
 
 def publish(models: dict[str, DataFrame], folder: str, allowed: tuple[str, ...] = DEALER_MODELS) -> list[str]:
-    """Replaces the published copy of every allowed model and returns their names."""
-    published = [name for name in allowed if name in models]
-    for name in published:
-        models[name].write.mode("overwrite").parquet(f"{folder}/{name}")
-    return published
+    """Replaces the published copy of every allowed model at once and returns their names.
+
+    An allowed model that is not among the models is an error, raised before anything is written.
+    """
+    missing = [name for name in allowed if name not in models]
+    if missing:
+        raise LookupError(f"models to publish are missing: {', '.join(missing)}")
+    for name in allowed:
+        versions.put(models[name], f"{folder}/{name}")
+    return list(allowed)
+
+
+def publish_by_group(extract: DataFrame, folder: str, groups: tuple[str, ...] = tuple(DEALER_GROUPS.values())) -> None:
+    """One table per dealer group, so a group can be given its own path; a group without rows gets an empty one."""
+    for group in groups:
+        versions.put(extract.where(F.col("dealer_group") == group), f"{folder}/{group}")
 
 
-def publish_by_group(extract: DataFrame, folder: str) -> None:
-    """One folder per dealer group, so a group can be given its own path."""
-    extract.write.mode("overwrite").partitionBy("dealer_group").parquet(folder)
+def publish_totals(ev_growth_trends: DataFrame, folder: str) -> None:
+    """The manufacturers' share: totals by category."""
+    versions.put(manufacturer_extract(ev_growth_trends), f"{folder}/manufacturer_totals")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltatlas.functions import area_of, fuel_label, percentage, ratio, registry_fuel_label, round_half_up
+from voltatlas.functions import area_of, fuel_label, percentage, ratio, registry_fuel_label, round_half_up, whole_number
 from voltatlas.functions.fuel import FUEL_LABELS
 from voltatlas.operators.curated import PASSENGER_CAR
 
@@ -50,15 +50,16 @@ def ev_growth_trends(vehicles_with_fuel: DataFrame, first_year: int = 2015) -> D
 
 
 def ev_yoy_growth(vehicles_with_fuel: DataFrame, first_year: int = 2015) -> DataFrame:
-    """Yearly totals with growth against the year before.
+    return yoy_from_sums(growth_sums(vehicles_with_fuel, first_year))
+
+
+def yoy_from_sums(sums: DataFrame) -> DataFrame:
+    """Yearly totals with growth against the year before, from the sums per year and category (or the trends).
 
     The one-partition window runs over one row per year, after the aggregation.
     """
-    yearly = (
-        vehicles_with_fuel.where(F.col("registration_year") >= first_year)
-        .groupBy("registration_year")
-        .agg(F.count("*").alias("total_vehicles"), F.count_if("is_ev_or_hybrid").alias("ev_count"))
-    )
+    yearly = sums.groupBy("registration_year").agg(
+        F.sum("vehicle_count").alias("total_vehicles"), F.sum("ev_hybrid_count").alias("ev_count"))
     previous = F.col("prev_year_ev_count")
     growth = percentage(F.col("ev_count") - previous, previous, 1)
     return yearly.withColumn(
@@ -116,7 +117,7 @@ def fuel_per_month(vehicles: DataFrame, vehicles_fuel: DataFrame, first_year: in
 
 def manager_capacity(charging_capacity: DataFrame) -> DataFrame:
     """Charging points per area manager, counting positive numbers only."""
-    points = F.col("chargingpointcapacity").try_cast("int")
+    points = whole_number(F.col("chargingpointcapacity"))
     return charging_capacity.where(points > 0).groupBy("areamanagerid").agg(F.sum(points).alias("points"))
 
 

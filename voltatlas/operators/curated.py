@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltatlas.functions import area_of, bucketed_year, fuel_category, is_ev_or_hybrid, percentage
+from voltatlas.functions import area_of, bucketed_year, fuel_category, is_ev_or_hybrid, percentage, whole_number
 
 PASSENGER_CAR = "Personenauto"
 
@@ -47,10 +47,10 @@ def ev_by_region(vehicles_by_postcode: DataFrame) -> DataFrame:
 
 
 def charging_by_area(charging_capacity: DataFrame) -> DataFrame:
-    """Parking areas and charging points per area manager; text that is no number counts as NULL."""
+    """Parking areas and charging points per area manager; text that is no number counts as NULL, decimals are rounded."""
     return charging_capacity.groupBy(F.col("areamanagerid").alias("area_manager_id")).agg(
         F.count("*").alias("num_parking_areas"),
-        F.sum(F.col("chargingpointcapacity").try_cast("int")).alias("total_charging_points"),
+        F.sum(whole_number(F.col("chargingpointcapacity"))).alias("total_charging_points"),
     )
 
 

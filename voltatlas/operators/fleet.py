@@ -14,14 +14,19 @@ LATEST = ("battery_pct", "latitude", "longitude", "charging")
 
 
 def event_order(tie_break: str | None) -> Column:
-    """What orders a vehicle's events: the event time, then ``tie_break`` where the table has such a column.
+    """What orders a vehicle's events: the event time, then ``tie_break`` where the table has such a whole-number column.
 
     Without it, two events of one vehicle at the same microsecond leave open
-    which one is shown, and the fixed-width key lets Spark aggregate by hash.
-    With it the answer is settled, at the price of a sort by vehicle in each
-    task: about four times the time on 20 million events.
+    which one is shown. Both form one number of fixed width, so that Spark can
+    update it in place and aggregate by hash. A NULL tie-break comes first. The
+    session must run in UTC, as times carry no zone.
     """
-    return F.col("event_timestamp") if tie_break is None else F.struct("event_timestamp", tie_break)
+    if tie_break is None:
+        return F.col("event_timestamp")
+    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp")).cast("decimal(18,0)")
+    second = F.coalesce(F.col(tie_break).cast("long"), F.expr("bigint('-9223372036854775808')")).cast("decimal(20,0)")
+    # Twice 10^19 exceeds the distance between any two long values.
+    return (micros * F.lit(str(2 * 10 ** 19)).cast("decimal(20,0)") + second).cast("decimal(38,0)")
 
 
 def status_partials(order: Column) -> list[Column]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from voltatlas.functions import timestamp
 from voltatlas.operators import adoption, climate, curated, fleet
 from voltatlas.sources.lake import Lake
+from voltatlas.sources.schemas import RAW_TABLES
 
 HOUR, MINUTE = 3600, 60
 
@@ -36,7 +37,7 @@ MODELS = (
     Model("analytics", "national_ev_summary", ("ev_by_region",), adoption.national_ev_summary,
           options=("min_total_summary",)),
     Model("analytics", "ev_growth_trends", ("vehicles_with_fuel",), adoption.ev_growth_trends),
-    Model("analytics", "ev_yoy_growth", ("vehicles_with_fuel",), adoption.ev_yoy_growth),
+    Model("analytics", "ev_yoy_growth", ("ev_growth_trends",), adoption.yoy_from_sums),
     Model("analytics", "brandstof_per_postcode_datum", ("vehicles_raw", "vehicles_fuel_raw"), adoption.fuel_per_month),
     Model("analytics", "laadpalen_per_postcode", ("parking_address_raw", "charging_capacity_raw"),
           adoption.chargers_per_postcode),
@@ -59,14 +60,32 @@ MODELS = (
 _ARGUMENT = {"min_total_summary": "min_total", "min_total_infrastructure": "min_total"}
 
 
-def refresh_all(lake: Lake, external: dict[str, DataFrame] | None = None, **options: object) -> list[str]:
-    """Rebuilds each model whose inputs exist; returns the names in the order written.
+class IncompleteLoad(ValueError):
+    """A raw table does not hold all rows of its source."""
+
+
+def refresh_all(
+    lake: Lake, external: dict[str, DataFrame] | None = None, skip_missing: bool = False,
+    allow_incomplete: bool = False, **options: object,
+) -> list[str]:
+    """Rebuilds every model; returns the names in the order written.
 
     A model reads the written tables of the models before it, so shared work
     is done once and a lost executor costs at most the model in progress.
-    ``external`` holds tables that live elsewhere (weather, emissions).
+    ``external`` holds tables that live elsewhere (weather, emissions). A model
+    without its inputs is an error unless ``skip_missing``, and so is a raw
+    table that a load has left incomplete unless ``allow_incomplete``; both are
+    raised before anything is written.
     """
     external = external or {}
+    needed = sorted({name for model in MODELS for name in model.inputs} - {model.name for model in MODELS})
+    incomplete = {name: lake.incomplete(name) for name in needed if name in RAW_TABLES and lake.incomplete(name)}
+    if incomplete and not allow_incomplete:
+        raise IncompleteLoad(f"not all rows are there: {incomplete}")
+    absent = [name for name in needed if name not in external and not lake.exists("raw", name)]
+    absent += [name for model in MODELS for name in model.options if name == "as_of" and name not in options]
+    if absent and not skip_missing:
+        raise LookupError(f"inputs are missing: {', '.join(absent)}")
     layer_of = {model.name: model.layer for model in MODELS}
     refreshed: list[str] = []
 
@@ -88,6 +107,15 @@ def refresh_all(lake: Lake, external: dict[str, DataFrame] | None = None, **opti
     return refreshed
 
 
+def publish_status(lake: Lake, status: DataFrame) -> None:
+    """Replaces the vehicle status and the alerts that follow from it, and logs both refreshes."""
+    models = {model.name: model for model in MODELS}
+    lake.replace(status, "curated", "vehicle_status")
+    log_refresh(lake, models["vehicle_status"])
+    lake.replace(fleet.fleet_alerts(lake.read("curated", "vehicle_status")), "analytics", "fleet_alerts")
+    log_refresh(lake, models["fleet_alerts"])
+
+
 def log_refresh(lake: Lake, model: Model) -> None:
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     row = lake.spark.range(1).select(F.lit(model.name).alias("model"), timestamp(now).alias("refreshed_at"))

@@ -1,16 +1,29 @@
-"""Three table layers as folders of parquet."""
+"""Three table layers as folders of parquet.
+
+Models are versioned tables. A raw table consists of loads, each a versioned
+table of its own, so running a load again replaces its rows. Telemetry, which
+only grows, is one folder by day.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
+from voltatlas.sources import versions
 from voltatlas.sources.schemas import DAY_OF, EMISSIONS, LAYERS, RAW_TABLES, WEATHER_HOURLY
 
+#: What a load's version says about its rows; a complete load says nothing.
+PARTIAL, SAMPLE = "partial", "sample"
+
+
+class MissingTable(LookupError):
+    """A table was read that nothing has written."""
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -25,17 +38,33 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        try:
-            return bool(self.read(layer, table).schema)
-        except AnalysisException:
-            return False
+        return bool(self.folders(layer, table))
+
+    def loads(self, table: str) -> dict[str, str]:
+        """The version in force of each load of a raw table."""
+        folder = self.path("raw", table)
+        found = {name: versions.current(self.spark, f"{folder}/{name}") for name in versions.names(self.spark, folder)}
+        return {name: version for name, version in found.items() if version}
+
+    def folders(self, layer: str, table: str) -> list[str]:
+        """The folders of parquet files a table consists of at this moment."""
+        folder = self.path(layer, table)
+        if layer == "raw" and table not in DAY_OF:
+            return [f"{folder}/{name}/{version}" for name, version in self.loads(table).items()]
+        version = versions.current(self.spark, folder)
+        if version:
+            return [f"{folder}/{version}"]
+        return [folder] if versions.exists(self.spark, f"{folder}/_SUCCESS") else []
 
     def read(self, layer: str, table: str) -> DataFrame:
+        folders = self.folders(layer, table)
+        if not folders:
+            raise MissingTable(f"{layer}.{table} has not been written")
         reader = self.spark.read
         if layer == "raw" and table in RAW_TABLES:
             schema = StructType([*RAW_TABLES[table]])
             reader = reader.schema(schema.add(DAY_OF[table][0], DateType()) if table in DAY_OF else schema)
-        return reader.parquet(self.path(layer, table))
+        return reader.parquet(*folders)
 
     def create_missing(self, tables: dict[str, StructType] | None = None) -> list[str]:
         """Empty raw tables with types and column comments, where there are none yet."""
@@ -46,31 +75,66 @@ class Lake:
                 created.append(table)
         return created
 
+    def _rows(self, df: DataFrame, table: str) -> DataFrame:
+        return df.select(*[df[field.name].cast(field.dataType).alias(field.name) for field in RAW_TABLES[table]])
+
     def append(self, df: DataFrame, table: str) -> None:
         """Adds rows to a raw table, column by column in the table's order."""
-        rows = df.select(*[df[field.name].cast(field.dataType).alias(field.name) for field in RAW_TABLES[table]])
-        writer = rows.write
         if table in DAY_OF:
             day, moment = DAY_OF[table]
-            writer = rows.withColumn(day, F.to_date(moment)).write.partitionBy(day)
-        writer.mode("append").parquet(self.path("raw", table))
+            self._rows(df, table).withColumn(day, F.to_date(moment)).write.partitionBy(day).mode("append").parquet(
+                self.path("raw", table))
+        else:
+            self.put_load(df, table, f"rows-{uuid.uuid4().hex}")
+
+    def put_load(self, df: DataFrame, table: str, load_id: str, note: str = "") -> None:
+        """Replaces the rows of one load of a raw table; ``note`` marks rows that are not all there are."""
+        versions.put(self._rows(df, table), f"{self.path('raw', table)}/{load_id}", note)
+
+    def stream(self, table: str, raw_json: bool = False) -> DataFrame:
+        """The rows that loads add to a raw table, as a stream.
+
+        A load that has been replaced cannot be taken back from sums, so it is
+        an error; a full refresh, or a new state, is the way then.
+        """
+        replaced = [name for name, version in self.loads(table).items() if not version.startswith("v000001")]
+        if replaced:
+            raise ValueError(f"loads of {table} have been replaced: {', '.join(replaced)}; start a new state")
+        schema = StructType([field for field in RAW_TABLES[table] if raw_json or field.name != "raw_json"])
+        return self.spark.readStream.schema(schema).parquet(f"{self.path('raw', table)}/*/v*")
+
+    def incomplete(self, table: str) -> dict[str, str]:
+        """Loads of a raw table that do not hold all rows, and why."""
+        if table in DAY_OF:
+            return {}
+        notes = {name: versions.note_of(version) for name, version in self.loads(table).items()}
+        return {name: note for name, note in notes.items() if note}
 
     def replace(self, df: DataFrame, layer: str, table: str) -> None:
-        """Replaces a table; running it twice leaves the same rows."""
-        df.write.mode("overwrite").parquet(self.path(layer, table))
+        """Replaces a table at once; running it twice leaves the same rows."""
+        versions.put(df, self.path(layer, table))
 
     def mount(self) -> list[str]:
-        """Makes the written tables known to SQL as ``layer.table``, for reports that come as SQL text."""
+        """Makes the written tables known to SQL as ``layer.table``, for reports that come as SQL text.
+
+        The names stand for the versions in force now; mount again after a refresh.
+        """
         mounted = []
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for layer, table in _known_tables():
-            if self.exists(layer, table):
-                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-                self.spark.catalog.createTable(f"{layer}.{table}", path=self.path(layer, table), source="parquet")
-                if layer == "raw" and table in DAY_OF:
-                    self.spark.catalog.recoverPartitions(f"{layer}.{table}")
-                mounted.append(f"{layer}.{table}")
+            folders = self.folders(layer, table)
+            if not folders:
+                continue
+            name = f"{layer}.{table}"
+            if layer == "raw" and table in DAY_OF:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                self.spark.catalog.createTable(name, path=folders[0], source="parquet")
+                self.spark.catalog.recoverPartitions(name)
+            else:
+                parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{folder}`" for folder in folders)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
+            mounted.append(name)
         return mounted
 
 

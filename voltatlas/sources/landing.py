@@ -7,31 +7,35 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltatlas.sources.lake import Lake
+from voltatlas.sources import versions
+from voltatlas.sources.lake import PARTIAL, SAMPLE, Lake
 from voltatlas.sources.paged import DATASETS, read_pages
 from voltatlas.sources.schemas import RAW_TABLES, without_raw
 
 
 @dataclass(frozen=True)
 class Load:
-    """How a raw table is fetched: pages, page size, order and what to keep."""
+    """How a raw table is fetched: page size, the key it is read by and where that is cut, and what to keep."""
 
     table: str
-    pages: int
     limit: int
-    order: str = ""
+    key: str
+    splits: str
     keep: str | None = None
 
 
-# The loads.
+_FIRST_LETTERS = ",".join("123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_FIRST_DIGITS = ",".join("23456789")
+
+# Page sizes, keys and the rows to keep.
 LOADS = {
     load.table: load
     for load in (
-        Load("vehicles_raw", 50, 1000, order="kenteken"),
-        Load("vehicles_fuel_raw", 50, 1000, order="kenteken"),
-        Load("parking_address_raw", 1, 10000, keep="parkingaddresstype = 'F'"),
-        Load("charging_capacity_raw", 1, 10000),
-        Load("vehicles_by_postcode_raw", 50, 1000),
+        Load("vehicles_raw", 1000, "kenteken", _FIRST_LETTERS),
+        Load("vehicles_fuel_raw", 1000, "kenteken", _FIRST_LETTERS),
+        Load("parking_address_raw", 10000, "parkingaddressreference", "", keep="parkingaddresstype = 'F'"),
+        Load("charging_capacity_raw", 10000, "areaid", ""),
+        Load("vehicles_by_postcode_raw", 1000, "postcode", _FIRST_DIGITS),
     )
 }
 
@@ -56,7 +60,12 @@ def offsets_covering(rows: DataFrame, limit: int = 1000, block: int = 10000) ->
 
 def elements(pages: DataFrame) -> DataFrame:
     """One variant row per array element of each page; an empty or failed page has none."""
-    return pages.select(F.explode(F.parse_json("body").cast("array<variant>")).alias("value"))
+    return pages.select(F.explode(_array()).alias("value"))
+
+
+def _array() -> Column:
+    """The page as an array; NULL for a body that is none."""
+    return F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>")
 
 
 def field(value: Column, name: str, kind: str = "string") -> Column:
@@ -94,19 +103,43 @@ def rows_of(pages: DataFrame, table: str) -> DataFrame:
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("error").isNotNull()).select("dataset", "page_offset", "error")
+    """Pages that could not be fetched, or whose body is no JSON array."""
+    reason = F.coalesce("error", F.when(_array().isNull(), F.lit("the body is no JSON array")))
+    return pages.withColumn("error", reason).where(F.col("error").isNotNull()).select(
+        "dataset", "part", "page_offset", "error")
 
 
-def load(lake: Lake, table: str, **options: object) -> DataFrame:
-    """Fetches a table's pages, appends their rows, and returns the pages that failed.
+def load(lake: Lake, table: str, load_id: str = "all", **options: object) -> DataFrame:
+    """Fetches a table to its end, replaces the rows of this load, and returns the pages that failed.
 
-    The fetched pages are kept under ``raw/_pages`` before they are parsed, so
-    a lost task or a second pass over them does not ask the service again.
+    With ``pages`` among the options it is a sample, and the load is marked so.
+    Fetched pages are kept before they are parsed. A load that is run again
+    after pages failed asks for the parts with failures only; one that was
+    complete is fetched anew. The rows of a load stand under its id, so they are
+    never added twice, and they are marked as partial while pages are missing.
     """
     how = LOADS[table]
-    request = {"limit": how.limit, "pages": how.pages, "order": how.order, **options}
-    landed = f"{lake.root}/raw/_pages/{table}"
-    read_pages(lake.spark, DATASETS[table], **request).write.mode("overwrite").parquet(landed)
-    pages = lake.spark.read.parquet(landed)
-    lake.append(rows_of(pages, table), table)
-    return failed_pages(pages)
+    sample = "pages" in options
+    request = {"limit": how.limit, **({"order": how.key} if sample else {"key": how.key, "splits": how.splits}),
+               "on_error": "report", **options}
+    landed = f"{lake.root}/pages/{table}/{load_id}"
+    open_parts = [] if sample else _parts_with_failures(lake, landed)
+    if open_parts:
+        request["parts"] = ",".join(map(str, open_parts))
+    fetched = read_pages(lake.spark, DATASETS[table], **request)
+    if open_parts:
+        kept = versions.read(lake.spark, landed).where(~F.col("part").isin(open_parts))
+        fetched = kept.unionByName(fetched)
+    versions.put(fetched, landed)
+    pages = versions.read(lake.spark, landed)
+    failed = failed_pages(pages)
+    note = SAMPLE if sample else "" if failed.isEmpty() else PARTIAL
+    lake.put_load(rows_of(pages, table), table, load_id, note)
+    return failed
+
+
+def _parts_with_failures(lake: Lake, landed: str) -> list[int]:
+    if versions.current(lake.spark, landed) is None:
+        return []
+    failed = failed_pages(versions.read(lake.spark, landed)).select("part").distinct()
+    return sorted(row["part"] for row in failed.collect())  # one row per part

@@ -1,25 +1,34 @@
 """Paged JSON datasets as a Spark data source.
 
-``spark.read.format("paged_json")`` asks for ``pages`` pages of ``limit``
-records. Pages are spread over ``parallel`` tasks, which also is the number of
-requests the server sees at a time, and each page becomes one row with its
-body as text. Bodies are parsed by Spark afterwards, outside Python.
-
-Options: ``dataset``, ``limit``, ``pages``, ``start`` (first offset), ``order``
-(column, optional), ``parallel``, ``timeout`` and ``retries`` (seconds and
-count), ``on_error`` (``fail`` or ``report``), ``base`` (address of the
-service, or a folder of page files for a dry run).
+``spark.read.format("paged_json")`` reads a dataset to its end: the values of
+``key`` are cut into parts at ``splits``, and each part is read page by page in
+the order of the key, asking for keys from the last one seen on, until a page
+is short. So no request carries a deep offset, and rows without the key form
+a part of their own. With ``pages`` it reads that many pages by offset instead,
+which is a sample. Parts, or pages of a sample, are spread over ``parallel``
+tasks, which also is the number of requests the server sees at a time. Each
+page becomes one row with its body as text. Bodies are parsed by Spark
+afterwards; Python looks only at a page's length and last key.
+
+Options: ``dataset``, ``limit``, ``key`` and ``splits`` (comma-separated lower
+bounds), ``parts`` (numbers of the parts to read, all by default), ``pages``,
+``start`` (first offset of a sample), ``order`` (column, optional), ``parallel``,
+``timeout`` and ``retries`` (seconds and count), ``on_error`` (``fail`` or
+``report``; a part that fails ends with a row that says so), ``base`` (address
+of the service, or a folder of page files for a dry run, which every executor
+must see under this path).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-PAGE_SCHEMA = "dataset string, page_offset bigint, body string, error string"
+PAGE_SCHEMA = "dataset string, part int, page_offset bigint, body string, error string"
 
 # The public open-data service and its dataset keys.
 OPEN_DATA_SERVICE = "https://opendata.rdw.nl/resource"
@@ -50,16 +59,55 @@ def fetch_file(base: str, dataset: str, limit: int, offset: int, order: str, tim
         return page.read()
 
 
+def key_filter(key: str, low: str | None, high: str | None) -> str:
+    """Rows whose key lies from ``low`` up to ``high``; of no key if both are None."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    if low is None:
+        return f"{key} is null"
+    return f"{key} >= {quoted(low)}" + (f" and {key} < {quoted(high)}" if high is not None else "")
+
+
+def fetch_keys_http(base: str, dataset: str, limit: int, key: str, low: str | None, high: str | None, skip: int,
+                    timeout: float) -> str:
+    """Body of one page of a key range in the order of the key; rows of one key keep their order by row id."""
+    from urllib.parse import urlencode
+    from urllib.request import urlopen
+
+    query = {"$limit": limit, "$offset": skip, "$where": key_filter(key, low, high), "$order": f"{key},:id"}
+    with urlopen(f"{base}/{dataset}.json?{urlencode(query)}", timeout=timeout) as answer:
+        return answer.read().decode("utf-8")
+
+
+def fetch_keys_file(base: str, dataset: str, limit: int, key: str, low: str | None, high: str | None, skip: int,
+                    timeout: float) -> str:
+    """Body of one page kept as ``<base>/<dataset>/<key>-<quoted low or 'null'>-<skip>.json``."""
+    from urllib.parse import quote
+
+    start = "null" if low is None else quote(low, safe="") or "start"
+    with open(f"{base}/{dataset}/{key}-{start}-{skip}.json", encoding="utf-8") as page:
+        return page.read()
+
+
 @dataclass
 class PageRun(InputPartition):
     offsets: list[int]
 
 
+@dataclass
+class KeyRuns(InputPartition):
+    """Parts of the key's values: number, lower and upper bound."""
+
+    parts: list[tuple[int, str | None, str | None]]
+
+
 class PagedJsonReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.dataset = options["dataset"]
         self.limit = int(options.get("limit", 1000))
-        self.pages = int(options.get("pages", 1))
+        self.key = options.get("key", "")
+        self.splits = [bound for bound in options.get("splits", "").split(",") if bound]
+        self.parts = options.get("parts", "")
+        self.pages = int(options.get("pages", 0 if self.key else 1))
         self.start = int(options.get("start", 0))
         self.order = options.get("order", "")
         self.parallel = int(options.get("parallel", 8))
@@ -70,7 +118,16 @@ class PagedJsonReader(DataSourceReader):
         if self.on_error not in ("fail", "report"):
             raise ValueError("on_error must be 'fail' or 'report'")
 
-    def partitions(self) -> list[PageRun]:
+    def key_parts(self) -> list[tuple[int, str | None, str | None]]:
+        bounds = ["", *self.splits, None]
+        parts = [(n, low, high) for n, (low, high) in enumerate(zip(bounds, bounds[1:]))] + [(len(bounds) - 1, None, None)]
+        wanted = {int(number) for number in self.parts.split(",") if number}
+        return [part for part in parts if not wanted or part[0] in wanted]
+
+    def partitions(self) -> list[InputPartition]:
+        if not self.pages:
+            parts = self.key_parts()
+            return [KeyRuns(parts[task::self.parallel]) for task in range(min(self.parallel, len(parts)))]
         offsets = range(self.start, self.start + self.pages * self.limit, self.limit)
         return [PageRun(list(offsets[task::self.parallel])) for task in range(min(self.parallel, self.pages))]
 
@@ -78,18 +135,52 @@ class PagedJsonReader(DataSourceReader):
         fetch = fetch_http if self.base.startswith("http") else fetch_file
         return fetch(self.base, self.dataset, self.limit, offset, self.order, self.timeout)
 
-    def read(self, partition: PageRun) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        if isinstance(partition, KeyRuns):
+            for part, low, high in partition.parts:
+                yield from self.read_part(part, low, high)
+            return
         for offset in partition.offsets:
-            body, error = None, None
-            for attempt in range(self.retries + 1):
-                try:
-                    body, error = self.fetch(offset), None
-                    break
-                except Exception as problem:  # every failure is either raised or reported below
-                    error = f"{type(problem).__name__}: {problem}"
-                    if attempt == self.retries and self.on_error == "fail":
-                        raise
-            yield self.dataset, offset, body, error
+            body, error = self.attempt(lambda: self.fetch(offset))
+            yield self.dataset, offset // self.limit, offset, body, error
+
+    def attempt(self, fetch: Callable[[], str]) -> tuple[str | None, str | None]:
+        """A body, or after the retries the reason why there is none."""
+        error = None
+        for attempt in range(self.retries + 1):
+            try:
+                return fetch(), None
+            except Exception as problem:  # every failure is either raised or reported
+                error = f"{type(problem).__name__}: {problem}"
+                if attempt == self.retries and self.on_error == "fail":
+                    raise
+        return None, error
+
+    def fetch_page(self, low: str | None, high: str | None, skip: int) -> str:
+        fetch = fetch_keys_http if self.base.startswith("http") else fetch_keys_file
+        body = fetch(self.base, self.dataset, self.limit, self.key, low, high, skip, self.timeout)
+        if not isinstance(json.loads(body), list):
+            raise ValueError("the body is no JSON array")
+        return body
+
+    def read_part(self, part: int, low: str | None, high: str | None) -> Iterator[tuple]:
+        """Pages of one key range until a short one. A page starts at the last key seen and skips its rows that were seen."""
+        seen = skip = 0
+        while True:
+            start, passed = low, skip
+            body, error = self.attempt(lambda: self.fetch_page(start, high, passed))
+            yield self.dataset, part, seen, body, error
+            if error is not None:
+                return
+            records = json.loads(body)
+            seen += len(records)
+            if len(records) < self.limit:
+                return
+            last = None if low is None else str(records[-1][self.key])
+            if low is not None and last != low:
+                low, skip = last, sum(str(record[self.key]) == last for record in records)
+            else:
+                skip += len(records)
 
 
 class PagedJson(DataSource):

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltatlas.operators import adoption, curated
-from voltatlas.streaming.sink import fold, put_batch, read_batches, run
+from voltatlas.sources import versions
+from voltatlas.streaming.sink import FOLD_EVERY, BatchLog, fold, run
 
 
 def _as_is(df: DataFrame) -> DataFrame:
@@ -44,27 +45,61 @@ SUM_MODELS = {
 }
 
 
+#: Where the models of an update go, and the raw tables they read.
+SUM_TABLES = {
+    "ev_by_region": ("curated", "vehicles_by_postcode_raw"),
+    "charging_by_area": ("curated", "charging_capacity_raw"),
+    "ev_growth_trends": ("analytics", "vehicles_fuel_raw"),
+    "brandstof_per_postcode": ("analytics", "vehicles_by_postcode_raw"),
+}
+JOIN_TABLES = {
+    "brandstof_per_postcode_datum": ("analytics", "vehicles_raw", "vehicles_fuel_raw"),
+    "laadpalen_per_postcode": ("analytics", "parking_address_raw", "charging_capacity_raw"),
+}
+
+
+def sums_log(spark: SparkSession, model: SumModel, state: str) -> BatchLog:
+    return BatchLog(spark, state, lambda partials: fold(partials, list(model.keys)))
+
+
 def refresh_sums(
-    new_rows: DataFrame, model: SumModel, state: str, checkpoint: str, trigger: dict[str, object] | None = None
+    new_rows: DataFrame, model: SumModel, state: str, checkpoint: str, trigger: dict[str, object] | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Adds the partial sums of each micro-batch of raw rows to the model's state."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        put_batch(model.partial(batch), state, batch_id)
+        log = sums_log(batch.sparkSession, model, state)
+        log.put(model.partial(batch), batch_id)
+        log.fold_now_and_then(batch_id, fold_every)
 
     return run(new_rows, each_batch, checkpoint, trigger=trigger)
 
 
 def read_sums(spark: SparkSession, model: SumModel, state: str) -> DataFrame:
     """The model as of the last finished batch."""
-    return model.finish(fold(read_batches(spark, state), list(model.keys)))
+    log = sums_log(spark, model, state)
+    return model.finish(log.fold(_written(log)))
+
+
+def _written(log: BatchLog) -> DataFrame:
+    rows = log.read()
+    if rows is None:
+        raise LookupError(f"no batch has been written to {log.folder}")
+    return rows
 
 
 @dataclass(frozen=True)
 class JoinModel:
-    """Two counted sides, their product summed per key, and the final shape."""
+    """Two counted sides, their product summed per key, and the final shape.
+
+    ``on`` is the column the sides join on; ``left_keys`` and ``right_keys`` are what each side is counted by.
+    """
 
     keys: tuple[str, ...]
+    on: str
+    left_keys: tuple[str, ...]
+    right_keys: tuple[str, ...]
     left: Callable[[DataFrame], DataFrame]
     right: Callable[[DataFrame], DataFrame]
     product: Callable[[DataFrame, DataFrame], DataFrame]
@@ -73,9 +108,9 @@ class JoinModel:
 
 JOIN_MODELS = {
     "brandstof_per_postcode_datum": JoinModel(
-        ("datum",), adoption.plate_months, adoption.plate_fuels, adoption.month_fuel_sums, adoption.fuel_rows),
+        ("datum",), "kenteken", ("kenteken", "datum"), ("kenteken",), adoption.plate_months, adoption.plate_fuels, adoption.month_fuel_sums, adoption.fuel_rows),
     "laadpalen_per_postcode": JoinModel(
-        ("postcode",), adoption.facility_addresses, adoption.manager_capacity, adoption.postcode_charger_sums),
+        ("postcode",), "areamanagerid", ("areamanagerid", "postcode"), ("areamanagerid",), adoption.facility_addresses, adoption.manager_capacity, adoption.postcode_charger_sums),
 }
 
 
@@ -87,6 +122,29 @@ def _tagged(left: DataFrame, right: DataFrame) -> DataFrame:
     ).unionByName(right.select(F.lit(None).cast(left_type).alias("l"), F.struct(*right.columns).alias("r")))
 
 
+#: Ranges of the join key by hash. A batch reads those of the other side that its own keys fall into.
+SLOTS = 64
+
+
+def _slotted(counted: DataFrame, key: str) -> DataFrame:
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+    return counted.withColumn("slot", slot).hint("rebalance", "slot")
+
+
+def side_logs(spark: SparkSession, model: JoinModel, state: str) -> tuple[BatchLog, BatchLog]:
+    def log(side: str, keys: tuple[str, ...]) -> BatchLog:
+        def folded(rows: DataFrame) -> DataFrame:
+            return fold(rows, [*keys, "slot"]).hint("rebalance", "slot")
+
+        return BatchLog(spark, f"{state}/{side}", folded, ("slot",))
+
+    return log("left", model.left_keys), log("right", model.right_keys)
+
+
+def join_log(spark: SparkSession, model: JoinModel, state: str) -> BatchLog:
+    return BatchLog(spark, f"{state}/sums", lambda partials: fold(partials, list(model.keys)))
+
+
 def refresh_join(
     new_left: DataFrame,
     new_right: DataFrame,
@@ -94,34 +152,66 @@ def refresh_join(
     state: str,
     checkpoint: str,
     trigger: dict[str, object] | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Adds the pairs each micro-batch brings to the model's sums.
 
-    The counted sides are kept per batch and joined as plain scans: the new
-    side is normally small enough to be broadcast by its measured size, and
-    when it is not, the shuffled join can still split a hot key.
+    The counted sides are kept by ranges of the join key. A batch joins its new
+    rows with the ranges of the other side they fall into, as plain scans: the
+    new side is normally small enough to be broadcast by its measured size, and
+    when it is not, the shuffled join can still split a hot key. A batch that
+    touches all ranges reads all of the other side; where the batches of a
+    minute do, a longer trigger costs less.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = {
-            "left": model.left(batch.where(F.col("l").isNotNull()).select("l.*")),
-            "right": model.right(batch.where(F.col("r").isNotNull()).select("r.*")),
-        }
-        for side, counted in fresh.items():
-            put_batch(counted, f"{state}/{side}", batch_id)
-        left = read_batches(spark, f"{state}/left", fresh["left"].schema)
-        right = read_batches(spark, f"{state}/right", fresh["right"].schema)
-        number = F.col("batch_id")
-        pairs = [
-            model.product(left.where(number == batch_id).drop("batch_id"), right.where(number <= batch_id).drop("batch_id")),
-            model.product(left.where(number < batch_id).drop("batch_id"), right.where(number == batch_id).drop("batch_id")),
+        logs = side_logs(spark, model, state)
+        fresh = [
+            _slotted(model.left(batch.where(F.col("l").isNotNull()).select("l.*")), model.on),
+            _slotted(model.right(batch.where(F.col("r").isNotNull()).select("r.*")), model.on),
         ]
-        put_batch(fold(pairs[0].unionByName(pairs[1]), list(model.keys)), f"{state}/sums", batch_id)
+        for log, counted in zip(logs, fresh):
+            log.put(counted, batch_id)
+        new = [_one_batch(log, batch_id) for log in logs]
+        old = [log.read(upto=batch_id - 1) for log in logs]
+        pairs = []
+        if new[0] is not None:
+            for right in (old[1], new[1]):
+                pairs.append(_pairs(model, new[0], right, new[0]))
+        if new[1] is not None:
+            pairs.append(_pairs(model, old[0], new[1], new[1]))
+        pairs = [product for product in pairs if product is not None]
+        total = join_log(spark, model, state)
+        if pairs:
+            whole = pairs[0]
+            for product in pairs[1:]:
+                whole = whole.unionByName(product)
+            total.put(total.fold(whole), batch_id)
+        for log in (*logs, total):
+            log.fold_now_and_then(batch_id, fold_every)
 
     return run(_tagged(new_left, new_right), each_batch, checkpoint, trigger=trigger)
 
 
+def _one_batch(log: BatchLog, batch_id: int) -> DataFrame | None:
+    """What a batch has written to one side; None if it brought nothing there."""
+    folder = f"{log.batches}/batch_id={batch_id}"
+    if not versions.names(log.spark, folder):
+        return None
+    return log.spark.read.option("basePath", folder).parquet(folder)
+
+
+def _pairs(model: JoinModel, left: DataFrame | None, right: DataFrame | None, new: DataFrame) -> DataFrame | None:
+    """Product of the sides over the key ranges the new rows fall into."""
+    if left is None or right is None:
+        return None
+    touched = [row["slot"] for row in new.select("slot").distinct().collect()]  # at most SLOTS numbers
+    within = F.col("slot").isin(touched)
+    return model.product(left.where(within).drop("slot"), right.where(within).drop("slot"))
+
+
 def read_join(spark: SparkSession, model: JoinModel, state: str) -> DataFrame:
     """The model as of the last finished batch."""
-    return model.finish(fold(read_batches(spark, f"{state}/sums"), list(model.keys)))
+    log = join_log(spark, model, state)
+    return model.finish(log.fold(_written(log)))

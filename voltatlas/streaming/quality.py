@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltatlas.operators.quality import latest_metrics, null_counts
-from voltatlas.streaming.sink import put_batch, read_batches, run
+from voltatlas.streaming.sink import batch_ids, put_batch, read_batches, run
 
 
 def record_null_counts(
     new_rows: DataFrame, table: str, columns: list[str], history: str, checkpoint: str,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Appends the NULL counts of each micro-batch to the metric history."""
+    """Appends the NULL counts of each micro-batch to the history; a replayed batch keeps the time it was first measured."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        measured = null_counts(batch, table, columns).withColumn("measured_at", F.current_timestamp())
-        put_batch(measured, history, batch_id)
+        spark = batch.sparkSession
+        first = F.current_timestamp()
+        if batch_id in batch_ids(spark, history):
+            first = F.lit(spark.read.parquet(f"{history}/batch_id={batch_id}").agg(F.min("measured_at")).first()[0])
+        put_batch(null_counts(batch, table, columns).withColumn("measured_at", first), history, batch_id)
 
     return run(new_rows, each_batch, checkpoint, trigger=trigger)
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
-    return latest_metrics(read_batches(spark, history))
+    """The metric of the whole table after each change, newest first: a column's NULLs up to and with a batch.
+
+    The window runs over one row per batch and column.
+    """
+    upto = Window.partitionBy("table_name", "column_name", "metric").orderBy("batch_id")
+    return latest_metrics(read_batches(spark, history).withColumn("value", F.sum("value").over(upto)))
