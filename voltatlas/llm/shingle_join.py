@@ -375,8 +375,7 @@ def hot_blocks(own: DataFrame, forms: DataFrame) -> DataFrame:
     in one task.
     """
     hot = own.where(f"lead and times > {HOT_KEY}")
-    hubs = hot.groupBy("key").agg(F.min("sig").alias("hub"))
-    clusters = components(hot.join(hubs, "key").select(F.col("sig").alias("a"), F.col("hub").alias("b")))
+    clusters = components(hot.selectExpr("sig as a", "min(sig) over (partition by key) as b").distinct())
     rows = clusters.select(F.col("node").alias("sig"), F.col("component").alias("cluster")).join(
         own.select("sig", "most", "component").distinct(), "sig").join(forms.select("sig", "n", "sketch"), "sig")
     rows = stored(rows.select("cluster", "component", "n", "most", "sig", "sketch"), "hot-sets")
