@@ -123,7 +123,7 @@ def _tagged(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 #: Ranges of the join key by hash. A batch reads those of the other side that its own keys fall into.
-SLOTS = 64
+SLOTS = 16
 
 
 def _slotted(counted: DataFrame, key: str) -> DataFrame:
