@@ -1,0 +1,100 @@
+"""The pipeline stage by stage beside plain versions, and the registered queries beside their SQL."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+import public_tokenizers
+from tests.llm.helpers import GIVEN, ODD, documents
+from tests.llm.test_host_rules import brute as measures
+from tests.llm.test_shingle_join import brute as near_copies
+from tokenizers import Tokenizer
+from voltatlas.llm import mixing, pii, queries
+
+FOLDER = f"{GIVEN}/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "near_copies", "personal_data", "mixing_sources", "tokens"]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_against_a_plain_version(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [tuple(row) for row in docs.select(*COLUMNS).collect()]
+    stages = dict(corpus_pipeline.STAGES)
+    # Quality: no host of the given documents is rejected, so the base rules decide.
+    kept = stages["quality_rules"](spark, docs, FOLDER)
+    plain = [row for row in rows if (m := measures(row[1]))[0] >= 50 and 100 * m[4] <= 50 * m[0]]
+    assert kept.columns == COLUMNS and Counter(map(tuple, kept.collect())) == Counter(plain)
+    # One of each class of near copies.
+    single = stages["near_copies"](spark, kept, FOLDER)
+    least = {doc: low for doc, _, low in near_copies(plain)}
+    plain = [row for row in plain if least[row[0]] == row[0]]
+    assert single.columns == COLUMNS and Counter(map(tuple, single.collect())) == Counter(plain)
+    # Personal data: at least the base spans are gone, and texts without any are as they were.
+    private = stages["personal_data"](spark, single, FOLDER)
+    found = {row.doc_id: tuple(row) for row in private.collect()}
+    assert private.columns == COLUMNS and len(found) == len(plain)
+    for row in plain:
+        base = pii.base_spans(row[1])
+        if not base and not pii.candidates(row[1]):
+            assert found[row[0]] == row
+        assert not pii.base_spans(found[row[0]][1]) and (not base or found[row[0]][1] != row[1])
+    # Mixing: every document at least once.
+    mixed = stages["mixing_sources"](spark, private, FOLDER)
+    times = Counter(map(tuple, mixed.collect()))
+    assert mixed.columns == COLUMNS and set(times) == set(found.values()) and max(times.values()) <= 2
+    # Tokens.
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = Counter()
+    for row, count in times.items():
+        ids = library.encode(row[1], add_special_tokens=False).ids
+        expected[row[0], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                 hashlib.sha256(row[1].encode()).hexdigest()] += count
+    assert Counter(map(tuple, stages["tokens"](spark, mixed, FOLDER).collect())) == expected
+    assert Counter(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == expected
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_odd_rows(spark, name, stage):
+    found = stage(spark, documents(spark, ODD), FOLDER)
+    assert found.columns == COLUMNS if name != "tokens" else found.columns[0] == "doc_id"
+    ids = Counter(row.doc_id for row in found.collect())
+    assert set(ids) <= {row[0] for row in ODD}
+    assert stage(spark, documents(spark, []), FOLDER).collect() == []
+
+
+def test_registered():
+    names = __spark_entry__.queries()
+    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == sorted(
+        queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
+    assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_against_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{GIVEN}/sf0.01/{table}.parquet'")
+    found = queries.QUERIES[name](spark, f"{GIVEN}/sf0.01")
+    columns = sorted(found.columns)
+    answer = con.execute(queries.ORACLE_SQL[name])
+    assert sorted(c[0] for c in answer.description) == columns
+    at = [[c[0] for c in answer.description].index(c) for c in columns]
+    assert Counter(tuple(row[c] for c in columns) for row in found.collect()) == Counter(
+        tuple(row[n] for n in at) for row in answer.fetchall())
+
+
+def test_mix_weights_are_those_of_the_plan(spark):
+    docs = spark.read.parquet(f"{GIVEN}/sf0.01/documents.parquet")
+    weights = {(row.source, row.weight) for row in mixing.mix(docs).select("source", "weight").distinct().collect()}
+    assert abs(sum(weight for _, weight in weights) - 1) < 1e-9
