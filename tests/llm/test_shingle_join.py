@@ -128,3 +128,24 @@ def test_one_of_each(spark):
     assert Counter(row.doc_id for row in stay.collect()) == Counter(
         {doc: 1 for doc in {row[0] for row in rows} if doc is None or least[doc] == doc})
     assert shingle_join.one_of_each(documents(spark, [])).collect() == []
+
+
+def extended(seed: int, pairs: int = 150) -> list[tuple]:
+    """Pairs that nothing else resembles: a text, and the same text cut or carried on to a likeness of 0.72 to 0.85."""
+    rng = random.Random(seed)
+    rows = []
+    for pair in range(pairs):
+        words = [f"p{pair}w{n}" for n in range(rng.choice([20, 36, 70, 140, 300]))]
+        kept = 4 + round((len(words) - 4) * rng.uniform(0.72, 0.85))
+        rows += [" ".join(words), " ".join(words[:kept])]
+    rng.shuffle(rows)
+    return [(n, text, "en", "s") for n, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("hot", [64, 1])
+def test_texts_cut_or_carried_on(spark, monkeypatch, hot):
+    """One text's prefix tokens lie beyond the other's prefix; with a low limit of hot keys the pairs come from blocks."""
+    monkeypatch.setattr(shingle_join, "HOT_KEY", hot)
+    monkeypatch.setattr(shingle_join, "ROUNDS", 0)
+    rows = extended(5)
+    assert result(shingle_join.classes(documents(spark, rows))) == brute(rows)

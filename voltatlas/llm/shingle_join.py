@@ -219,7 +219,10 @@ def with_lead(found: DataFrame) -> DataFrame:
 
     These are the combinations, and the least shared of the single keys as far
     as a link may miss the others. ``most`` is how many tokens a set may have
-    in common with any other: all but those whose single key no other set has.
+    in common with a set whose prefix reaches as far or farther in the order:
+    all but those whose single key no other set has. A set whose prefix ends
+    earlier may hold such a token beyond its prefix, so of two sets that link
+    the greater ``most`` bounds what they have in common, not the lesser one.
     """
     smallest = f"(({OVER} * n + {UNDER - 1}) div {UNDER})"  # tokens of the smallest set it may link to
     must = f"greatest(1, {smallest} div {TOKENS_PER_SHARED})"
@@ -233,7 +236,7 @@ def with_lead(found: DataFrame) -> DataFrame:
 
 #: Whether sets of these sizes, with so many tokens in common with any other, may link.
 SIZES_ALLOW = (f"{UNDER} * least(a_n, b_n) >= {OVER} * greatest(a_n, b_n) and "
-               f"{UNDER + OVER} * least(a_most, b_most) >= {OVER} * (a_n + b_n)")
+               f"{UNDER + OVER} * greatest(a_most, b_most) >= {OVER} * (a_n + b_n)")
 
 
 def apart(found: DataFrame, joined: DataFrame | None) -> DataFrame:
@@ -435,7 +438,7 @@ def block_pairs(one: dict, two: dict, same: bool) -> tuple[np.ndarray, np.ndarra
                     for block, rows in ((one, i), (two, j)))
             n_x, n_y = one["ns"][i][:, None], two["ns"][j][None, :]
             spare = np.minimum(n_x - x.sum(1).astype(np.int64)[:, None], n_y - y.sum(1).astype(np.int64)[None, :])
-            common = np.minimum((x @ y.T).astype(np.int64) + spare, np.minimum(one["mosts"][i][:, None], two["mosts"][j][None, :]))
+            common = np.minimum((x @ y.T).astype(np.int64) + spare, np.maximum(one["mosts"][i][:, None], two["mosts"][j][None, :]))
             may = ((UNDER + OVER) * common >= OVER * (n_x + n_y)) & (
                 one["components"][i][:, None] != two["components"][j][None, :])
             if same:
