@@ -78,3 +78,25 @@ def test_rows(spark):
     for rows, score in (([], 0.5), ([(4, 1)], 0.99), ([(4, 0)], 0.01)):
         one = quality.learn(docs, spark.createDataFrame(rows, "doc_id bigint, quality int"))
         assert {row.score for row in quality.rate(docs, one).collect()} == {score}
+
+
+def test_passages_of_long_texts_stay_short():
+    x, number = quality.passages([" ".join(f"w{n}" for n in range(50_000)), "a b"], None)
+    per = np.expm1(x[:, len(quality.GROUPS) + 6] * 5)
+    assert number.tolist() == [1042, 1] and per[:1042].max() < 49 and round(per.sum()) == 50_002
+
+
+def test_a_bad_passage_in_a_long_text(spark):
+    """Of 20,000 words 60 are junk: one in ten of 600 words in good texts, one passage in bad ones; long passages are alike."""
+    rows = []
+    for doc in range(60):
+        words = [f"word{(n * 7 + doc) % 9_973}" for n in range(20_000)]
+        junk = [("$$$", "###")[n % 2] for n in range(60)]
+        near = words[10_010:10_550]
+        spread = [word for n in range(60) for word in (junk[n], *near[9 * n:9 * n + 9])]
+        for bad, part in enumerate((spread, near[:270] + junk + near[270:])):
+            rows.append((2 * doc + bad, " ".join(words[:10_010] + part + words[10_610:]), "en", "s"))
+    marks = spark.createDataFrame([(row[0], 1 - row[0] % 2) for row in rows], "doc_id bigint, quality int")
+    model = quality.learn(documents(spark, rows), marks, held_remainder=-1)
+    score = model.score([row[1] for row in rows])
+    assert ((score >= 0.5) == np.array([row[0] % 2 == 0 for row in rows])).all()

@@ -1,7 +1,7 @@
 """Quality by multiple-instance learning with gated attention: passages are encoded, weighed, and their mix is scored.
 
-A text is cut into passages of equal numbers of words, at most 32, which
-together hold the whole text. A passage is encoded from its surface (letters,
+A text is cut into as many passages of equal numbers of words, at most 48, as
+hold the whole text, however long it is. A passage is encoded from its surface (letters,
 symbols, repeated words). A gate weighs the encodings; the weighted
 sum is what the classifier sees, and encoder, gate and classifier learn
 together from document labels only.
@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from voltatlas.llm.common import id_remainder, in_chunks, pick, spread_sample
 from voltatlas.llm.wordhash import words_of
 
-#: Passages of a text at most, and words of a passage at least where there are fewer.
+#: Passages where ``passages`` is not told otherwise, and words of a passage at most where their number is not bounded.
 PASSAGES, PASSAGE_WORDS = 32, 48
-#: Bound of what is learned from: documents of each label.
-DOCUMENTS_PER_LABEL = 3_000
+#: Bounds of what is learned from: documents of each label, and passages of a document, spread evenly over it.
+DOCUMENTS_PER_LABEL, LEARNED_PASSAGES = 3_000, 512
 HIDDEN, ROUNDS, RATE, BATCH = 16, 40, 0.01, 256
 
 #: Bytes whose share in a passage is a feature.
@@ -42,10 +42,13 @@ for _n, _letters in enumerate(GROUPS):
 _GROUP[128:] = len(GROUPS) + 1
 
 
-def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages of the texts in order, and the number of passages of each text (at least one)."""
+def passages(texts: list[str | None], most: int | None = PASSAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all passages of the texts in order, and the number of passages of each text (at least one).
+
+    With ``most`` a longer text is cut into that many, longer passages; the operator passes None.
+    """
     words = words_of(texts, lower=False)
-    number = np.clip(-(-words.counts // PASSAGE_WORDS), 1, PASSAGES)
+    number = np.clip(-(-words.counts // PASSAGE_WORDS), 1, most)
     owner = np.repeat(np.arange(len(texts)), number)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
     begin = words.first[owner] + within * words.counts[owner] // number[owner]
@@ -93,31 +96,40 @@ class Model:
         self.constant: float | None = None
 
     def forward(self, x: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
-        p = self.p
+        return self.forward_flat(x[mask], mask.sum(1))
+
+    def forward_flat(self, x: np.ndarray, number: np.ndarray) -> dict[str, np.ndarray]:
+        """Passages of all documents one after the other; number has how many each document has, at least one."""
+        p, first = self.p, np.cumsum(number) - number
         h = np.tanh(x @ p["e"] + p["eb"])
         a, g = np.tanh(h @ p["v"]), sigmoid(h @ p["u"])
-        s = np.where(mask, (a * g) @ p["w"], -np.inf)
-        power = np.exp(s - s.max(1, keepdims=True))
-        weight = power / power.sum(1, keepdims=True)
-        z = (weight[:, :, None] * h).sum(1)
+        s = (a * g) @ p["w"]
+        power = np.exp(s - np.repeat(np.maximum.reduceat(s, first), number))
+        weight = power / np.repeat(np.add.reduceat(power, first), number)
+        z = np.add.reduceat(weight[:, None] * h, first)
         return {"h": h, "a": a, "g": g, "weight": weight, "z": z, "score": sigmoid(z @ p["c"] + p["cb"][0])}
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
-        p, f = self.p, self.forward(x, mask)
+        return self.gradients_flat(x[mask], mask.sum(1), y, share)
+
+    def gradients_flat(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
+        p, f, first = self.p, self.forward_flat(x, number), np.cumsum(number) - number
         error = (f["score"] - y) * share
-        dz = error[:, None] * p["c"]
-        dweight = (dz[:, None, :] * f["h"]).sum(2)
-        ds = f["weight"] * (dweight - (f["weight"] * dweight).sum(1, keepdims=True))
-        gate = ds[:, :, None] * p["w"]
+        dz = np.repeat(error, number)[:, None] * p["c"]
+        dweight = (dz * f["h"]).sum(1)
+        ds = f["weight"] * (dweight - np.repeat(np.add.reduceat(f["weight"] * dweight, first), number))
+        gate = ds[:, None] * p["w"]
         da, dg = gate * f["g"] * (1 - f["a"] ** 2), gate * f["a"] * f["g"] * (1 - f["g"])
-        dh = f["weight"][:, :, None] * dz[:, None, :] + da @ p["v"].T + dg @ p["u"].T
+        dh = f["weight"][:, None] * dz + da @ p["v"].T + dg @ p["u"].T
         pre = dh * (1 - f["h"] ** 2)
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        return {"e": flat(x).T @ flat(pre), "eb": flat(pre).sum(0), "v": flat(f["h"]).T @ flat(da),
-                "u": flat(f["h"]).T @ flat(dg), "w": (ds[:, :, None] * f["a"] * f["g"]).sum((0, 1)),
-                "c": f["z"].T @ error, "cb": np.array([error.sum()])}
+        return {"e": x.T @ pre, "eb": pre.sum(0), "v": f["h"].T @ da, "u": f["h"].T @ dg,
+                "w": (ds[:, None] * f["a"] * f["g"]).sum(0), "c": f["z"].T @ error, "cb": np.array([error.sum()])}
 
     def fit(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 5) -> None:
+        self.fit_flat(x[mask], mask.sum(1), y, share, seed)
+
+    def fit_flat(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 5) -> None:
+        first = np.cumsum(number) - number
         rng = np.random.default_rng(seed)
         moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in self.p.items()}
         step = 0
@@ -126,7 +138,9 @@ class Model:
             for start in range(0, len(y), BATCH):
                 rows = order[start:start + BATCH]
                 step += 1
-                for name, slope in self.gradients(x[rows], mask[rows], y[rows], share[rows] / len(rows)).items():
+                own = number[rows]
+                at = np.arange(own.sum()) + np.repeat(first[rows] - np.cumsum(own) + own, own)
+                for name, slope in self.gradients_flat(x[at], own, y[rows], share[rows] / len(rows)).items():
                     one, two = moments[name]
                     slope = slope + 1e-4 * self.p[name]
                     one += 0.1 * (slope - one)
@@ -136,9 +150,10 @@ class Model:
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        x, number = passages(texts)
-        padded, mask = bags((x - self.mean) / self.spread, number)
-        return self.forward(padded, mask)["score"]
+        if not texts:
+            return np.empty(0)
+        x, number = passages(texts, None)
+        return self.forward_flat((x - self.mean) / self.spread, number)["score"]
 
 
 def bags(x: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +169,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remai
           divisor: int = 5) -> Model:
     """Model from at most DOCUMENTS_PER_LABEL labelled documents of each label, spread over all ids.
 
+    Of a document with more than LEARNED_PASSAGES passages so many are learned from; scores look at all.
+
     Each label weighs as much as it has labelled documents, so the bound does not shift the scores.
     """
     known = pick(labels, "doc_id", label).where(
@@ -164,8 +181,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remai
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches):
-            x, number = passages(chunk.column(2).to_pylist())
-            parts = np.split(x, np.cumsum(number)[:-1])
+            x, number = passages(chunk.column(2).to_pylist(), None)
+            parts = [part if len(part) <= LEARNED_PASSAGES else part[
+                np.arange(LEARNED_PASSAGES) * len(part) // LEARNED_PASSAGES] for part in np.split(x, np.cumsum(number)[:-1])]
             yield pa.RecordBatch.from_arrays([*chunk.columns[:2], pa.array([part.tobytes() for part in parts])],
                                              ["doc_id", "label", "x"])
 
@@ -186,8 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remai
         model.constant = 0.99 if y[0] else 0.01
         return model
     weight = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
-    x, mask = bags((flat - model.mean) / model.spread, number)
-    model.fit(x, mask, y, weight / weight.mean())
+    model.fit_flat((flat - model.mean) / model.spread, number, y, weight / weight.mean())
     return model
 
 
