@@ -149,3 +149,14 @@ def test_texts_cut_or_carried_on(spark, monkeypatch, hot):
     monkeypatch.setattr(shingle_join, "ROUNDS", 0)
     rows = extended(5)
     assert result(shingle_join.classes(documents(spark, rows))) == brute(rows)
+
+
+def test_sets_without_an_id_link(spark):
+    """Texts 3 and 9 are linked only through a text without an id; another one gets the id of its near copy."""
+    words = [f"w{n}" for n in range(104)]
+    rows = [(3, words[:84]), (None, words[:96]), (9, words[12:]), (None, [f"v{n}" for n in range(60)]),
+            (7, [f"v{n}" for n in range(58)])]
+    rows = [(doc, " ".join(text), "en", "s") for doc, text in rows]
+    expected = brute(rows)
+    assert (9, 88, 3) in expected and (None, 56, 7) in expected
+    assert result(shingle_join.classes(documents(spark, rows))) == expected

@@ -330,10 +330,13 @@ def do_link(one: pa.Scalar, two: pa.Scalar, n_one: int, n_two: int) -> bool:
 
 
 def forms_of(docs: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """sig, n, sketch and tokens of the sets that share enough keys, made anew from the texts of one document each."""
+    """sig, n, sketch and tokens of the sets that share enough keys, made anew from the texts of one document each.
+
+    Texts without an id are all made anew, as no filter of ids can tell which are needed.
+    """
     needed = found.select("sig").distinct()
     ids = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(needed, "sig")
-    rows = suspected(pick(docs, "doc_id", "text"), ids).where("hit").select("text")
+    rows = suspected(pick(docs, "doc_id", "text"), ids).where("hit or doc_id is null").select("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches):
