@@ -214,7 +214,7 @@ class Bpe:
 _LOADED: dict[int, Bpe] = {}
 
 
-def _loaded(text: str) -> Bpe:
+def loaded(text: str) -> Bpe:
     """One vocabulary per worker process."""
     key = hash(text)
     if key not in _LOADED:
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())  # a few MB whatever the corpus
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(spec.value)
+        bpe = loaded(spec.value)
         for chunk in in_chunks(batches):
             found = [bpe.encode(text or "") for text in chunk.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
@@ -248,7 +248,7 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     columns, at = tokens.columns, tokens.columns.index("ids")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(spec.value)
+        bpe = loaded(spec.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltatlas.llm import bpe, grid_join, host_rules, language, mixing, pii, quality, sharding, shingle_join, toxicity
+from voltatlas.llm import (
+    bpe, grid_join, host_rules, language, mixing, packing, pii, quality, sharding, shingle_join, toxicity)
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_language": op2_language,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_shingle_join": op8_shingle_join,
     "op9_grid_join": op9_grid_join,
     "op10_pii": op10_pii,
+    "op13_packing": op13_packing,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the method.
