@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltatlas.llm import (
-    bpe, grid_join, host_rules, language, mixing, packing, pii, quality, sharding, shingle_join, toxicity)
+    bpe, grid_join, host_rules, language, mixing, packing, pii, quality, sharding, shingle_join, toxicity, whitening)
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary())
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_shingle_join": op8_shingle_join,
     "op9_grid_join": op9_grid_join,
     "op10_pii": op10_pii,
+    "op12_whitening": op12_whitening,
     "op13_packing": op13_packing,
 }
 
