@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltatlas.llm import (
-    bpe, grid_join, host_rules, language, mixing, packing, pii, quality, sharding, shingle_join, toxicity, whitening)
+    bpe, grid_join, host_rules, language, mixing, packing, phrases, pii, quality, sharding, shingle_join, toxicity, whitening)
 from voltatlas.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(table(spark, folder, "documents"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_shingle_join": op8_shingle_join,
     "op9_grid_join": op9_grid_join,
     "op10_pii": op10_pii,
+    "op11_phrases": op11_phrases,
     "op12_whitening": op12_whitening,
     "op13_packing": op13_packing,
 }
@@ -136,6 +141,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
          AND coalesce(source NOT IN (SELECT source FROM rejected), true) AS kept
 FROM measures
+""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split
+), grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) s(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1 AND f >= 10
+), longest AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE size = 3)
+  GROUP BY lang, part
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates c LEFT JOIN longest o ON o.lang = c.lang AND o.part = c.phrase, (VALUES (1), (2)) s(k)
+  WHERE k < c.size AND NOT (c.size = 2 AND coalesce(100 * o.most >= 50 * c.a, false))
+), scores AS (
+  SELECT u.lang, u.phrase, u.a, u.k, x.f AS l, y.f AS r,
+         ((1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts u JOIN grams x ON x.lang = u.lang AND x.phrase = u.head JOIN grams y ON y.lang = u.lang AND y.phrase = u.rest
+), lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       n::BIGINT AS n, score
+FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000
 """,
     "op9_grid_join": """
 WITH RECURSIVE usable AS (

@@ -45,23 +45,28 @@ class Words:
     first: np.ndarray  # each text's first word
 
 
-def words_of(texts: list[str | None], lower: bool = True) -> Words:
-    """Words are runs without the six ASCII white-space characters; with ``lower`` A-Z count as a-z."""
-    raw = [(text or "").encode() for text in texts]
-    data = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
-    inside = ~_SPACE[data]
+def runs(data: np.ndarray, inside: np.ndarray, table: np.ndarray = _BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each unbroken run of bytes marked as inside; the table has a number for each byte."""
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
     start, end = edges[0::2], edges[1::2]
-    begins = np.cumsum([0, *(len(part) + 1 for part in raw)])
-    first = np.searchsorted(start, begins[:-1])
-    counts = np.diff(np.append(first, len(start)))
     hashes = np.empty(0, dtype=np.uint64)
     if len(start):
         length = end - start
         own = np.cumsum(length) - length
         place = np.arange(own[-1] + length[-1]) - np.repeat(own, length)
-        value = (_LOWER if lower else _BYTES)[data[inside]] * powers(int(length.max()))[place]
+        value = table[data[inside]] * powers(int(length.max()))[place]
         hashes = mix(np.add.reduceat(value, own) + length.astype(np.uint64))
+    return start, end, hashes
+
+
+def words_of(texts: list[str | None], lower: bool = True) -> Words:
+    """Words are runs without the six ASCII white-space characters; with ``lower`` A-Z count as a-z."""
+    raw = [(text or "").encode() for text in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
+    start, end, hashes = runs(data, ~_SPACE[data], _LOWER if lower else _BYTES)
+    begins = np.cumsum([0, *(len(part) + 1 for part in raw)])
+    first = np.searchsorted(start, begins[:-1])
+    counts = np.diff(np.append(first, len(start)))
     return Words(data, np.repeat(np.arange(len(texts)), counts), start, end, hashes, counts, first)
 
 
