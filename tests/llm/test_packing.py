@@ -108,6 +108,22 @@ def library():
     return lambda text: [*found.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def test_ids_like_the_library(library):
+    """Short stretches, long pieces, odd white space, special tokens; also with a vocabulary whose ids are in another order."""
+    with open(PATH, encoding="utf-8") as file:
+        own = packing.Encoder(file.read())
+    assert own.quick is not None
+    rng = random.Random(6)
+    texts = ["", "  ", "x" * 3000, "ab" * 2000, " " * 2500 + "a", "a\n b <|endoftext|> c", "\u00c9t\u00e9 \u6f22\u5b57  \U0001f600", "don't  I'll"]
+    texts += ["".join(rng.choice("abcdehinorst  \n.,!aA\u00e9\u00df1290\u6f22\"'") for _ in range(rng.randint(1, 3000))) for _ in range(200)]
+    texts += [" ".join(rng.choice(["le", "eau", "tion", "\u00e9", "der"]) * rng.randint(1, 4) for _ in range(500)) for _ in range(5)]
+    for text in texts:
+        assert [*own.encode(text).tolist(), 1] == library(text), text[:80]
+    own.quick = None
+    for text in texts[:20]:
+        assert [*own.encode(text).tolist(), 1] == library(text), text[:80]
+
+
 def holds(rows, texts: list[tuple], library, tokens: int = 2048) -> float:
     """Checks the rows of the query against plain encoding; the share of padding."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)

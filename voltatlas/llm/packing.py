@@ -23,18 +23,20 @@ again gives the same rows as long as it reads the same rows in the same order.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltatlas.llm.bpe import loaded
+from voltatlas.llm.bpe import PIECES, Bpe, packed
 from voltatlas.llm.common import in_chunks, pick
 
 #: Examples waiting in a task, and how many are left when it goes on reading.
@@ -43,6 +45,46 @@ POOL, POOL_LEFT = 4096, 1024
 END_ID = 1
 
 
+#: A run of characters that may be one long piece, on which the library's time would grow with the square.
+LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
+
+
+class Encoder(Bpe):
+    """The same ids as Bpe, by a library that merges pairs by rank, but for texts with very long pieces.
+
+    The library takes a token's id for its rank, which is right where ids follow
+    the order of the merges and every token can be reached by merging.
+    """
+
+    def __init__(self, text: str):
+        super().__init__(text)
+        ranks = {self.bytes[at:at + size].tobytes(): n for n, (at, size) in enumerate(zip(self.offsets, self.lengths))
+                 if size and n not in self.special.values()}
+        order = [n for n in sorted(ranks.values()) if self.rank[n] >= 0]
+        plain = [n for token, n in ranks.items() if len(token) == 1]
+        fitting = len(order) + len(plain) == len(ranks) and max(plain) < min(order) \
+            and all(self.rank[a] < self.rank[b] for a, b in zip(order, order[1:]))
+        self.quick = tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}) if fitting else None
+
+    def add_pieces(self, text: str, parts: list[bytes]) -> None:
+        if self.quick is None or LONG_RUN.search(text):
+            super().add_pieces(text, parts)
+        else:
+            parts.append(packed(self.quick.encode_ordinary(text)))
+
+
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder(text: str) -> Encoder:
+    """One vocabulary per worker process."""
+    key = hash(text)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(text)
+    return _ENCODERS[key]
+
+
 @dataclass(frozen=True)
 class Limits:
     """What a sequence holds at most."""
@@ -290,7 +332,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits())
     end = np.array([END_ID], dtype=np.int32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(spec.value)
+        bpe = encoder(spec.value)
 
         def given() -> Iterator[tuple]:
             for chunk in in_chunks(batches):
@@ -317,7 +359,7 @@ def turn_examples(conversations: DataFrame, vocabulary: str, answers: tuple[str,
         F.coalesce(F.col("role").isin(*answers), F.lit(False)).alias("answer"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(spec.value)
+        bpe = encoder(spec.value)
         for chunk in in_chunks(batches):
             ids = [[*bpe.encode(text or "").tolist(), END_ID] for text in chunk.column(1).to_pylist()]
             marks = [[answer] * len(one) for answer, one in zip(chunk.column(2).to_pylist(), ids)]
