@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
 from tests.llm.helpers import GIVEN, ODD, documents
 from voltatlas.llm import host_rules
 
@@ -32,6 +37,27 @@ def test_measures(spark):
     assert host_rules.judge(documents(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("bits, around", [(61, 64), (61, 1), (62, 2), (8, 64)])
+def test_windows_whose_hashes_meet(spark, monkeypatch, bits, around):
+    """With three hash bits, or two, nearly all windows meet others; words decide, in any order and run length."""
+    monkeypatch.setattr(host_rules, "LEAST_POSITION_BITS", bits)
+    monkeypatch.setattr(host_rules, "LOOK_AROUND", around)
+    rng = random.Random(bits + around)
+    texts = ["w1866339 a b w56396 a b w1866339 a b", "a b " * 300 + "c d e", " ".join(f"w{n}" for n in range(400))]
+    texts += [" ".join(rng.choice("abcd") * rng.randint(1, 2) for _ in range(rng.randint(0, 300))) for _ in range(40)]
+    found = host_rules.judge(documents(spark, [(n, text, "en", "s") for n, text in enumerate(texts)])).collect()
+    assert {row.doc_id: row.n_repeat_words for row in found} == {n: brute(text)[4] for n, text in enumerate(texts)}
+
+
+def test_a_text_of_seventeen_million_words(spark, tmp_path):
+    """More words than 24 bits can number; all but the last ones stand in repeated windows."""
+    count = (1 << 24) + 10
+    text = "a " * count + "b c d"
+    pq.write_table(pa.table({"doc_id": [1], "text": [text], "source": ["s"]}), tmp_path / "long.parquet")
+    row = host_rules.judge(spark.read.parquet(str(tmp_path / "long.parquet"))).first()
+    assert row.n_words == count + 3 and row.n_repeat_words == count and row.base_failed
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{GIVEN}/sf0.001/documents.parquet")
     expected = {row.doc_id: brute(row.text) for row in docs.collect()}

@@ -8,8 +8,9 @@ rule passes that rule's limit is rejected with all its documents.
 
 Rows: a null or empty text has no words and fails the base rules. A null host
 is no host: its documents are judged alone. Every input row gives one row,
-repeated rows and null ids included. An empty table gives no rows. A text of
-more than 16.7 million words is an error, not a wrong count.
+repeated rows and null ids included. An empty table gives no rows. Windows whose
+hashes meet are told apart by their words, so counts are exact whatever the
+length of the text.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ HOST_LIMITS = {"short": 0.8, "repeating": 0.5, "symbols": 0.5, "copied_lines": 0
 PRIOR_WEIGHT = (2.0, 10_000.0)
 #: Rejected hosts that may be broadcast.
 BROADCAST_HOSTS = 100_000
-#: Low bits of a window's sort key that hold its position in the text.
-POSITION_BITS = 24
+#: Least number of low bits of a window's sort key that hold its position in the text.
+LEAST_POSITION_BITS = 8
+#: Windows looked at on both sides of one whose hash meets that of other words, before the whole run is.
+LOOK_AROUND = 64
 
 
 def measured(docs: DataFrame, *keep: str, texts: bool = False) -> DataFrame:
@@ -47,34 +50,49 @@ def measured(docs: DataFrame, *keep: str, texts: bool = False) -> DataFrame:
     return with_repeats(counted).drop("words", "repeats", *([] if texts else ["text"]))
 
 
+def position_bits(size: Column) -> Column:
+    """Low bits of a window's sort key that hold its position: as many as the text needs."""
+    return F.greatest(F.lit(LEAST_POSITION_BITS), F.length(F.bin(size)))
+
+
 def window_keys(words: Column) -> Column:
     """Sorted keys of all 3-word windows: hash bits above, position below."""
-    one = lambda at: F.shiftleft(F.xxhash64(
-        F.get(words, at), F.get(words, at + 1), F.get(words, at + 2)), POSITION_BITS).bitwiseOR(at.cast("long"))
     size = F.size(words)
-    return F.when(size > 1 << POSITION_BITS, F.raise_error(F.lit("a text has too many words to be measured"))).when(
-        size >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), size - 3), one))).otherwise(
+    one = lambda at: F.call_function("shiftleft", F.xxhash64(
+        F.get(words, at), F.get(words, at + 1), F.get(words, at + 2)), position_bits(size)).bitwiseOR(at.cast("long"))
+    return F.when(size >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), size - 3), one))).otherwise(
         F.array().cast("array<bigint>"))
 
 
 def with_repeats(rows: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words in 3-word windows that occur twice or more.
 
-    Equal windows are neighbours in the sorted keys; words are compared where
-    hash bits agree, so no collision counts.
+    Windows with equal hash bits are neighbours in the sorted keys, and a window
+    counts if another one of this run has its very words. Mostly that is a direct neighbour.
+    Where a neighbour has the same hash bits but other words, more of the run is looked at, if need be all of it.
     """
-    place = (1 << POSITION_BITS) - 1
-    at = lambda key: key.bitwiseAND(F.lit(place)).cast("int")
-    words, keys = F.col("words"), F.col("keys")
+    words, keys, bits = F.col("words"), F.col("keys"), F.col("bits")
+    at = lambda key: key.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1).cast("int")
+    high = lambda key: F.call_function("shiftright", key, bits)
+    meet = lambda one, two: F.coalesce(high(one) == high(two), F.lit(False))
 
     def same(one: Column, two: Column) -> Column:
-        alike = F.shiftright(one, POSITION_BITS) == F.shiftright(two, POSITION_BITS)
+        alike = high(one) == high(two)
         for step in range(3):
             alike = alike & (F.get(words, at(one) + step) == F.get(words, at(two) + step))
         return F.coalesce(alike, F.lit(False))
 
-    repeated = F.filter(keys, lambda key, n: same(key, F.get(keys, n - 1)) | same(key, F.get(keys, n + 1)))
-    found = rows.withColumn("repeats", F.sort_array(F.transform(repeated, at))).drop("keys")
+    def repeated(key: Column, n: Column) -> Column:
+        before, after = F.get(keys, n - 1), F.get(keys, n + 1)
+        again = lambda part: F.exists(part, lambda other: (other != key) & same(key, other))
+        # The neighbours up to LOOK_AROUND on both sides, and whether the run goes on beyond them.
+        around = F.slice(keys, F.greatest(n + 1 - LOOK_AROUND, F.lit(1)), F.lit(2 * LOOK_AROUND + 1))
+        beyond = meet(key, F.get(keys, n - LOOK_AROUND - 1)) | meet(key, F.get(keys, n + LOOK_AROUND + 1))
+        return same(key, before) | same(key, after) | (
+            (meet(key, before) | meet(key, after)) & (again(around) | (beyond & again(keys))))
+
+    found = rows.withColumn("bits", position_bits(F.size("words"))).withColumn(
+        "repeats", F.sort_array(F.transform(F.filter(keys, repeated), at))).drop("keys", "bits")
     starts = F.col("repeats")
     fresh = F.transform(starts, lambda start, n: F.when(n == 0, 3).otherwise(
         F.least(F.lit(3), start - F.get(starts, n - 1))))
