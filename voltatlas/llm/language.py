@@ -3,11 +3,14 @@
 Two texts are compared by the character n-grams of one to four letters that
 both contain, each counted once whatever its number: the kernel is the number
 of shared n-grams over the geometric mean of the texts' own numbers. N-grams
-are hashed into a fixed number of places, so a text becomes a vector of bits.
-A bounded sample of texts is compared with a few landmarks per language; kernel
+are hashed into a fixed number of places, so a stretch of text becomes a vector
+of bits; a long text is cut into stretches, so that its n-grams do not fill
+all places, and its value is the mean of theirs, weighted by length.
+A bounded sample of stretches is compared with a few landmarks per language; kernel
 ridge regression in the space the landmarks span gives one weight per landmark
-and language. A batch of texts is scored by two matrix products: bits
-times landmark bits, and kernel values times weights.
+and language. A batch of stretches is scored by two matrix products: bits
+times landmark bits, and kernel values times weights. Every language with a
+text is learned; the more languages, the fewer texts and landmarks each brings.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0, and so is
 every text if no language can be learned. Every input row gives one row,
@@ -31,23 +34,31 @@ from voltatlas.llm.common import id_remainder, in_chunks, pick, spread_sample
 #: Lengths of the n-grams and the number of places they are hashed into.
 GRAMS = (1, 2, 3, 4)
 PLACES = 1 << 14
-#: Bounds of what is learned from: texts and landmarks per language, and languages (those with most documents).
-TEXTS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, MOST_LANGUAGES = 400, 24, 200
+#: Letters and spaces of a stretch.
+STRETCH = 4_000
+#: Bounds of what is learned from: texts and landmarks of a language, and of all languages as long as each keeps the least number.
+TEXTS_PER_LANGUAGE, TEXTS, LEAST_TEXTS = 400, 40_000, 8
+LANDMARKS_PER_LANGUAGE, LANDMARKS, LEAST_LANDMARKS = 24, 2_400, 2
 RIDGE = 1e-2
-#: Texts scored together.
+#: Stretches scored together.
 BATCH = 128
 
 LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def bits(text: str) -> np.ndarray:
-    """Places of the text's n-grams, as a vector of 0 and 1; words are set off by a space, case does not count."""
-    out = np.zeros(PLACES, dtype=np.uint8)
+def stretches(text: str) -> list[np.ndarray]:
+    """The letters of a text as code points, words set off by a space, case not told apart, in stretches of like length."""
     words = NO_LETTERS.sub(" ", text.lower()).strip()
     if not words:
-        return out
+        return []
     codes = np.frombuffer(f" {words} ".encode("utf-32-le"), dtype=np.uint32)
+    return np.array_split(codes, -(-len(codes) // STRETCH))
+
+
+def bits(codes: np.ndarray) -> np.ndarray:
+    """Places of a stretch's n-grams, as a vector of 0 and 1."""
+    out = np.zeros(PLACES, dtype=np.uint8)
     gram = np.zeros(len(codes), dtype=np.uint32)
     for n in range(1, max(GRAMS) + 1):
         if len(codes) < n:
@@ -69,12 +80,17 @@ class Model:
     """Languages, landmark bits, and a weight for each landmark and language."""
 
     def __init__(self, x: np.ndarray, languages: list[str]):
+        """Learns from rows of bits; the first rows of each language are its landmarks, so rows come in no order of their own."""
         self.names = sorted(set(languages))
         if not self.names:
             return
         place = {name: n for n, name in enumerate(self.names)}
         target = np.array([place[name] for name in languages])
-        marks = np.concatenate([np.flatnonzero(target == n)[:LANDMARKS_PER_LANGUAGE] for n in range(len(self.names))])
+        own = share_of(LANDMARKS, LANDMARKS_PER_LANGUAGE, LEAST_LANDMARKS, len(self.names))
+        order = np.argsort(target, kind="stable")
+        first = np.searchsorted(target[order], np.arange(len(self.names)))
+        turn = np.arange(len(order)) - first[target[order]]
+        marks = order[turn < own]
         x = x.astype(np.float32)
         self.landmarks = x[marks]
         values, vectors = np.linalg.eigh(kernel(self.landmarks, self.landmarks).astype(np.float64))
@@ -95,40 +111,58 @@ class Model:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; the score is the softmax of the regressions' values."""
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
-        told = [n for n, text in enumerate(texts) if self.names and text and LETTER.search(text)]
-        for start in range(0, len(told), BATCH):
-            rows = told[start:start + BATCH]
-            x = np.stack([bits(texts[n]) for n in rows]).astype(np.float32)
-            value = 4 * (kernel(x, self.landmarks) @ self.weights + self.shift).astype(np.float64)
-            power = np.exp(value - value.max(1, keepdims=True))
-            power /= power.sum(1, keepdims=True)
-            best = power.argmax(1)
-            for n, at, score in zip(rows, best.tolist(), power.max(1).tolist()):
-                names[n], scores[n] = self.names[at], score
+        parts = [(n, codes) for n, text in enumerate(texts) if self.names and text and LETTER.search(text)
+                 for codes in stretches(text)]
+        told = sorted({n for n, _ in parts})
+        if not told:
+            return names, scores
+        total, weight = np.zeros((len(texts), len(self.names))), np.zeros(len(texts))
+        for start in range(0, len(parts), BATCH):
+            some = parts[start:start + BATCH]
+            x = np.stack([bits(codes) for _, codes in some]).astype(np.float32)
+            at, length = np.array([n for n, _ in some]), np.array([len(codes) for _, codes in some])
+            np.add.at(total, at, length[:, None] * (kernel(x, self.landmarks) @ self.weights + self.shift))
+            np.add.at(weight, at, length)
+        value = 4 * total[told] / weight[told][:, None]
+        power = np.exp(value - value.max(1, keepdims=True))
+        power /= power.sum(1, keepdims=True)
+        for n, at, score in zip(told, power.argmax(1).tolist(), power.max(1).tolist()):
+            names[n], scores[n] = self.names[at], score
         return names, scores
 
 
+def share_of(total: int, most: int, least: int, languages: int) -> int:
+    """What a language may bring of a total: no more than its own bound, and never less than the least number."""
+    return max(least, min(most, total // languages))
+
+
 def learn(docs: DataFrame, held_remainder: int = 2, divisor: int = 4) -> Model:
-    """Model from at most TEXTS_PER_LANGUAGE texts of each of at most MOST_LANGUAGES languages, spread over all ids."""
+    """Model of every language that has a text, from at most TEXTS_PER_LANGUAGE texts of each, spread over all ids.
+
+    With many languages it is fewer texts each, TEXTS in all, but LEAST_TEXTS
+    at least. Of a long text one stretch is learned from, chosen by a hash of the id.
+    """
     rows = pick(docs, "doc_id", "text", "lang").where(
         (id_remainder("doc_id", divisor) != held_remainder) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    largest = [row.lang for row in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(
-        MOST_LANGUAGES).collect()]
-    chosen = spread_sample(rows.where(F.col("lang").isin(largest)), "lang", TEXTS_PER_LANGUAGE)
+    languages = max(rows.select("lang").distinct().count(), 1)
+    chosen = spread_sample(rows, "lang", share_of(TEXTS, TEXTS_PER_LANGUAGE, LEAST_TEXTS, languages))
     few = rows.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"], "left_semi").select(
-        "doc_id", "text", "lang")
+        "doc_id", "text", "lang", F.xxhash64("doc_id", F.lit(29)).alias("at"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches):
-            texts = chunk.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                chunk.column(0), chunk.column(2), pa.array([np.packbits(bits(text)).tobytes() for text in texts])],
-                ["doc_id", "lang", "bits"])
-
-    schema = T.StructType([rows.schema["doc_id"], rows.schema["lang"], T.StructField("bits", T.BinaryType())])
+            found = []
+            for text, at in zip(chunk.column(1).to_pylist(), chunk.column(3).to_pylist()):
+                parts = stretches(text)
+                found.append(np.packbits(bits(parts[at % len(parts)])).tobytes() if parts else b"")
+            yield pa.RecordBatch.from_arrays([chunk.column(0), chunk.column(2), chunk.column(3), pa.array(found, pa.binary())],
+                                             ["doc_id", "lang", "at", "bits"])
+
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["lang"], T.StructField("at", T.LongType()),
+                           T.StructField("bits", T.BinaryType())])
     # Rows that repeat an id come once: the bound holds for them too.
-    found = few.mapInArrow(task, schema).groupBy("lang", "doc_id").agg(F.min("bits").alias("bits")).toPandas()
-    found = found[found["bits"].map(any).astype(bool)].sort_values(["lang", "doc_id"])
+    found = few.mapInArrow(task, schema).where("length(bits) > 0").groupBy("lang", "doc_id", "at").agg(
+        F.min("bits").alias("bits")).toPandas().sort_values(["lang", "at", "doc_id"])
     x = np.unpackbits(np.frombuffer(b"".join(found["bits"]), dtype=np.uint8)).reshape(len(found), PLACES)
     return Model(x, found["lang"].tolist())
 
