@@ -64,6 +64,17 @@ def test_rows_and_files(spark, tmp_path):
     assert len({row.shard for row in found if row.doc_id == 4}) == 1
     assert {row.doc_id: row.n_bytes for row in found}[1] == 0
     assert sharding.place(documents(spark, [])).collect() == []
-    sharding.write_shards(docs.select("doc_id", "text"), str(tmp_path / "out"))
-    back = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "shard").collect()
-    assert Counter(map(tuple, back)) == Counter((row.doc_id, row.shard) for row in found)
+    clashing = docs.selectExpr("*", "3 as part", "'x' as shard", "'y' as SHARD", "1 as column_0")
+    sharding.write_shards(clashing, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard"]
+    assert Counter((row.doc_id, row.shard) for row in back.collect()) == Counter((row.doc_id, row.shard) for row in found)
+    assert Counter(row.text for row in back.collect()) == Counter(row[1] for row in ODD)
+    few = ("north", "south")
+    sharding.write_shards(docs, str(tmp_path / "few"), few, slots=11, files=2, columns=("doc_id", "text"))
+    back = spark.read.parquet(str(tmp_path / "few"))
+    assert Counter((row.doc_id, row.shard) for row in back.collect()) == Counter(
+        (row.doc_id, row.shard) for row in sharding.place(docs, few, 11).collect())
+    for columns in (("doc_id", "text", "Shard"), ("text",)):
+        with pytest.raises(ValueError):
+            sharding.write_shards(docs, str(tmp_path / "no"), columns=columns)

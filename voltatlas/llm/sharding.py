@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltatlas.llm.common import pick
@@ -50,26 +50,39 @@ def lookup_table(shards: tuple[str, ...], slots: int = SLOTS) -> np.ndarray:
                 return owner
 
 
+def owners_of(spark: SparkSession, shards: tuple[str, ...], slots: int) -> DataFrame:
+    """slot and shard of the whole table: as many rows as slots, whatever the corpus."""
+    return spark.createDataFrame(
+        [(slot, shards[shard]) for slot, shard in enumerate(lookup_table(shards, slots).tolist())], "slot int, shard string")
+
+
+def slot_of(doc_id: str, slots: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(slots)).cast("int")
+
+
 def place(docs: DataFrame, shards: tuple[str, ...] = SHARDS, slots: int = SLOTS) -> DataFrame:
     """doc_id, its slot, its shard, and the bytes it brings there."""
-    owner = lookup_table(shards, slots)
-    spark = docs.sparkSession
-    owners = spark.createDataFrame(
-        [(slot, shards[shard]) for slot, shard in enumerate(owner.tolist())], "slot int, shard string")
     rows = pick(docs, "doc_id", "text").select(
-        "doc_id", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-                         F.lit(slots)).cast("int").alias("slot"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return rows.join(F.broadcast(owners), "slot").select("doc_id", "slot", "shard", "n_bytes")
-
-
-def write_shards(docs: DataFrame, folder: str, shards: tuple[str, ...] = SHARDS, files: int = 8) -> None:
-    """Writes the documents to one folder per shard, each shard from several tasks."""
-    placed = docs.withColumn("slot", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-                                            F.lit(SLOTS)).cast("int"))
-    owner = lookup_table(shards)
-    owners = docs.sparkSession.createDataFrame(
-        [(slot, shards[shard]) for slot, shard in enumerate(owner.tolist())], "slot int, shard string")
-    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(files))
-    placed.join(F.broadcast(owners), "slot").drop("slot").withColumn("part", part).repartition(
-        len(shards) * files, "shard", "part").drop("part").write.partitionBy("shard").parquet(folder)
+        "doc_id", slot_of("doc_id", slots).alias("slot"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    return rows.join(F.broadcast(owners_of(docs.sparkSession, shards, slots)), "slot").select("doc_id", "slot", "shard", "n_bytes")
+
+
+def write_shards(docs: DataFrame, folder: str, shards: tuple[str, ...] = SHARDS, slots: int = SLOTS, files: int = 8,
+                 columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> None:
+    """Writes the named columns of the documents to one folder per shard, ``shard=<name>``, each from several tasks.
+
+    Other columns of the table stay behind, whatever their names; ``shard`` itself
+    cannot be a column, as the folders give it. Within a shard rows are dealt by
+    a hash of their id and, so that an id on many rows does not fill one
+    file, of their text.
+    """
+    if any(name.lower() == "shard" for name in columns) or "doc_id" not in columns or "text" not in columns:
+        raise ValueError("doc_id and text must be written, and shard is the name of the folders")
+    rows = pick(docs, *columns)
+    own = rows.toDF(*(f"column_{n}" for n in range(len(columns))))
+    doc_id, text = (f"column_{columns.index(name)}" for name in ("doc_id", "text"))
+    placed = own.withColumns({"slot": slot_of(doc_id, slots), "part": F.pmod(F.xxhash64(doc_id, text, F.lit(5)), F.lit(files))})
+    dealt = placed.join(F.broadcast(owners_of(docs.sparkSession, shards, slots)), "slot").repartition(
+        len(shards) * files, "shard", "part").drop("slot", "part")
+    named = [F.col(f"column_{n}").alias(name) for n, name in enumerate(columns)]
+    dealt.select(*named, "shard").write.partitionBy("shard").parquet(folder)
