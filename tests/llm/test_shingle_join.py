@@ -130,6 +130,19 @@ def test_one_of_each(spark):
     assert shingle_join.one_of_each(documents(spark, [])).collect() == []
 
 
+def test_an_id_with_two_texts(spark):
+    """Rows are judged one by one: the near copy goes, the text that nothing resembles stays, and so on."""
+    words = [f"w{n}" for n in range(100)]
+    a, near, other = " ".join(words), " ".join(words[:95]), " ".join(f"u{n}" for n in range(30))
+    rows = [(1, a, "en", "s"), (2, near, "en", "s"), (2, other, "en", "s"), (2, other, "de", "s"), (2, None, "en", "s"),
+            (5, near, "en", "s"), (5, " ".join(words[:94]), "en", "t"), (7, other.upper(), "en", "s")]
+    stay = shingle_join.one_of_each(documents(spark, rows)).collect()
+    assert Counter((row.doc_id, row.text, row.lang) for row in stay) == Counter([(1, a, "en"), (2, other, "de"), (2, None, "en")])
+    twice = [(3, a, "en", "s"), (3, near, "en", "s"), (4, near, "en", "s")]  # two texts of one class under its least id: one of them
+    stay = shingle_join.one_of_each(documents(spark, twice)).collect()
+    assert len(stay) == 1 and stay[0].doc_id == 3 and stay[0].text in (a, near)
+
+
 def extended(seed: int, pairs: int = 150) -> list[tuple]:
     """Pairs that nothing else resembles: a text, and the same text cut or carried on to a likeness of 0.72 to 0.85."""
     rng = random.Random(seed)

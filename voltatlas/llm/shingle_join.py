@@ -492,8 +492,8 @@ def links_between(docs: DataFrame, sets: DataFrame, found: DataFrame) -> DataFra
     return links
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id, the least doc_id reachable over links, one row per document."""
+def named_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and sig of each document; and for each sig its component_id and the sig of the document that names it."""
     made = stored(sets_and_counts(docs), "sets")
     sets = made.where("token is null").select("doc_id", "n", "sig")
     frequent = frequent_tokens(made, sets.where("sig is not null").count())
@@ -501,26 +501,53 @@ def classes(docs: DataFrame) -> DataFrame:
     joined = components(links_between(docs, sets, found)).withColumnRenamed("node", "sig")
     nodes = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least")).join(
         joined, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = nodes.join(least, "component").select("sig", "component_id")
+    name = F.min(F.when(F.col("least").isNotNull(), F.struct("least", "sig")))  # of equal ids the least signature
+    named = nodes.join(nodes.groupBy("component").agg(name.alias("name")), "component")
+    return sets, named.select("sig", F.col("name.least").alias("component_id"), F.col("name.sig").alias("keeper"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id, the least doc_id reachable over links, one row per document."""
+    sets, named = named_sets(docs)
     return sets.join(named, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents, with one of each class of near copies: the one with the least doc_id.
+def with_signatures(rows: DataFrame) -> DataFrame:
+    """Adds sig, that of the text's set; null for an empty set."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("sig", T.LongType())])
+    at = rows.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in in_chunks(batches):
+            found = [signature(tokens) if len(tokens) else None
+                     for tokens in shingles(words_of(chunk.column(at).to_pylist()), SIZE)]
+            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(found, pa.int64())], schema.names)
+
+    return rows.mapInArrow(task, schema)
 
-    A row that repeats an id with the same text stays once. Documents with an empty
-    set or a null id always stay. Only documents that a filter of fixed size
-    suspects of having to go are shuffled; the rest stay where they were read.
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with one row of each class of near copies: that with the least doc_id, of several texts under it one.
+
+    Rows are judged one by one, so an id that comes with two texts keeps the one
+    that nothing before it resembles. Of rows with equal ids and equal sets the
+    least text, language, source and length stays. Documents with an empty set or
+    a null id always stay. Only rows that a filter of fixed size suspects of
+    sharing an id with one that has to go are looked at again and shuffled;
+    the rest stay where they were read.
     """
     rows = pick(docs, "doc_id", "text", "lang", "source", "n_chars")
-    found = classes(docs).where("doc_id is not null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("times"), F.min("component_id").alias("component_id"))
-    special = stored(found.where("times > 1 or component_id <> doc_id").select(
-        "doc_id", (F.col("component_id") != F.col("doc_id")).alias("goes")), "special")
-    marked = suspected(rows, special)
-    hits = marked.where("hit").join(special, "doc_id", "left").where("goes is null or not goes")
     names = rows.columns
-    again = hits.where("goes is not null").select(*names).dropDuplicates(["doc_id", "text"])
-    return marked.where("not hit").select(*names).union(hits.where("goes is null").select(*names)).union(again)
+    sets, named = named_sets(docs)
+    # Each id with each of its sets: how often, and whether it is the row its class keeps.
+    each = sets.where("doc_id is not null and sig is not null").groupBy("doc_id", "sig").agg(
+        F.count(F.lit(1)).alias("times")).join(named, "sig").select(
+        "doc_id", "sig", "times", (F.col("component_id").eqNullSafe(F.col("doc_id")) & (F.col("keeper") == F.col("sig"))).alias("stays"))
+    special = stored(each.where("times > 1 or not stays").select("doc_id", "sig", "stays"), "special")
+    marked = suspected(rows, special)
+    hits = with_signatures(marked.where("hit").select(*names))
+    stay = hits.join(special.select("doc_id", "sig"), ["doc_id", "sig"], "left_anti").select(*names)
+    repeated = hits.join(special.where("stays").select("doc_id", "sig"), ["doc_id", "sig"])
+    once = repeated.groupBy("doc_id", "sig").agg(F.min(F.struct(*names)).alias("row")).select("row.*")
+    return marked.where("not hit").select(*names).union(stay).union(once)
