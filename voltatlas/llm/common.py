@@ -19,12 +19,18 @@ SPACES = "\\x20\\x09-\\x0D"
 CHARS_AT_ONCE = 2_000_000
 
 
+#: Bytes of an Arrow batch. Spark counts batches in rows otherwise, and a row may hold a long text or a block of sets.
+BATCH_BYTES = "4m"
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns and no others.
 
     Names are matched exactly and the first match counts, so a table may carry
     further columns whose names clash with these or with an operator's own.
+    As every operator begins here, it also bounds the bytes of Arrow batches in the session.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     at = [df.columns.index(name) for name in names]
     return df.toDF(*(f"column_{i}" for i in range(len(df.columns)))).select(
         *(F.col(f"column_{i}").alias(name) for i, name in zip(at, names)))

@@ -251,21 +251,22 @@ def apart(found: DataFrame, joined: DataFrame | None) -> DataFrame:
 
 
 def star_pairs(own: DataFrame, number: int) -> DataFrame:
-    """For each set and turn the hub of another component it shares most keys with, if it is a good part of its keys.
+    """For each set the hubs of other components it shares most keys with, if they are a good part of its keys.
 
-    A key's hub is the set that is least once its signature is turned by a
-    number of the round's own.
+    A key's hubs are the sets that are least once their signatures are turned by
+    numbers of the round's own; most keys have few sets, and so fewer hubs than turns.
     """
     rng = np.random.default_rng(number)
     turns = [int(turn) for turn in rng.integers(0, 2 ** 63 - 1, HUBS)]
-    hubs = own.groupBy("key").agg(*(F.expr(f"min(sig ^ {turn}L) ^ {turn}L").alias(f"hub{n}") for n, turn in enumerate(turns)))
-    rows = own.join(hubs, "key").select(
-        "sig", "total", F.posexplode(F.array(*(f"hub{n}" for n in range(HUBS)))).alias("turn", "hub"))
-    best = rows.groupBy("sig", "turn", "hub").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("total").alias("total")).where(
-        (F.col("hub") != F.col("sig")) & (STAR_SHARE * F.col("shared") >= F.col("total"))).groupBy("sig", "turn").agg(
-        F.max(F.struct("shared", "hub")).alias("best")).select(
-        F.col("sig").alias("a_sig"), F.col("best.hub").alias("b_sig")).distinct()
+    hubs = own.groupBy("key").agg(F.array_distinct(F.array(*(
+        F.expr(f"min(sig ^ {turn}L) ^ {turn}L") for turn in turns))).alias("hubs"))
+    rows = own.select("key", "sig", "total").join(hubs, "key").select(
+        "sig", "total", F.explode(F.array_remove("hubs", F.col("sig"))).alias("hub"))
+    shared = rows.groupBy("sig", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("total").alias("total")).where(
+        STAR_SHARE * F.col("shared") >= F.col("total"))
+    # A set shares a good part of its keys with few hubs, no more than it has keys.
+    best = shared.groupBy("sig").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "hub")), False), 1, HUBS).alias(
+        "best")).select(F.col("sig").alias("a_sig"), F.explode("best.hub").alias("b_sig"))
     of = lambda name: own.select(*(
         F.col(c).alias(f"{name}_{c}") for c in ("sig", "n", "most", "component"))).distinct()
     return best.join(of("a"), "a_sig").join(of("b"), "b_sig").where("a_component <> b_component").where(
