@@ -121,6 +121,29 @@ SELECT concat('dealer', cast(n_regionkey as string)) AS principal, cast(10 + n_n
 FROM {nation}""",
 }
 
+# Corrected loads: rows that go, rows that come twice, and rows that change.
+VIEWS["vehicles_by_postcode_corrected"] = f"""
+SELECT postcode, voertuigsoort, brandstof, extern_oplaadbaar, CASE WHEN aantal > 45 THEN aantal - 5 ELSE aantal END AS aantal
+FROM ({VIEWS["vehicles_by_postcode"]}) c1 WHERE brandstof <> 'W' OR extern_oplaadbaar = 'J'
+UNION ALL
+SELECT postcode, voertuigsoort, brandstof, extern_oplaadbaar, aantal
+FROM ({VIEWS["vehicles_by_postcode"]}) c2 WHERE postcode LIKE '99%'"""
+VIEWS["vehicles_fuel_corrected"] = f"""
+SELECT kenteken, CASE WHEN brandstof_omschrijving = 'Diesel' THEN 'Benzine' ELSE brandstof_omschrijving END AS brandstof_omschrijving
+FROM ({VIEWS["vehicles_fuel"]}) c1 WHERE brandstof_omschrijving <> 'LPG' OR kenteken LIKE 'X%'
+UNION ALL
+SELECT kenteken, brandstof_omschrijving FROM ({VIEWS["vehicles_fuel"]}) c2 WHERE brandstof_omschrijving = 'Waterstof'"""
+
+# Raw records as they come, load by load: some fields are in every record, some appear later, and their types vary.
+VIEWS["event_records"] = """
+SELECT event_id, concat('load-', cast(cast(floor((day(ts) - 1) / 10) as int) as string)) AS load_id,
+       concat('{{"id": ', cast(event_id as string), ', "kind": "', event_type, '"',
+              CASE WHEN event_id % 7 = 0 THEN ', "battery": null' WHEN event_id % 7 = 1 THEN ', "battery": "low"'
+                   ELSE concat(', "battery": ', cast(event_id % 100 as string)) END,
+              CASE WHEN day(ts) > 10 THEN concat(', "place": {{"lat": ', cast(event_id % 50 as string), '.5}}') ELSE '' END,
+              CASE WHEN day(ts) > 20 AND event_id % 2 = 0 THEN ', "tags": [1, "a"], "moving": true' ELSE '' END, '}}') AS record
+FROM {events}"""
+
 # Target lag of the models in refresh_log; one of them was never refreshed.
 TARGETS = {"model_click": 3600, "model_error": 60, "model_purchase": 86400, "model_signup": 3600, "model_view": 60,
            "model_never": 3600}
@@ -165,13 +188,15 @@ class Inputs:
 
     def raw_tables(self) -> dict[str, DataFrame]:
         """The raw tables as loaded: typed columns beside the whole record."""
-        tables = {f"{name}_raw": self.view(name) for name in (
+        loaded = {f"{name}_raw": self.raw(name) for name in (
             "vehicles", "vehicles_fuel", "charging_capacity", "vehicles_by_postcode", "telemetry")}
-        loaded = {
-            name: df.withColumn("raw_json", F.parse_json(F.to_json(F.struct(*df.columns)))) for name, df in tables.items()
-        }
         return {**loaded, "parking_address_raw": self.parking_address_raw}
 
+    def raw(self, view: str) -> DataFrame:
+        """A view as a load brings it: the typed columns beside the whole record."""
+        df = self.view(view)
+        return df.withColumn("raw_json", F.parse_json(F.to_json(F.struct(*df.columns))))
+
     def pages(self, name: str, limit: int = 1000) -> DataFrame:
         """Pages of at most ``limit`` records of a view as JSON arrays."""
         records = self.view(name).select(F.to_json(F.struct("*")).alias("record"))

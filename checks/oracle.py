@@ -425,6 +425,40 @@ READS["full_refresh"] = " UNION ALL ".join(
 READS["stream_national_summary"] = READS["national_ev_summary"]
 
 
+# Models over corrected loads: the same definitions over the corrected tables.
+
+
+def over(text: str, **instead: str) -> str:
+    for name, other in instead.items():
+        text = re.sub(rf"\b{name}\b", other, text)
+    return text
+
+
+CTES["corrected_regions"] = over(CTES["ev_by_region"], vehicles_by_postcode="vehicles_by_postcode_corrected")
+CTES["corrected_classes"] = over(CTES["vehicles_with_fuel"], vehicles_fuel="vehicles_fuel_corrected")
+CTES["corrected_years"] = over(CTES["yearly"], vehicles_with_fuel="corrected_classes")
+READS |= {
+    "corrected_ev_by_region": "SELECT * FROM corrected_regions",
+    "corrected_national_summary": over(CTES["national_ev_summary"], ev_by_region="corrected_regions"),
+    "corrected_yoy_growth": over(CTES["ev_yoy_growth"], yearly="corrected_years"),
+    "corrected_fuel_per_month": over(CTES["fuel_per_month"], vehicles_fuel="vehicles_fuel_corrected"),
+    "replaced_load": "SELECT * FROM vehicles_by_postcode UNION ALL SELECT * FROM vehicles_by_postcode_corrected",
+    "refreshed_infrastructure": READS["ev_infrastructure"], "published_infrastructure": READS["ev_infrastructure"],
+    "refreshed_weather_emissions": READS["ev_weather_emissions"],
+}
+
+READS["stream_windowed_status"] = READS["stream_vehicle_status"]
+READS["observed_null_counts"] = READS["null_counts"] + """
+UNION ALL SELECT 'weather_hourly', NULL, 'row_count', count(*) FROM weather_hourly"""
+READS["field_inventory"] = """
+SELECT load_id, field, kind, count(*) AS n_records, load_id = min(load_id) OVER (PARTITION BY field) AS is_new
+FROM (SELECT load_id, field, CASE json_type(record::JSON, '$.' || field)
+        WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'UBIGINT' THEN 'integer'
+        WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'decimal' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' END AS kind
+      FROM (SELECT load_id, record, unnest(json_keys(record::JSON)) AS field FROM event_records) k) f
+GROUP BY load_id, field, kind"""
+
+
 def _needed(text: str) -> list[str]:
     """Names of the common tables a text reads, each after the ones it reads itself."""
     ordered: list[str] = []

@@ -20,7 +20,8 @@ from voltatlas.plans import dashboard, explore, refresh
 from voltatlas.session import work_folder
 from voltatlas.sources import landing, versions
 from voltatlas.sources.lake import Lake
-from voltatlas.streaming import incremental
+from voltatlas.sources.schemas import RAW_TABLES
+from voltatlas.streaming import incremental, windows
 from voltatlas.streaming import fleet as fleet_stream
 from voltatlas.streaming import quality as quality_stream
 from voltatlas.streaming.sink import read_batches
@@ -306,6 +307,15 @@ def stream_vehicle_status(t: Inputs) -> DataFrame:
     return fleet_stream.current_status(t.spark, f"{work}/state", AFTER_EVENTS, t.telemetry, tie_break="event_id")
 
 
+@query("stream_windowed_status")
+def stream_windowed_status(t: Inputs) -> DataFrame:
+    """The same status from Spark's windowed state behind a watermark."""
+    work = work_folder(t.spark, "windowed_status")
+    windows.refresh_windows(
+        streamed(t).telemetry, f"{work}/state", f"{work}/checkpoint", lateness="60 days", tie_break="event_id").awaitTermination()
+    return windows.windowed_status(t.spark, f"{work}/state", AFTER_EVENTS, t.telemetry, tie_break="event_id")
+
+
 @query("stream_null_counts")
 def stream_null_counts(t: Inputs) -> DataFrame:
     """Metric history added up over the batches, so the result does not depend on how files fell into batches."""
@@ -315,3 +325,107 @@ def stream_null_counts(t: Inputs) -> DataFrame:
     ).awaitTermination()
     return read_batches(t.spark, f"{work}/history").groupBy("table_name", "column_name", "metric").agg(
         F.sum("value").alias("value"))
+
+
+# --- corrected loads ---------------------------------------------------------------------
+
+
+def after_correction(t: Inputs, name: str, table: str, view: str) -> tuple[str, dict]:
+    """Refreshes a sum model from a load, replaces the load by its corrected form, and refreshes it from what has changed."""
+    work, model = work_folder(t.spark, f"corrected-{name}"), incremental.SUM_MODELS[name]
+    lake = Lake(t.spark, f"{work}/lake")
+    above = {key: counted for key, counted in {
+        **incremental.COUNTED_MODELS, "national_ev_summary": incremental.national_model(MIN_TOTAL)}.items() if counted.source == name}
+    for source in (view, f"{view}_corrected"):
+        lake.put_load(t.raw(source), table, "all")
+        incremental.refresh_sums(
+            lake.stream(table), model, f"{work}/state", f"{work}/checkpoint", counted_models=above).awaitTermination()
+    return f"{work}/state", above
+
+
+@query("corrected_ev_by_region")
+def corrected_ev_by_region(t: Inputs) -> DataFrame:
+    state, _ = after_correction(t, "ev_by_region", "vehicles_by_postcode_raw", "vehicles_by_postcode")
+    return incremental.read_sums(t.spark, incremental.SUM_MODELS["ev_by_region"], state)
+
+
+@query("corrected_national_summary")
+def corrected_national_summary(t: Inputs) -> DataFrame:
+    state, above = after_correction(t, "ev_by_region", "vehicles_by_postcode_raw", "vehicles_by_postcode")
+    return incremental.read_counted(t.spark, state, "national_ev_summary", above["national_ev_summary"])
+
+
+@query("corrected_yoy_growth")
+def corrected_yoy_growth(t: Inputs) -> DataFrame:
+    state, above = after_correction(t, "ev_growth_trends", "vehicles_fuel_raw", "vehicles_fuel")
+    return incremental.read_counted(t.spark, state, "ev_yoy_growth", above["ev_yoy_growth"])
+
+
+@query("corrected_fuel_per_month")
+def corrected_fuel_per_month(t: Inputs) -> DataFrame:
+    """The join of two loads after one of them was replaced: only the pairs that change are joined again."""
+    work, model = work_folder(t.spark, "corrected-join"), incremental.JOIN_MODELS["brandstof_per_postcode_datum"]
+    lake = Lake(t.spark, f"{work}/lake")
+    lake.put_load(t.raw("vehicles"), "vehicles_raw", "all")
+    for source in ("vehicles_fuel", "vehicles_fuel_corrected"):
+        lake.put_load(t.raw(source), "vehicles_fuel_raw", "all")
+        incremental.refresh_join(lake.stream("vehicles_raw"), lake.stream("vehicles_fuel_raw"), model, f"{work}/state",
+                                 f"{work}/checkpoint").awaitTermination()
+    return incremental.read_join(t.spark, model, f"{work}/state")
+
+
+@query("replaced_load")
+def replaced_load(t: Inputs) -> DataFrame:
+    """Contents of a raw table after a load was appended, another put in, and that one replaced."""
+    lake, table = Lake(t.spark, work_folder(t.spark, "replaced")), "vehicles_by_postcode_raw"
+    lake.create_missing({table: RAW_TABLES[table]})
+    lake.append(t.raw("vehicles_by_postcode"), table)
+    for source in ("vehicles_by_postcode", "vehicles_by_postcode_corrected"):
+        lake.put_load(t.raw(source), table, "again")
+    return lake.read("raw", table).drop("raw_json")
+
+
+def refreshed(t: Inputs) -> Lake:
+    """A lake after the loads and a full refresh."""
+    lake = Lake(t.spark, work_folder(t.spark, "lake"))
+    for table, df in t.raw_tables().items():
+        lake.append(df, table)
+    refresh.refresh_all(
+        lake, {"weather_hourly": t.weather_hourly, "emissions": t.emissions},
+        as_of=AS_OF, min_total_summary=MIN_TOTAL, min_total_infrastructure=MIN_TOTAL)
+    return lake
+
+
+query("refreshed_infrastructure")(lambda t: refreshed(t).read("analytics", "ev_infrastructure_correlation"))
+query("refreshed_weather_emissions")(lambda t: refreshed(t).read("analytics", "ev_weather_emissions"))
+
+
+@query("published_infrastructure")
+def published_infrastructure(t: Inputs) -> DataFrame:
+    """Contents of a published model."""
+    folder = work_folder(t.spark, "share")
+    access.publish({"ev_growth_trends": adoption.ev_growth_trends(classified(t)), "ev_yoy_growth": growth(t),
+                    "ev_infrastructure_correlation": infrastructure(t)}, folder)
+    return versions.read(t.spark, f"{folder}/ev_infrastructure_correlation")
+
+
+# --- metrics while writing, fields of raw records ----------------------------------------
+
+
+@query("observed_null_counts")
+def observed_null_counts(t: Inputs) -> DataFrame:
+    """Metrics taken while the rows are written, added up over the batches."""
+    work = work_folder(t.spark, "observed")
+    quality_stream.write_observed(
+        streamed(t).weather_hourly, "weather_hourly", WEATHER_CHECKED, f"{work}/rows", f"{work}/history", f"{work}/checkpoint",
+    ).awaitTermination()
+    return read_batches(t.spark, f"{work}/history").groupBy("table_name", "column_name", "metric").agg(
+        F.sum("value").alias("value"))
+
+
+def event_records(t: Inputs) -> DataFrame:
+    return t.event_records.select("load_id", F.parse_json("record").alias("raw_json"))
+
+
+query("field_inventory")(lambda t: landing.field_inventory(event_records(t), "load_id"))
+query("record_types")(lambda t: landing.record_types(event_records(t), "load_id"))

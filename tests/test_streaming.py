@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from checks.inputs import Inputs
 from tests.conftest import GIVEN, rows
 from voltatlas import __main__ as jobs
-from voltatlas.operators import adoption, climate, curated, fleet, usage
+from voltatlas.operators import adoption, climate, curated, fleet, quality, usage
 from voltatlas.plans.refresh import refresh_targets
 from voltatlas.sources import versions
 from voltatlas.sources.lake import Lake
 from voltatlas.streaming import fleet as fleet_stream
 from voltatlas.streaming import quality as quality_stream
-from voltatlas.streaming.incremental import JOIN_MODELS, SUM_MODELS, read_join, read_sums, refresh_join, refresh_sums
+from voltatlas.streaming import sink, windows
+from voltatlas.streaming.incremental import (
+    JOIN_MODELS, SUM_MODELS, national_model, read_counted, read_join, read_sums, refresh_join, refresh_sums)
 
 
 @pytest.fixture(scope="module")
@@ -254,9 +256,83 @@ def test_update_keeps_the_incremental_models(spark, given, tmp_path):
         adoption.fuel_per_month(raw["vehicles_raw"], raw["vehicles_fuel_raw"]))
     assert rows(lake.read("analytics", "laadpalen_per_postcode")) == rows(
         adoption.chargers_per_postcode(raw["parking_address_raw"], raw["charging_capacity_raw"]))
-    lake.put_load(tables["vehicles_raw"], "vehicles_raw", "half-0")
-    with pytest.raises(ValueError):
-        lake.stream("vehicles_raw")
+    # Corrected loads: rows go, come twice, and change; twice over, and one of them before the update has seen the first.
+    for keep in ("aantal % 3 > 0", "aantal % 5 > 1", "brandstof <> 'E' or postcode > '5'"):
+        half = raw["vehicles_by_postcode_raw"].where(keep)
+        lake.put_load(half.unionAll(half.where("aantal = 7")), "vehicles_by_postcode_raw", "half-0")
+    lake.put_load(tables["vehicles_fuel_raw"].withColumn("brandstof_omschrijving", F.when(
+        F.col("kenteken") > "5", "Diesel").otherwise(F.col("brandstof_omschrijving"))), "vehicles_fuel_raw", "half-1")
+    lake.put_load(tables["parking_address_raw"].where("zipcode > '3'"), "parking_address_raw", "half-0")
+    lake.put_load(tables["charging_capacity_raw"].where("areaid < '5'"), "charging_capacity_raw", "half-1")
+    jobs.update(lake, str(tmp_path / "state"), str(tmp_path / "c"))
+    raw = {name: lake.read("raw", name) for name in tables}
+    regions = curated.ev_by_region(raw["vehicles_by_postcode_raw"])
+    growth = adoption.ev_growth_trends(curated.vehicles_with_fuel(raw["vehicles_fuel_raw"]))
+    for layer, name, full in (
+            ("curated", "ev_by_region", regions), ("analytics", "national_ev_summary", adoption.national_ev_summary(regions)),
+            ("curated", "charging_by_area", curated.charging_by_area(raw["charging_capacity_raw"])),
+            ("analytics", "ev_growth_trends", growth), ("analytics", "ev_yoy_growth", adoption.yoy_from_sums(growth)),
+            ("analytics", "brandstof_per_postcode", adoption.fuel_per_postcode(raw["vehicles_by_postcode_raw"])),
+            ("analytics", "brandstof_per_postcode_datum", adoption.fuel_per_month(raw["vehicles_raw"], raw["vehicles_fuel_raw"])),
+            ("analytics", "laadpalen_per_postcode", adoption.chargers_per_postcode(
+                raw["parking_address_raw"], raw["charging_capacity_raw"]))):
+        assert rows(lake.read(layer, name)) == rows(full) != [], name
+
+
+def test_changes_of_a_load(spark, tmp_path):
+    """The change between two versions has each row with its sign, is written once, and made up for when it is missing."""
+    lake, table = Lake(spark, str(tmp_path)), "charging_capacity_raw"
+
+    def load(*given):
+        return spark.createDataFrame([(a, "m", c, None) for a, c in given], "areaid string, areamanagerid string, "
+                                     "chargingpointcapacity string, record string").withColumn("raw_json", F.parse_json("record")).drop("record")
+
+    lake.put_load(load(("1", "5"), ("1", "5"), ("2", None)), table, "all")
+    lake.put_load(load(("1", "5"), ("2", "7"), ("3", None), ("3", None)), table, "all")
+    changed = spark.read.parquet(str(tmp_path / "raw_changes" / table / "all" / "v000002"))
+    assert rows(changed, "areaid", "chargingpointcapacity", "times") == rows(spark.createDataFrame(
+        [("1", "5", -1), ("2", None, -1), ("2", "7", 1), ("3", None, 2)], "a string, b string, n bigint"))
+    versions.delete(spark, str(tmp_path / "raw_changes" / table / "all" / "v000002"))  # as after a crash before it was written
+    lake.put_load(load(("9", "1")), table, "all")
+    assert versions.names(spark, str(tmp_path / "raw_changes" / table / "all")) == ["v000002", "v000003"]
+    for n in range(3):
+        lake.put_load(load(("9", str(n))), table, "all")
+    assert versions.versions(spark, str(tmp_path / "raw" / table / "all")) == ["v000001", "v000005", "v000006"]
+    model, state = SUM_MODELS["charging_by_area"], str(tmp_path / "state")
+    refresh_sums(lake.stream(table), model, state, str(tmp_path / "c")).awaitTermination()
+    assert rows(read_sums(spark, model, state)) == [("m", 1, 2)]
+    lake.put_load(load(("9", None)), table, "all")  # the only number goes: the sum is NULL again
+    refresh_sums(lake.stream(table), model, state, str(tmp_path / "c")).awaitTermination()
+    assert rows(read_sums(spark, model, state)) == [("m", 1, None)]
+    lake.put_load(load(), table, "all")  # all rows go, and the group with them
+    refresh_sums(lake.stream(table), model, state, str(tmp_path / "c")).awaitTermination()
+    assert rows(read_sums(spark, model, state)) == []
+
+
+def test_extremes_survive_withdrawals(spark, tmp_path):
+    """Maxima, minima and distinct counts of a counted model after any inserts and withdrawals, with folds and a replay."""
+    rng, state, checkpoint = random.Random(8), str(tmp_path / "state"), tmp_path / "c"
+    kinds = "postcode string, voertuigsoort string, brandstof string, extern_oplaadbaar string, aantal int, times bigint"
+    model, above = SUM_MODELS["ev_by_region"], {"national": national_model(20)}
+    there: list[tuple] = []
+    for batch in range(6):
+        fresh = [(f"{rng.randrange(10, 22)}00", "Personenauto", rng.choice("EBD"), "N", rng.randrange(1, 30)) for _ in range(25)]
+        gone = rng.sample(there, len(there) // 2 if batch < 5 else len(there))
+        if batch == 5:
+            fresh = fresh[:3]
+        for row in gone:
+            there.remove(row)
+        there += fresh
+        spark.createDataFrame([(*row, 1) for row in fresh] + [(*row, -1) for row in gone], kinds).coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "in"))
+        for _ in range(2 if batch == 3 else 1):
+            refresh_sums(stream(spark, str(tmp_path / "in")), model, state, str(checkpoint), fold_every=2,
+                         counted_models=above).awaitTermination()
+            full = adoption.national_ev_summary(curated.ev_by_region(spark.createDataFrame(
+                [row for row in there], kinds.removesuffix(", times bigint"))), 20)
+            assert rows(read_counted(spark, state, "national", above["national"])) == rows(full)
+            if batch == 3:
+                forget_last_commit(checkpoint)
 
 
 def test_metric_history(spark, tmp_path):
@@ -272,3 +348,60 @@ def test_metric_history(spark, tmp_path):
     quality_stream.record_null_counts(
         stream(spark, str(folder)), "t", ["postcode"], history, str(checkpoint)).awaitTermination()
     assert quality_stream.read_history(spark, history).collect() == found
+
+
+def test_metrics_are_taken_while_rows_are_written(spark, tmp_path):
+    """One pass over each batch: rows and counts land together; a replay replaces both and keeps the time."""
+    folder, target, history, checkpoint = tmp_path / "in", str(tmp_path / "rows"), str(tmp_path / "history"), tmp_path / "c"
+    passed = spark.sparkContext.accumulator(0)
+
+    def counting(frames):
+        for frame in frames:
+            passed.add(len(frame))
+            yield frame
+
+    def run():
+        rows_in = stream(spark, str(folder)).mapInPandas(counting, "postcode string, n int")
+        quality_stream.write_observed(rows_in, "t", ["postcode", "n"], target, history, str(checkpoint)).awaitTermination()
+
+    for values in ([(None, 1), ("a", None)], [(None, 2), (None, 3), ("b", 4)], []):
+        spark.createDataFrame(values, "postcode string, n int").coalesce(1).write.mode("append").parquet(str(folder))
+        run()
+    assert passed.value == 5  # every row came by once
+    found = quality_stream.read_history(spark, history).where("metric = 'null_count'").collect()
+    latest = {row.column_name: row.value for row in found if row.measured_at == found[0].measured_at}
+    whole = quality.null_counts(spark.read.parquet(str(folder)), "t", ["postcode", "n"])
+    assert latest == {row.column_name: row.value for row in whole.collect()} == {"postcode": 3, "n": 1}
+    assert rows(sink.read_batches(spark, target).drop("batch_id")) == rows(spark.read.parquet(str(folder)))
+    forget_last_commit(checkpoint)
+    run()
+    assert quality_stream.read_history(spark, history).where("metric = 'null_count'").collect() == found
+
+
+def test_windows_behind_a_watermark(spark, tmp_path):
+    """Equal to the batch model over the events in time; late ones are counted; state and results survive a restart."""
+    noon, folder, state, checkpoint = datetime(2024, 1, 2, 12), tmp_path / "in", str(tmp_path / "state"), tmp_path / "c"
+    rng, micro = random.Random(6), iter(range(10 ** 6))
+
+    def events(hours_ago, n=12):  # all times differ, so that the latest event is settled
+        return [(f"VW-{rng.randrange(4)}", noon - timedelta(hours=hours_ago, minutes=rng.randrange(55), microseconds=next(micro)),
+                 rng.randrange(100), 0.0, 0.0, rng.choice([None, rng.randrange(90)]), rng.random() < 0.5) for _ in range(n)]
+
+    in_time, late = [], []
+    for batch, (ages, lost) in enumerate([((5, 4), False), ((4, 3), False), ((1, 0), False), ((2,), False), ((9,), True), ((0, 1), False)]):
+        fresh = [event for age in ages for event in events(age)]
+        (late if lost else in_time).extend(fresh)
+        spark.createDataFrame(fresh, KINDS).coalesce(1).write.mode("append").parquet(str(folder))
+        for _ in range(2 if batch == 2 else 1):
+            query = windows.refresh_windows(stream(spark, str(folder)), state, str(checkpoint), lateness="4 hours", fold_every=2)
+            query.awaitTermination()
+            windows.record_progress(spark, query, state)
+            if batch == 2:
+                forget_last_commit(checkpoint)
+    kept = spark.createDataFrame(in_time, KINDS)
+    for as_of in (noon + timedelta(hours=1), noon + timedelta(hours=20)):
+        assert rows(windows.windowed_status(spark, state, as_of)) == rows(fleet.vehicle_status(kept, as_of)) != []
+    assert windows.late_events(spark, state) == len(late) == 12
+    progress = sink.read_batches(spark, f"{state}/progress")
+    assert progress.agg(F.max("state_rows")).first()[0] <= 4 * 12 and progress.where("watermark > '2024'").count() > 0
+    assert any((checkpoint / "state").rglob("*.zip"))  # snapshots as the RocksDB store writes them

@@ -59,14 +59,17 @@ def load(lake: Lake, args: argparse.Namespace) -> int:
 
 
 def update(lake: Lake, state: str, checkpoint: str) -> list[str]:
-    """Adds the new rows of the raw tables to the incremental models and publishes each."""
+    """Brings what has changed in the raw tables, new and corrected loads, into the incremental models and publishes each."""
     done = []
     for name, (layer, source) in incremental.SUM_TABLES.items():
         model = incremental.SUM_MODELS[name]
-        incremental.refresh_sums(
-            lake.stream(source), model, f"{state}/{name}", f"{checkpoint}/{name}").awaitTermination()
+        above = {key: counted for key, counted in incremental.COUNTED_MODELS.items() if counted.source == name}
+        incremental.refresh_sums(lake.stream(source), model, f"{state}/{name}", f"{checkpoint}/{name}",
+                                 counted_models=above).awaitTermination()
         lake.replace(incremental.read_sums(lake.spark, model, f"{state}/{name}"), layer, name)
-        done.append(name)
+        for key, counted in above.items():
+            lake.replace(incremental.read_counted(lake.spark, f"{state}/{name}", key, counted), "analytics", key)
+        done += [name, *above]
     for name, (layer, left, right) in incremental.JOIN_TABLES.items():
         model = incremental.JOIN_MODELS[name]
         incremental.refresh_join(lake.stream(left, raw_json=True), lake.stream(right), model, f"{state}/{name}",

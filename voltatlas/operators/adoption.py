@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltatlas.functions import area_of, fuel_label, percentage, ratio, registry_fuel_label, round_half_up, whole_number
 from voltatlas.functions.fuel import FUEL_LABELS
-from voltatlas.operators.curated import PASSENGER_CAR
+from voltatlas.operators.curated import PASSENGER_CAR, added_up
 
 
 def national_ev_summary(ev_by_region: DataFrame, min_total: int = 1000) -> DataFrame:
@@ -26,16 +26,15 @@ def national_ev_summary(ev_by_region: DataFrame, min_total: int = 1000) -> DataF
     )
 
 
+def growth_rows(vehicles_with_fuel: DataFrame, first_year: int = 2015, *carry: str) -> DataFrame:
+    return vehicles_with_fuel.where(F.col("registration_year") >= first_year).select(
+        "registration_year", "fuel_category", F.lit(1).alias("vehicle_count"),
+        F.when(F.col("is_ev_or_hybrid"), 1).otherwise(0).alias("ev_hybrid_count"), *carry)
+
+
 def growth_sums(vehicles_with_fuel: DataFrame, first_year: int = 2015) -> DataFrame:
     """Vehicles and low-carbon vehicles per year and category."""
-    return (
-        vehicles_with_fuel.where(F.col("registration_year") >= first_year)
-        .groupBy("registration_year", "fuel_category")
-        .agg(
-            F.count("*").alias("vehicle_count"),
-            F.count_if("is_ev_or_hybrid").alias("ev_hybrid_count"),
-        )
-    )
+    return added_up(growth_rows(vehicles_with_fuel, first_year), "registration_year", "fuel_category")
 
 
 def growth_from_sums(sums: DataFrame) -> DataFrame:
@@ -72,25 +71,32 @@ def yoy_from_sums(sums: DataFrame) -> DataFrame:
     )
 
 
-def plate_months(vehicles: DataFrame, first_year: int = 2015) -> DataFrame:
-    """Registrations per plate and month.
+def plate_month_rows(vehicles: DataFrame, first_year: int = 2015, *carry: str) -> DataFrame:
+    """Plate and month of each registration.
 
     The text comparison repeats the date filter in a form the scan can use:
     eight-digit dates sort as text.
     """
     text = F.col("datum_eerste_tenaamstelling_in_nederland")
     day = F.try_to_date(text, "yyyyMMdd")
-    return (
-        vehicles.where((text >= f"{first_year}0101") & (day >= F.lit(f"{first_year}-01-01").cast("date")))
-        .groupBy("kenteken", F.trunc(day, "MM").alias("datum"))
-        .agg(F.count("*").alias("registrations"))
-    )
+    return vehicles.where((text >= f"{first_year}0101") & (day >= F.lit(f"{first_year}-01-01").cast("date"))).select(
+        "kenteken", F.trunc(day, "MM").alias("datum"), F.lit(1).alias("registrations"), *carry)
+
+
+def plate_months(vehicles: DataFrame, first_year: int = 2015) -> DataFrame:
+    """Registrations per plate and month."""
+    return added_up(plate_month_rows(vehicles, first_year), "kenteken", "datum")
+
+
+def plate_fuel_rows(vehicles_fuel: DataFrame, *carry: str) -> DataFrame:
+    labelled = vehicles_fuel.select("kenteken", fuel_label(F.col("brandstof_omschrijving")).alias("label"), *carry)
+    return labelled.select(
+        "kenteken", *[F.when(F.col("label") == name, 1).otherwise(0).alias(name) for name in FUEL_LABELS], *carry)
 
 
 def plate_fuels(vehicles_fuel: DataFrame) -> DataFrame:
     """Fuel records per plate, one column per label: at most one row per plate."""
-    labelled = vehicles_fuel.select("kenteken", fuel_label(F.col("brandstof_omschrijving")).alias("label"))
-    return labelled.groupBy("kenteken").agg(*[F.count_if(F.col("label") == name).alias(name) for name in FUEL_LABELS])
+    return added_up(plate_fuel_rows(vehicles_fuel), "kenteken")
 
 
 def month_fuel_sums(months: DataFrame, fuels: DataFrame) -> DataFrame:
@@ -115,22 +121,25 @@ def fuel_per_month(vehicles: DataFrame, vehicles_fuel: DataFrame, first_year: in
     return fuel_rows(month_fuel_sums(plate_months(vehicles, first_year), plate_fuels(vehicles_fuel)))
 
 
+def capacity_rows(charging_capacity: DataFrame, *carry: str) -> DataFrame:
+    points = whole_number(F.col("chargingpointcapacity"))
+    return charging_capacity.where(points > 0).select("areamanagerid", points.alias("points"), *carry)
+
+
 def manager_capacity(charging_capacity: DataFrame) -> DataFrame:
     """Charging points per area manager, counting positive numbers only."""
-    points = whole_number(F.col("chargingpointcapacity"))
-    return charging_capacity.where(points > 0).groupBy("areamanagerid").agg(F.sum(points).alias("points"))
+    return added_up(capacity_rows(charging_capacity), "areamanagerid")
+
+
+def address_rows(parking_address: DataFrame, *carry: str) -> DataFrame:
+    return parking_address.where((F.col("parkingaddresstype") == "F") & (F.col("zipcode") != "")).select(
+        F.variant_get("raw_json", "$.parkingaddressreference", "string").alias("areamanagerid"),
+        F.left("zipcode", F.lit(4)).alias("postcode"), F.lit(1).alias("addresses"), *carry)
 
 
 def facility_addresses(parking_address: DataFrame) -> DataFrame:
     """Facility addresses per manager reference (kept in the raw record) and postcode."""
-    return (
-        parking_address.where((F.col("parkingaddresstype") == "F") & (F.col("zipcode") != ""))
-        .groupBy(
-            F.variant_get("raw_json", "$.parkingaddressreference", "string").alias("areamanagerid"),
-            F.left("zipcode", F.lit(4)).alias("postcode"),
-        )
-        .agg(F.count("*").alias("addresses"))
-    )
+    return added_up(address_rows(parking_address), "areamanagerid", "postcode")
 
 
 def postcode_charger_sums(addresses: DataFrame, capacity: DataFrame) -> DataFrame:
@@ -151,16 +160,15 @@ def chargers_per_postcode(parking_address: DataFrame, charging_capacity: DataFra
     return postcode_charger_sums(facility_addresses(parking_address), manager_capacity(charging_capacity))
 
 
+def postcode_fuel_rows(vehicles_by_postcode: DataFrame, *carry: str) -> DataFrame:
+    return vehicles_by_postcode.where((F.col("voertuigsoort") == PASSENGER_CAR) & F.col("postcode").isNotNull()).select(
+        F.left("postcode", F.lit(4)).alias("postcode"),
+        registry_fuel_label(F.col("brandstof"), F.col("extern_oplaadbaar")).alias("brandstof"), "aantal", *carry)
+
+
 def fuel_per_postcode(vehicles_by_postcode: DataFrame) -> DataFrame:
     """Passenger cars per four-character postcode and fuel label."""
-    return (
-        vehicles_by_postcode.where((F.col("voertuigsoort") == PASSENGER_CAR) & F.col("postcode").isNotNull())
-        .groupBy(
-            F.left("postcode", F.lit(4)).alias("postcode"),
-            registry_fuel_label(F.col("brandstof"), F.col("extern_oplaadbaar")).alias("brandstof"),
-        )
-        .agg(F.sum("aantal").alias("aantal"))
-    )
+    return added_up(postcode_fuel_rows(vehicles_by_postcode), "postcode", "brandstof")
 
 
 def ev_infrastructure(ev_by_region: DataFrame, chargers: DataFrame, min_total: int = 5000) -> DataFrame:

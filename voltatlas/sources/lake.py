@@ -7,14 +7,16 @@ only grows, is one folder by day.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from voltatlas.sources import versions
+from voltatlas.sources.changes import TIMES, difference, with_times
 from voltatlas.sources.schemas import DAY_OF, EMISSIONS, LAYERS, RAW_TABLES, WEATHER_HOURLY
 
 #: What a load's version says about its rows; a complete load says nothing.
@@ -88,20 +90,49 @@ class Lake:
             self.put_load(df, table, f"rows-{uuid.uuid4().hex}")
 
     def put_load(self, df: DataFrame, table: str, load_id: str, note: str = "") -> None:
-        """Replaces the rows of one load of a raw table; ``note`` marks rows that are not all there are."""
-        versions.put(self._rows(df, table), f"{self.path('raw', table)}/{load_id}", note)
+        """Replaces the rows of one load of a raw table; ``note`` marks rows that are not all there are.
+
+        What changes against the version before is kept beside the table for
+        those who follow it. The first version stays, as the changes start from it.
+        """
+        folder = f"{self.path('raw', table)}/{load_id}"
+        for name in set(versions.names(self.spark, folder)) - set(versions.versions(self.spark, folder)):
+            versions.delete(self.spark, f"{folder}/{name}")  # left by a write that failed
+        self._note_changes(table, load_id)
+        versions.put(self._rows(df, table), folder, note, kept=sys.maxsize)
+        self._note_changes(table, load_id)
+        for name in versions.versions(self.spark, folder)[1:-versions.KEPT]:
+            versions.delete(self.spark, f"{folder}/{name}")
+
+    def _changes(self, table: str) -> str:
+        return f"{self.root}/raw_changes/{table}"
+
+    def _note_changes(self, table: str, load_id: str) -> None:
+        """Writes the changes that made a version of a load, where a write that was cut short has not."""
+        folder, known = f"{self.path('raw', table)}/{load_id}", f"{self._changes(table)}/{load_id}"
+        found = versions.versions(self.spark, folder)
+        for old, new in zip(found, found[1:]):
+            if new in versions.names(self.spark, known) or new != found[-1]:
+                continue
+            schema = StructType([*RAW_TABLES[table]])
+            old_rows, new_rows = (self.spark.read.schema(schema).parquet(f"{folder}/{name}") for name in (old, new))
+            staged = f"{self.root}/_staged/{uuid.uuid4().hex}"
+            difference(old_rows, new_rows).write.parquet(staged)
+            versions.move(self.spark, staged, f"{known}/{new}")
 
     def stream(self, table: str, raw_json: bool = False) -> DataFrame:
-        """The rows that loads add to a raw table, as a stream.
+        """The rows that loads add to a raw table, as a stream of signed rows (``times``).
 
-        A load that has been replaced cannot be taken back from sums, so it is
-        an error; a full refresh, or a new state, is the way then.
+        The first version of a load brings its rows; a version that replaces
+        another brings what it adds and withdraws what it leaves out.
         """
-        replaced = [name for name, version in self.loads(table).items() if not version.startswith("v000001")]
-        if replaced:
-            raise ValueError(f"loads of {table} have been replaced: {', '.join(replaced)}; start a new state")
+        for load_id in self.loads(table):
+            self._note_changes(table, load_id)
         schema = StructType([field for field in RAW_TABLES[table] if raw_json or field.name != "raw_json"])
-        return self.spark.readStream.schema(schema).parquet(f"{self.path('raw', table)}/*/v*")
+        first = self.spark.readStream.schema(schema).parquet(f"{self.path('raw', table)}/*/v000001*")
+        changed = self.spark.readStream.schema(StructType([*schema, StructField(TIMES, LongType())])).parquet(
+            f"{self._changes(table)}/*/v*")
+        return with_times(first).unionByName(changed)
 
     def incomplete(self, table: str) -> dict[str, str]:
         """Loads of a raw table that do not hold all rows, and why."""

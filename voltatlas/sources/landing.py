@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltatlas.sources import versions
@@ -78,6 +78,37 @@ def late_field(raw: Column, name: str, kind: str = "string") -> Column:
     return F.try_variant_get(raw, f"$.{name}", kind)
 
 
+def field_kind(value: Column) -> Column:
+    """What a field of a raw record holds, in a few words that do not depend on the size of numbers or the depth of objects."""
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(kind == "VOID", "null").when(kind == "STRING", "text").when(kind == "BOOLEAN", "boolean")
+        .when(kind == "BIGINT", "integer").when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "decimal")
+        .when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").otherwise(F.lower(kind))
+    )
+
+
+def field_inventory(records: DataFrame, load: str, raw: str = "raw_json") -> DataFrame:
+    """Which fields the records of each load have: field, kind, in how many records, and whether no earlier load had it.
+
+    Loads are ordered by name. Counting is one shuffle of a row per load, field
+    and kind and task; the first load of each field is looked up in that small result. A record that
+    is no object has no fields.
+    """
+    fields = records.select(F.col(load).alias("load_id"), F.col(raw).alias("record")).lateralJoin(
+        records.sparkSession.tvf.variant_explode(F.col("record").outer())).where(F.col("key").isNotNull())
+    counts = fields.groupBy("load_id", F.col("key").alias("field"), field_kind(F.col("value")).alias("kind")).agg(
+        F.count("*").alias("n_records"))
+    first = Window.partitionBy("field")
+    return counts.withColumn("is_new", F.col("load_id") == F.min("load_id").over(first))
+
+
+def record_types(records: DataFrame, load: str, raw: str = "raw_json") -> DataFrame:
+    """The whole type that the records of each load have in common, nested fields included, merged by Spark in one pass."""
+    return records.groupBy(F.col(load).alias("load_id")).agg(
+        F.count("*").alias("n_records"), F.schema_of_variant_agg(raw).alias("record_type"))
+
+
 def telemetry_payload() -> Column:
     """The nested record kept beside the typed columns of a telemetry event."""
     return F.to_variant_object(F.struct(

@@ -40,6 +40,14 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Gives a finished folder its name at once; its parents are made."""
+    place, system = _system(spark, to)
+    system.mkdirs(place.getParent())
+    if not system.rename(_system(spark, path)[0], place):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def versions(spark: SparkSession, folder: str) -> list[str]:
     """Complete versions of a table, oldest first."""
     found = [(int(match[1]), name) for name in names(spark, folder) if (match := _NAME.match(name))]

@@ -125,17 +125,30 @@ def current_status(
     bucket's edge, and then read for that one bucket only.
     """
     in_utc(spark)
-    cut = as_of - timedelta(hours=hours)
-    into_bucket = timedelta(microseconds=(cut - datetime(1970, 1, 1)) // timedelta(microseconds=1) % (bucket_seconds * 10**6))
-    edge = cut - into_bucket + timedelta(seconds=bucket_seconds) if into_bucket else cut
     first = kept_from(spark, state)
+    _, edge = cut_and_edge(as_of, hours, bucket_seconds)
     if first and edge.date() < first:
-        raise ValueError(f"the state holds days from {first} on; a status since {cut} would miss events")
+        raise ValueError(f"the state holds days from {first} on; a status since {as_of - timedelta(hours=hours)} would miss events")
     rows = status_log(spark, state).read()
     if rows is None:
         raise LookupError(f"no batch has been written to {state}")
+    return status_of(rows, as_of, raw, hours, bucket_seconds, tie_break)
+
+
+def cut_and_edge(as_of: datetime, hours: int, bucket_seconds: int) -> tuple[datetime, datetime]:
+    """When a status begins, and the end of the bucket that moment lies in (itself, if it is one)."""
+    cut = as_of - timedelta(hours=hours)
+    into_bucket = timedelta(microseconds=(cut - datetime(1970, 1, 1)) // timedelta(microseconds=1) % (bucket_seconds * 10**6))
+    return cut, cut - into_bucket + timedelta(seconds=bucket_seconds) if into_bucket else cut
+
+
+def status_of(
+    rows: DataFrame, as_of: datetime, raw: DataFrame | None, hours: int, bucket_seconds: int, tie_break: str | None,
+) -> DataFrame:
+    """Status per vehicle from partial results by bucket, and from raw events for the part of a bucket after the cut."""
+    cut, edge = cut_and_edge(as_of, hours, bucket_seconds)
     partials = rows.where((F.col("day") >= F.lit(edge.date())) & (F.col("bucket_end") > timestamp(edge))).select("vin", *STATE)
-    if into_bucket:
+    if edge != cut:
         if raw is None:
             raise ValueError("as_of lies within a bucket: pass the raw telemetry for the part after the cut")
         moment = F.col("event_timestamp")
