@@ -458,6 +458,10 @@ FROM (SELECT load_id, field, CASE json_type(record::JSON, '$.' || field)
       FROM (SELECT load_id, record, unnest(json_keys(record::JSON)) AS field FROM event_records) k) f
 GROUP BY load_id, field, kind"""
 
+READS["paged_fetch"] = READS["paged_fetch_ordered"] = "SELECT * FROM charging_capacity WHERE areaid::int // 200 <> 1"
+READS["paged_failures"] = "SELECT 'capacity' AS dataset, 1::int AS part, 200::bigint AS page_offset"
+READS["stream_growing_pages"] = "SELECT * FROM charging_capacity"
+
 
 def _needed(text: str) -> list[str]:
     """Names of the common tables a text reads, each after the ones it reads itself."""

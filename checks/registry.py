@@ -6,6 +6,7 @@ the checks pass their own; the defaults in the library are the real ones.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import datetime
 
@@ -20,11 +21,12 @@ from voltatlas.plans import dashboard, explore, refresh
 from voltatlas.session import work_folder
 from voltatlas.sources import landing, versions
 from voltatlas.sources.lake import Lake
+from voltatlas.sources.paged import read_pages, stream_pages
 from voltatlas.sources.schemas import RAW_TABLES
 from voltatlas.streaming import incremental, windows
 from voltatlas.streaming import fleet as fleet_stream
 from voltatlas.streaming import quality as quality_stream
-from voltatlas.streaming.sink import read_batches
+from voltatlas.streaming.sink import put_batch, read_batches, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,3 +431,66 @@ def event_records(t: Inputs) -> DataFrame:
 
 query("field_inventory")(lambda t: landing.field_inventory(event_records(t), "load_id"))
 query("record_types")(lambda t: landing.record_types(event_records(t), "load_id"))
+
+
+# --- fetched pages -------------------------------------------------------------------------
+
+
+def plain_path(folder: str) -> str:
+    """A folder of the shared file system as Python opens it."""
+    return folder.removeprefix("file://").removeprefix("file:")
+
+
+def write_pages(pages: DataFrame, folder: str, name: str) -> None:
+    """Pages (page_offset, body) as files ``<name>-<offset>.json``, written where they are made."""
+
+    def task(rows) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for row in rows:
+            with open(f"{folder}/{name}-{row.page_offset}.json", "w", encoding="utf-8") as file:
+                file.write(row.body)
+
+    pages.foreachPartition(task)
+
+
+PAGE = 200
+
+
+def capacity_pages(t: Inputs) -> DataFrame:
+    """Pages in the order of the area's number."""
+    records = t.charging_capacity.select(
+        (F.floor(F.col("areaid").cast("int") / PAGE) * PAGE).alias("page_offset"), F.to_json(F.struct("*")).alias("record"))
+    return records.groupBy("page_offset").agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("record")), ","), F.lit("]")).alias("body"))
+
+
+def fetched(t: Inputs, order: str) -> DataFrame:
+    """Pages through the data source; the second one is missing."""
+    folder = plain_path(work_folder(t.spark, "pages"))
+    pages = capacity_pages(t)
+    write_pages(pages.where(f"page_offset <> {PAGE}"), f"{folder}/capacity", order or "default")
+    last = pages.agg(F.max("page_offset")).first()[0]
+    return read_pages(t.spark, "capacity", base=folder, limit=PAGE, pages=last // PAGE + 1, on_error="report", **(
+        {"order": order} if order else {}))
+
+
+query("paged_fetch")(lambda t: landing.rows_of(fetched(t, ""), "charging_capacity_raw").drop("raw_json"))
+query("paged_fetch_ordered")(lambda t: landing.rows_of(fetched(t, "areaid"), "charging_capacity_raw").drop("raw_json"))
+query("paged_failures")(lambda t: landing.failed_pages(fetched(t, "areaid")).select("dataset", "part", "page_offset"))
+
+
+@query("stream_growing_pages")
+def stream_growing_pages(t: Inputs) -> DataFrame:
+    """A dataset that grows between two runs of the stream: each record arrives once."""
+    work = work_folder(t.spark, "growing")
+    base = plain_path(work)
+    for keys in ("areaid < '5'", "areaid >= '5'"):
+        found = t.charging_capacity.where(keys).select(
+            F.floor(F.col("areaid").cast("int") / PAGE).alias("page_offset"), F.to_json(F.struct("*")).alias("record"))
+        write_pages(found.groupBy("page_offset").agg(
+            F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("body")), f"{base}/capacity", keys[7])
+        pages = stream_pages(t.spark, "capacity", base=base, limit=PAGE, key="areaid", splits="2,4,7")
+        run(pages, lambda batch, batch_id: put_batch(
+            landing.rows_of(batch, "charging_capacity_raw").drop("raw_json"), f"{work}/rows", batch_id),
+            f"{work}/checkpoint").awaitTermination()
+    return read_batches(t.spark, f"{work}/rows").drop("batch_id")

@@ -14,7 +14,9 @@ from voltatlas.session import work_folder
 from voltatlas.plans.refresh import IncompleteLoad, refresh_all
 from voltatlas.sources import landing, versions
 from voltatlas.sources.lake import Lake, read_emissions, read_weather
-from voltatlas.sources.paged import DATASETS, PagedJsonReader, read_pages
+from voltatlas.sources.paged import (
+    DATASETS, PagedJsonReader, PagedJsonStreamReader, read_pages, stream_pages, stretch_filter)
+from voltatlas.streaming import sink
 from voltatlas.sources.schemas import EMISSIONS, RAW_TABLES, WEATHER_HOURLY
 
 
@@ -289,3 +291,59 @@ def test_work_folder(spark):
 
     with pytest.raises(ValueError):
         work_folder(Cluster, "status")
+
+
+def test_growing_pages_arrive_once(spark, tmp_path):
+    """Pages that appear later are read from the last key of each part on; a batch that is run again changes nothing."""
+    base, checkpoint, seen = tmp_path / "service", tmp_path / "c", str(tmp_path / "rows")
+    (base / "d").mkdir(parents=True)
+
+    def add(name: str, *keys) -> None:
+        (base / "d" / name).write_text(json.dumps([{"k": key, "n": f"{name}-{n}"} for n, key in enumerate(keys)]))
+
+    def run_once() -> list:
+        pages = stream_pages(spark, "d", base=str(base), key="k", splits="m", limit=3)
+        sink.run(pages, lambda batch, batch_id: sink.put_batch(landing.elements(batch).select(
+            landing.field(F.col("value"), "k").alias("k"), landing.field(F.col("value"), "n").alias("n")), seen, batch_id),
+            str(checkpoint)).awaitTermination()
+        return sorted(tuple(row) for row in sink.read_batches(spark, seen).select("k", "n").collect())
+
+    def all_of(*files: str) -> list:
+        return sorted((r["k"], r["n"]) for f in files for r in json.loads((base / "d" / f).read_text()) if r["k"] is not None)
+
+    add("a.json", "b", "c", "c", "c", "c", "c", "d", None, "q", "p")  # more records of a key than a page holds
+    assert run_once() == all_of("a.json")
+    add("b.json", "e", "f", "r", "d'e")
+    assert run_once() == all_of("a.json", "b.json")
+    assert run_once() == all_of("a.json", "b.json")
+    last = max((p for p in (checkpoint / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (checkpoint / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run_once() == all_of("a.json", "b.json")
+    add("c.json", "z", "k")
+    assert run_once() == all_of("a.json", "b.json", "c.json")
+    (base / "d" / "bad.json").write_text("no json")
+    with pytest.raises(Exception, match="JSONDecodeError"):
+        run_once()
+
+
+def test_filters_of_a_stretch():
+    assert stretch_filter("k", None, False, "x", "a") == "k >= 'a' and k <= 'x'"
+    assert stretch_filter("k", "b'c", False, "x", "a") == "k > 'b''c' and k <= 'x'"
+    assert stretch_filter("k", "b", True, "x", "a") == "k >= 'b' and k <= 'x'"
+    with pytest.raises(ValueError):
+        PagedJsonStreamReader({"dataset": "d"})
+
+
+def test_inventory_of_fields(spark):
+    """New fields, changed kinds, nested ones, records that are no objects, and fields that come back."""
+    rows = [("1", '{"a": 1, "b": "x"}'), ("1", '{"a": null}'), ("1", "[1]"), ("2", '{"a": 1.5, "c": {"d": [true]}}'), ("2", None),
+            ("3", '{"b": "y", "c": 5, "e": false}')]
+    records = spark.createDataFrame(rows, "load string, record string").withColumn("raw_json", F.parse_json("record"))
+    found = {tuple(row) for row in landing.field_inventory(records, "load").collect()}
+    assert found == {("1", "a", "integer", 1, True), ("1", "a", "null", 1, True), ("1", "b", "text", 1, True),
+                     ("2", "a", "decimal", 1, False), ("2", "c", "object", 1, True), ("3", "b", "text", 1, False),
+                     ("3", "c", "integer", 1, False), ("3", "e", "boolean", 1, True)}
+    types = {row.load_id: (row.n_records, row.record_type) for row in landing.record_types(records.where("load > '1'"), "load").collect()}
+    assert types["2"] == (2, "OBJECT<a: DECIMAL(2,1), c: OBJECT<d: ARRAY<BOOLEAN>>>")
+    assert types["3"] == (1, "OBJECT<b: STRING, c: BIGINT, e: BOOLEAN>")

@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 PAGE_SCHEMA = "dataset string, part int, page_offset bigint, body string, error string"
 
@@ -88,6 +88,61 @@ def fetch_keys_file(base: str, dataset: str, limit: int, key: str, low: str | No
         return page.read()
 
 
+def stretch_filter(key: str, after: str | None, inclusive: bool, upto: str, low: str) -> str:
+    """Rows of a part whose key comes after one seen (or is it, if inclusive), up to the last one of the batch."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    start = f"{key} >= {quoted(low)}" if after is None else f"{key} {'>=' if inclusive else '>'} {quoted(after)}"
+    return f"{start} and {key} <= {quoted(upto)}"
+
+
+def last_key_http(base: str, dataset: str, key: str, low: str, high: str | None, timeout: float) -> str | None:
+    """The greatest key of a part that the service has now."""
+    from urllib.parse import urlencode
+    from urllib.request import urlopen
+
+    query = {"$select": f"max({key}) as last", "$where": key_filter(key, low, high)}
+    with urlopen(f"{base}/{dataset}.json?{urlencode(query)}", timeout=timeout) as answer:
+        found = json.loads(answer.read().decode("utf-8"))
+    return found[0].get("last") if found else None
+
+
+def fetch_stretch_http(base: str, dataset: str, limit: int, key: str, after: str | None, inclusive: bool, upto: str, low: str,
+                       skip: int, timeout: float) -> str:
+    from urllib.parse import urlencode
+    from urllib.request import urlopen
+
+    query = {"$limit": limit, "$offset": skip, "$where": stretch_filter(key, after, inclusive, upto, low), "$order": f"{key},:id"}
+    with urlopen(f"{base}/{dataset}.json?{urlencode(query)}", timeout=timeout) as answer:
+        return answer.read().decode("utf-8")
+
+
+def records_in(base: str, dataset: str, key: str) -> Iterator[dict]:
+    """Records with the key in a folder of page files, each line of a file an array; for a dry run of a stream."""
+    import os
+
+    folder = f"{base}/{dataset}"
+    for name in sorted(os.listdir(folder)) if os.path.isdir(folder) else []:
+        if name[0] not in "._":
+            with open(f"{folder}/{name}", encoding="utf-8") as lines:
+                for line in lines:
+                    yield from (record for record in json.loads(line) if record.get(key) is not None)
+
+
+def last_key_file(base: str, dataset: str, key: str, low: str, high: str | None, timeout: float) -> str | None:
+    keys = (str(record[key]) for record in records_in(base, dataset, key))
+    return max((found for found in keys if found >= low and (high is None or found < high)), default=None)
+
+
+def fetch_stretch_file(base: str, dataset: str, limit: int, key: str, after: str | None, inclusive: bool, upto: str, low: str,
+                       skip: int, timeout: float) -> str:
+    def wanted(found: str) -> bool:
+        start = found >= low if after is None else found >= after if inclusive else found > after
+        return start and found <= upto
+
+    rows = sorted((record for record in records_in(base, dataset, key) if wanted(str(record[key]))), key=lambda r: str(r[key]))
+    return json.dumps(rows[skip:skip + limit])
+
+
 @dataclass
 class PageRun(InputPartition):
     offsets: list[int]
@@ -183,6 +238,75 @@ class PagedJsonReader(DataSourceReader):
                 skip += len(records)
 
 
+@dataclass
+class KeyStretch(InputPartition):
+    """Keys of a part that a batch reads: those after the last one seen, up to the last one there is."""
+
+    part: int
+    low: str
+    after: str | None
+    upto: str
+
+
+class PagedJsonStreamReader(DataSourceStreamReader):
+    """A dataset that grows, as a stream of pages: the offset is the last key seen of each part.
+
+    Keys that come later in the order of a part are read once each. A record
+    that turns up under a key that has been passed is not seen; a load that is replaced brings it.
+    Records without the key are not part of the stream.
+    """
+
+    def __init__(self, options: dict[str, str]) -> None:
+        self.pages = PagedJsonReader(options)
+        if not self.pages.key:
+            raise ValueError("a stream of pages needs the option key")
+        self.http = self.pages.base.startswith("http")
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        last_key, pages = last_key_http if self.http else last_key_file, self.pages
+        found = {}
+        for part, low, high in pages.key_parts():
+            if low is None:
+                continue
+            last, error = pages.attempt(lambda: last_key(pages.base, pages.dataset, pages.key, low, high, pages.timeout))
+            if error is not None:
+                raise OSError(error)  # an offset must not go back
+            if last is not None:
+                found[str(part)] = last
+        return found
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        lows = {str(part): low for part, low, _ in self.pages.key_parts()}
+        return [KeyStretch(int(part), lows[part], start.get(part), upto)
+                for part, upto in sorted(end.items()) if start.get(part) is None or start[part] < upto]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        fetch, pages = fetch_stretch_http if self.http else fetch_stretch_file, self.pages
+        after, inclusive, skip, seen = partition.after, False, 0, 0
+        while True:
+            where = (after, inclusive, partition.upto, partition.low, skip)
+            body, error = pages.attempt(lambda: fetch(pages.base, pages.dataset, pages.limit, pages.key, *where, pages.timeout))
+            if error is not None:
+                raise OSError(error)  # the batch is run again; nothing is passed over
+            records = json.loads(body)
+            if records:
+                yield pages.dataset, partition.part, seen, body, None
+            seen += len(records)
+            if len(records) < pages.limit:
+                return
+            last = str(records[-1][pages.key])
+            if inclusive and last == after:
+                skip += len(records)
+            else:
+                after, inclusive, skip = last, True, sum(str(record[pages.key]) == last for record in records)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class PagedJson(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -194,6 +318,9 @@ class PagedJson(DataSource):
     def reader(self, schema) -> PagedJsonReader:
         return PagedJsonReader(self.options)
 
+    def streamReader(self, schema) -> PagedJsonStreamReader:
+        return PagedJsonStreamReader(self.options)
+
 
 def read_pages(spark: SparkSession, dataset: str, **options: object) -> DataFrame:
     """Pages of a dataset, one row each."""
@@ -202,3 +329,12 @@ def read_pages(spark: SparkSession, dataset: str, **options: object) -> DataFram
     for key, value in options.items():
         reader = reader.option(key, str(value))
     return reader.load()
+
+
+def stream_pages(spark: SparkSession, dataset: str, **options: object) -> DataFrame:
+    """Pages of a dataset that grows, as a stream; ``key`` and ``splits`` say in which order and parts."""
+    spark.dataSource.register(PagedJson)
+    reader = spark.readStream.format("paged_json").option("dataset", dataset)
+    for key, value in options.items():
+        reader = reader.option(key, str(value))
+    return reader.load()
