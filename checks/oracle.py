@@ -447,6 +447,7 @@ READS |= {
     "refreshed_weather_emissions": READS["ev_weather_emissions"],
 }
 
+READS["visible_folders"], READS["weather_by_month_folders"] = READS["visible_rows"], READS["weather_monthly"]
 READS["stream_windowed_status"] = READS["stream_vehicle_status"]
 READS["observed_null_counts"] = READS["null_counts"] + """
 UNION ALL SELECT 'weather_hourly', NULL, 'row_count', count(*) FROM weather_hourly"""

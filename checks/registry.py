@@ -20,7 +20,7 @@ from voltatlas.operators.climate import HOME_COUNTRY, TOTAL_CO2, TRANSPORT_CO2
 from voltatlas.plans import dashboard, explore, refresh
 from voltatlas.session import work_folder
 from voltatlas.sources import landing, versions
-from voltatlas.sources.lake import Lake
+from voltatlas.sources.lake import Lake, read_weather, write_weather
 from voltatlas.sources.paged import read_pages, stream_pages
 from voltatlas.sources.schemas import RAW_TABLES
 from voltatlas.streaming import incremental, windows
@@ -225,6 +225,23 @@ WEATHER_CHECKED = ["time", "stationname", "temp", "precip_hour"]
 query("null_counts")(lambda t: quality.null_counts(t.weather_hourly, "weather_hourly", WEATHER_CHECKED))
 query("visible_rows")(lambda t: access.visible_rows(
     adoption.fuel_per_postcode(t.vehicles_by_postcode), F.left("postcode", F.lit(2)), t.permissions, "dealer3"))
+@query("visible_folders")
+def visible_folders(t: Inputs) -> DataFrame:
+    """The same rows from a table kept in folders by region."""
+    postcodes, folder = adoption.fuel_per_postcode(t.vehicles_by_postcode), work_folder(t.spark, "regions")
+    access.write_by_region(postcodes, F.left("postcode", F.lit(2)), folder)
+    kept = t.spark.read.schema(postcodes.schema.add(access.REGION, "string")).parquet(folder)
+    return access.visible_in_folders(kept, t.permissions, "dealer3")
+
+
+@query("weather_by_month_folders")
+def weather_by_month_folders(t: Inputs) -> DataFrame:
+    """The monthly pattern from weather kept in folders by month."""
+    folder = work_folder(t.spark, "weather")
+    write_weather(t.weather_hourly, folder)
+    return climate.weather_monthly(read_weather(t.spark, folder))
+
+
 query("masked_plates")(lambda t: access.masked(classified(t), "kenteken", is_admin=False))
 query("unmasked_plates")(lambda t: access.masked(classified(t), "kenteken", is_admin=True))
 query("dealer_extract")(lambda t: access.dealer_extract(infrastructure(t)))

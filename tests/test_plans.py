@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from checks.inputs import Inputs
-from tests.conftest import GIVEN
-from voltatlas.operators import adoption, climate, curated, fleet
+from tests.conftest import GIVEN, rows
+from voltatlas.operators import access, adoption, climate, curated, fleet
 from voltatlas.plans import explore
+from voltatlas.sources.lake import read_weather, write_weather
 
 FOLDER = f"{GIVEN}/sf0.001"
 BATCH = sorted(name for name in queries() if not name.startswith("stream_"))
@@ -101,3 +102,27 @@ def test_plates_join_by_shuffle_when_neither_side_is_small(spark, stored):
     finally:
         for key, value in keep.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def folders(df) -> str:
+    return "\n".join(line for line in plan(df).splitlines() if line.startswith("PartitionFilters"))
+
+
+def test_weather_by_month_reads_the_folders_asked_for(spark, stored, tmp_path):
+    write_weather(stored["weather_hourly"], str(tmp_path / "w"))
+    kept = read_weather(spark, str(tmp_path / "w"))
+    for model, year in ((climate.weather_monthly, 2020), (explore.weather_sample, 2024), (explore.weather_by_year, 2015)):
+        assert "time_month#" in folders(model(kept)) and f"{year}-01-01" in folders(model(kept))
+        assert rows(model(kept)) == rows(model(stored["weather_hourly"]))
+
+
+def test_permissions_prune_folders(spark, stored, tmp_path):
+    table = adoption.fuel_per_postcode(stored["vehicles_by_postcode"])
+    access.write_by_region(table, F.left("postcode", F.lit(2)), str(tmp_path / "r"))
+    kept = spark.read.schema(table.schema.add("region", "string")).parquet(str(tmp_path / "r"))
+    spark.createDataFrame([("d", "10"), ("d", "33"), ("e", "40")], "principal string, allowed_region string").write.parquet(
+        str(tmp_path / "p"))
+    permissions = spark.read.parquet(str(tmp_path / "p"))
+    seen = access.visible_in_folders(kept, permissions, "d")
+    assert "dynamicpruning" in folders(seen)
+    assert rows(seen) == rows(access.visible_rows(table, F.left("postcode", F.lit(2)), permissions, "d")) != []

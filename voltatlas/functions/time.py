@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Month labels.
@@ -22,6 +22,16 @@ def since_year(column: Column, year: int) -> Column:
     return column >= timestamp(datetime(year, 1, 1))
 
 
+#: Column of a table kept in folders by the month of its time.
+MONTH_OF = "time_month"
+
+
+def rows_since(table: DataFrame, year: int, column: str = "time") -> DataFrame:
+    """Rows of a year and later; of a table kept by month, only the folders of these months are read."""
+    rows = table.where(since_year(F.col(column), year))
+    return rows.where(F.col(MONTH_OF) >= F.lit(f"{year}-01-01").cast("date")) if MONTH_OF in table.columns else rows
+
+
 def before(as_of: datetime, **back: float) -> Column:
     """Literal ``as_of`` minus an interval, folded on the driver."""
     return timestamp(as_of - timedelta(**back))

@@ -26,6 +26,23 @@ def visible_rows(df: DataFrame, region: Column, permissions: DataFrame, principa
     return df.join(allowed, region == F.col("_allowed"), "left_semi")
 
 
+REGION = "region"
+
+
+def write_by_region(df: DataFrame, region: Column, folder: str) -> None:
+    """Keeps a table in folders by region, so that ``visible_rows`` reads the folders of a principal's regions only."""
+    df.withColumn(REGION, region).hint("rebalance", REGION).write.mode("overwrite").partitionBy(REGION).parquet(folder)
+
+
+def visible_in_folders(df: DataFrame, permissions: DataFrame, principal: str) -> DataFrame:
+    """What a principal may see of a table kept by region; the list prunes the folders while the query runs.
+
+    Folder names are text, whatever they look like: read the table with its schema, or regions such as
+    ``10`` come back as numbers and match nothing.
+    """
+    return visible_rows(df, F.col(REGION), permissions, principal).drop(REGION)
+
+
 def masked(df: DataFrame, column: str, is_admin: bool) -> DataFrame:
     """The column in clear for an administrator, a fixed mask for anybody else."""
     return df if is_admin else df.withColumn(column, F.lit(MASK))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltatlas.functions import (
-    climate_region_of_area, climate_region_of_station, percentage, ratio, round_half_up, since_year,
+    climate_region_of_area, climate_region_of_station, percentage, ratio, round_half_up, rows_since,
 )
 from voltatlas.operators.curated import region_sums
 
@@ -30,7 +30,7 @@ def weather_yearly(weather: DataFrame) -> DataFrame:
 
 def weather_monthly(weather: DataFrame, first_year: int = 2020) -> DataFrame:
     """Seasonal pattern over all years from ``first_year``; rain is scaled to a month of thirty."""
-    return weather.where(since_year(F.col("time"), first_year)).groupBy(F.month("time").alias("month")).agg(
+    return rows_since(weather, first_year).groupBy(F.month("time").alias("month")).agg(
         round_half_up(F.avg("temp"), 1).alias("avg_temp_c"),
         percentage(hours_below(0), F.count("*"), 1).alias("pct_freezing"),
         round_half_up(F.avg(F.coalesce("precip_hour", F.lit(0.0))) * 30, 0).alias("avg_monthly_precip_mm"),
@@ -89,7 +89,7 @@ def regional_weather_ev(weather: DataFrame, ev_by_region: DataFrame, first_year:
     The region's name comes from the adoption side, so a climate region
     without areas keeps its weather under a NULL name.
     """
-    climate = climate_by_region(weather.where(since_year(F.col("time"), first_year)))
+    climate = climate_by_region(rows_since(weather, first_year))
     adoption = adoption_by_region(ev_by_region)
     return climate.join(adoption, climate.climate_region == adoption.region, "left").select(
         "region", "evs", "total",

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltatlas.functions import round_half_up, since_year
+from voltatlas.functions import round_half_up, rows_since
 from voltatlas.operators.climate import HOME_COUNTRY, TOTAL_CO2, hours_below
 
 
@@ -52,7 +52,7 @@ def labelled_count(df: DataFrame, label: str) -> DataFrame:
 def weather_sample(weather: DataFrame, first_year: int = 2024, limit: int = 10) -> DataFrame:
     """First observations from a year on, under readable names."""
     return (
-        weather.where(since_year(F.col("time"), first_year))
+        rows_since(weather, first_year)
         .select(
             "time", "stationname",
             F.col("temp").alias("temperature_celsius"),
@@ -73,7 +73,7 @@ def stations(weather: DataFrame, with_position: bool = False, limit: int = 20) -
 
 def weather_by_year(weather: DataFrame, first_year: int = 2015) -> DataFrame:
     return (
-        weather.where(since_year(F.col("time"), first_year))
+        rows_since(weather, first_year)
         .groupBy(F.year("time").alias("year"))
         .agg(
             round_half_up(F.avg("temp"), 1).alias("avg_temp_celsius"),
@@ -86,7 +86,7 @@ def weather_by_year(weather: DataFrame, first_year: int = 2015) -> DataFrame:
 
 def coldest_stations(weather: DataFrame, first_year: int = 2020, limit: int = 10) -> DataFrame:
     return (
-        weather.where(since_year(F.col("time"), first_year))
+        rows_since(weather, first_year)
         .groupBy("stationname")
         .agg(
             round_half_up(F.avg("temp"), 1).alias("avg_temp"),

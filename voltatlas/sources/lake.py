@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from voltatlas.functions import MONTH_OF
 from voltatlas.sources import versions
 from voltatlas.sources.changes import TIMES, difference, with_times
 from voltatlas.sources.schemas import DAY_OF, EMISSIONS, LAYERS, RAW_TABLES, WEATHER_HOURLY
@@ -176,8 +177,19 @@ def _known_tables() -> list[tuple[str, str]]:
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """External hourly weather, under the column names the models use."""
-    return spark.read.parquet(path).select(*WEATHER_HOURLY.fieldNames())
+    """External hourly weather, under the column names the models use; of a table kept by month also the month."""
+    found = spark.read.parquet(path)
+    return found.select(*WEATHER_HOURLY.fieldNames(), *[name for name in (MONTH_OF,) if name in found.columns])
+
+
+def write_weather(weather: DataFrame, path: str) -> None:
+    """Keeps hourly weather in folders by month, so that reads from a year on leave out the folders before.
+
+    File statistics do not prune on times without a zone. Rows are dealt by month,
+    and a month with too many of them goes to several tasks.
+    """
+    months = weather.select(*WEATHER_HOURLY.fieldNames()).withColumn(MONTH_OF, F.trunc("time", "MM"))
+    months.hint("rebalance", MONTH_OF).write.mode("overwrite").partitionBy(MONTH_OF).parquet(path)
 
 
 def read_emissions(spark: SparkSession, path: str) -> DataFrame:
