@@ -77,7 +77,7 @@ def test_rows(spark):
     assert result(spark, [(1, None), (None, None)]) == Counter({(1, 0, 1, True): 1, (None, 0, None, False): 1})
 
 
-def test_wide_vectors_use_the_first_coordinates(spark, monkeypatch):
+def test_wide_vectors(spark, monkeypatch):
     monkeypatch.setattr(grid_join, "MOST_DIMENSIONS", 8)
     rows = clustered(6, 16)
     assert result(spark, rows) == brute(rows)
@@ -93,3 +93,18 @@ def test_given_embeddings(spark):
     table = spark.read.parquet(f"{GIVEN}/sf0.01/embeddings.parquet")
     rows = [(row.vec_id, row.embedding) for row in table.collect()]
     assert Counter(map(tuple, grid_join.near_copies(table).collect())) == brute(rows)
+
+
+def test_directions_of_wide_vectors(spark, monkeypatch):
+    """Beyond the width whose moments are gathered the same principal directions come from a block, and the result is the same."""
+    rng = np.random.default_rng(6)
+    base = np.linalg.qr(rng.standard_normal((40, 40)))[0]
+    x = (rng.standard_normal((300, 40)) * np.r_[np.linspace(3, 2, grid_join.DIRECTIONS), np.full(40 - grid_join.DIRECTIONS, 0.05)]) @ base.T
+    nodes = spark.createDataFrame([(row.tolist(),) for row in x], "vector array<double>")
+    whole = grid_join.directions(nodes, 40)
+    monkeypatch.setattr(grid_join, "MOST_DIMENSIONS", 8)
+    block = grid_join.directions(nodes, 40)
+    assert np.linalg.svd(whole.T @ block)[1].min() > 0.999  # the same space
+    assert grid_join.by_power(nodes.limit(0), 40).shape == (40, grid_join.DIRECTIONS)
+    rows = clustered(7, 16)
+    assert result(spark, rows) == brute(rows)

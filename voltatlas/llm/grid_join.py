@@ -41,8 +41,10 @@ BLOCK, BLOCK_BYTES, LEAF, FANOUT = 2_048, 2_000_000, 512, 4
 ROWS_PER_RANGE = 32_768
 #: Room for rounding where boxes are compared.
 SLACK = 1e-6
-#: Longest embedding whose second moments are gathered whole; beyond it the first coordinates make the grid.
+#: Longest embedding whose second moments are gathered whole; of longer ones a block of directions is.
 MOST_DIMENSIONS = 1024
+#: Columns of that block beyond the directions used, and how often it is multiplied.
+SPARE_DIRECTIONS, POWER_ROUNDS = 4, 3
 
 
 def vectors(rows: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 def directions(nodes: DataFrame, width: int) -> np.ndarray:
     """Leading principal directions of the unit vectors as columns; their signs are fixed."""
     if width > MOST_DIMENSIONS:
-        return np.eye(width)[:, :DIRECTIONS]
+        return by_power(nodes, width)
     moments, count = second_moments(nodes, width)
     mean = moments[0, 1:] / max(count, 1)
     values, found = np.linalg.eigh(moments[1:, 1:] / max(count, 1) - np.outer(mean, mean))
@@ -95,6 +97,40 @@ def directions(nodes: DataFrame, width: int) -> np.ndarray:
     return found * np.where(found[np.abs(found).argmax(0), np.arange(found.shape[1])] < 0, -1, 1)
 
 
+def by_power(nodes: DataFrame, width: int) -> np.ndarray:
+    """Leading principal directions of wide vectors, by products of their covariance with a block of a few columns.
+
+    Every task hands on sums of the block's size, so no matrix of the width's
+    square is made. Which directions come out changes the cost, never the result.
+    """
+    columns = DIRECTIONS + SPARE_DIRECTIONS
+    block = np.linalg.qr(np.random.default_rng(23).standard_normal((width, columns)))[0]
+    for _ in range(POWER_ROUNDS):
+        shared = nodes.sparkSession.sparkContext.broadcast(block)
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((width, columns + 1))  # the last column sums the vectors
+            count = 0
+            for batch in batches:
+                if batch.num_rows:
+                    x = unit(matrix(batch.column(0)))
+                    total[:, :-1] += x.T @ (x @ shared.value)
+                    total[:, -1] += x.sum(0)
+                    count += len(x)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(range(total.size + 1), pa.int32()), pa.array(np.append(total.ravel(), count))], ["at", "v"])
+
+        found = nodes.select("vector").mapInArrow(task, "at int, v double").groupBy("at").agg(
+            F.sum("v").alias("v")).toPandas().sort_values("at")["v"].to_numpy()
+        if not len(found) or not found[-1]:
+            break
+        whole, count = found[:-1].reshape(width, columns + 1), found[-1]
+        mean = whole[:, -1] / count
+        block = np.linalg.qr(whole[:, :-1] / count - np.outer(mean, mean @ block))[0]
+    found = block[:, :DIRECTIONS]
+    return found * np.where(found[np.abs(found).argmax(0), np.arange(found.shape[1])] < 0, -1, 1)
+
+
 def ordered(nodes: DataFrame, width: int, epsilon: float) -> DataFrame:
     """Nodes along the grid order: at (number in the order), vector, copies, least, place; written once.
 
