@@ -9,7 +9,7 @@ from voltatlas.llm import quality
 def test_passages_hold_the_whole_text():
     texts = ["", None, "a b", " ".join(["word"] * 100), " ".join(f"w{n}" for n in range(5000)), "\n"]
     x, number = quality.passages(texts)
-    assert number.tolist() == [1, 1, 1, 3, 32, 1]
+    assert number.tolist() == [1, 1, 1, 3, 105, 1]
     assert (x[0] == 0).all() and (x[1] == 0).all()
     per = np.expm1(x[:, len(quality.GROUPS) + 6] * 5)
     ends = np.cumsum(number)
@@ -28,14 +28,14 @@ def test_features_by_hand():
 def test_gradients():
     rng = np.random.default_rng(0)
     model = quality.Model(np.zeros(quality.FEATURES), np.ones(quality.FEATURES))
-    x, mask = quality.bags(rng.normal(size=(9, quality.FEATURES)), np.array([2, 3, 4]))
+    x, number = rng.normal(size=(9, quality.FEATURES)), np.array([2, 3, 4])
     y, share = np.array([1.0, 0.0, 1.0]), np.ones(3)
 
     def loss() -> float:
-        score = model.forward(x, mask)["score"]
+        score = model.forward(x, number)["score"]
         return -(y * np.log(score) + (1 - y) * np.log(1 - score)).sum()
 
-    for name, slope in model.gradients(x, mask, y, share).items():
+    for name, slope in model.gradients(x, number, y, share).items():
         flat = model.p[name].reshape(-1)
         for at in (0, len(flat) - 1):
             kept = flat[at]
@@ -47,6 +47,25 @@ def test_gradients():
             assert abs((up - down) / 2e-5 - slope.reshape(-1)[at]) < 1e-4, name
 
 
+def test_scores_like_a_plain_forward_pass():
+    """Each document on its own, passage by passage, as the gated attention is written down."""
+    texts = ["one passage only", " ".join(f"w{n % 50}" for n in range(700)) + " | $$$", ""]
+    x, number = quality.passages(texts)
+    model = quality.Model(x.mean(0), np.maximum(x.std(0), 1e-3))
+    start = 0
+    for score, count in zip(model.score(texts), number):
+        encoded, gates = [], []
+        for row in (x[start:start + count] - model.mean) / model.spread:
+            h = np.tanh(row @ model.p["e"] + model.p["eb"])
+            gate = np.tanh(h @ model.p["v"]) / (1 + np.exp(-(h @ model.p["u"])))
+            encoded.append(h)
+            gates.append(gate @ model.p["w"])
+        weight = np.exp(gates) / np.exp(gates).sum()
+        z = sum(w * h for w, h in zip(weight, encoded))
+        assert abs(1 / (1 + np.exp(-(z @ model.p["c"] + model.p["cb"][0]))) - score) < 1e-9
+        start += count
+
+
 def test_attention_finds_the_bad_passage():
     """Good and bad documents differ in one passage of many only."""
     good = " ".join(f"word{n}" for n in range(900))
@@ -54,8 +73,7 @@ def test_attention_finds_the_bad_passage():
     texts, y = [good[n:] for n in range(40)] + [bad[n:] for n in range(40)], np.repeat([1.0, 0.0], 40)
     x, number = quality.passages(texts)
     model = quality.Model(x.mean(0), np.maximum(x.std(0), 1e-3))
-    bags, mask = quality.bags((x - model.mean) / model.spread, number)
-    model.fit(bags, mask, y, np.ones(80))
+    model.fit((x - model.mean) / model.spread, number, y, np.ones(80))
     assert ((model.score(texts) >= 0.5) == (y == 1)).all()
 
 
@@ -81,7 +99,7 @@ def test_rows(spark):
 
 
 def test_passages_of_long_texts_stay_short():
-    x, number = quality.passages([" ".join(f"w{n}" for n in range(50_000)), "a b"], None)
+    x, number = quality.passages([" ".join(f"w{n}" for n in range(50_000)), "a b"])
     per = np.expm1(x[:, len(quality.GROUPS) + 6] * 5)
     assert number.tolist() == [1042, 1] and per[:1042].max() < 49 and round(per.sum()) == 50_002
 

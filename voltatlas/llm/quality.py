@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from voltatlas.llm.common import id_remainder, in_chunks, pick, spread_sample
 from voltatlas.llm.wordhash import words_of
 
-#: Passages where ``passages`` is not told otherwise, and words of a passage at most where their number is not bounded.
-PASSAGES, PASSAGE_WORDS = 32, 48
+#: Words of a passage at most.
+PASSAGE_WORDS = 48
 #: Bounds of what is learned from: documents of each label, and passages of a document, spread evenly over it.
 DOCUMENTS_PER_LABEL, LEARNED_PASSAGES = 3_000, 512
 HIDDEN, ROUNDS, RATE, BATCH = 16, 40, 0.01, 256
@@ -42,13 +42,10 @@ for _n, _letters in enumerate(GROUPS):
 _GROUP[128:] = len(GROUPS) + 1
 
 
-def passages(texts: list[str | None], most: int | None = PASSAGES) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages of the texts in order, and the number of passages of each text (at least one).
-
-    With ``most`` a longer text is cut into that many, longer passages; the operator passes None.
-    """
+def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all passages of the texts in order, and the number of passages of each text (at least one)."""
     words = words_of(texts, lower=False)
-    number = np.clip(-(-words.counts // PASSAGE_WORDS), 1, most)
+    number = np.maximum(-(-words.counts // PASSAGE_WORDS), 1)
     owner = np.repeat(np.arange(len(texts)), number)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
     begin = words.first[owner] + within * words.counts[owner] // number[owner]
@@ -95,10 +92,7 @@ class Model:
                   "u": draw(HIDDEN, HIDDEN), "w": draw(HIDDEN), "c": draw(HIDDEN), "cb": np.zeros(1)}
         self.constant: float | None = None
 
-    def forward(self, x: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
-        return self.forward_flat(x[mask], mask.sum(1))
-
-    def forward_flat(self, x: np.ndarray, number: np.ndarray) -> dict[str, np.ndarray]:
+    def forward(self, x: np.ndarray, number: np.ndarray) -> dict[str, np.ndarray]:
         """Passages of all documents one after the other; number has how many each document has, at least one."""
         p, first = self.p, np.cumsum(number) - number
         h = np.tanh(x @ p["e"] + p["eb"])
@@ -109,11 +103,8 @@ class Model:
         z = np.add.reduceat(weight[:, None] * h, first)
         return {"h": h, "a": a, "g": g, "weight": weight, "z": z, "score": sigmoid(z @ p["c"] + p["cb"][0])}
 
-    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
-        return self.gradients_flat(x[mask], mask.sum(1), y, share)
-
-    def gradients_flat(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
-        p, f, first = self.p, self.forward_flat(x, number), np.cumsum(number) - number
+    def gradients(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
+        p, f, first = self.p, self.forward(x, number), np.cumsum(number) - number
         error = (f["score"] - y) * share
         dz = np.repeat(error, number)[:, None] * p["c"]
         dweight = (dz * f["h"]).sum(1)
@@ -125,10 +116,7 @@ class Model:
         return {"e": x.T @ pre, "eb": pre.sum(0), "v": f["h"].T @ da, "u": f["h"].T @ dg,
                 "w": (ds[:, None] * f["a"] * f["g"]).sum(0), "c": f["z"].T @ error, "cb": np.array([error.sum()])}
 
-    def fit(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 5) -> None:
-        self.fit_flat(x[mask], mask.sum(1), y, share, seed)
-
-    def fit_flat(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 5) -> None:
+    def fit(self, x: np.ndarray, number: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 5) -> None:
         first = np.cumsum(number) - number
         rng = np.random.default_rng(seed)
         moments = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in self.p.items()}
@@ -140,7 +128,7 @@ class Model:
                 step += 1
                 own = number[rows]
                 at = np.arange(own.sum()) + np.repeat(first[rows] - np.cumsum(own) + own, own)
-                for name, slope in self.gradients_flat(x[at], own, y[rows], share[rows] / len(rows)).items():
+                for name, slope in self.gradients(x[at], own, y[rows], share[rows] / len(rows)).items():
                     one, two = moments[name]
                     slope = slope + 1e-4 * self.p[name]
                     one += 0.1 * (slope - one)
@@ -152,17 +140,8 @@ class Model:
             return np.full(len(texts), self.constant)
         if not texts:
             return np.empty(0)
-        x, number = passages(texts, None)
-        return self.forward_flat((x - self.mean) / self.spread, number)["score"]
-
-
-def bags(x: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Passages of each document side by side, and which places are taken."""
-    most = int(number.max()) if len(number) else 1
-    mask = np.arange(most)[None, :] < number[:, None]
-    out = np.zeros((len(number), most, x.shape[1]))
-    out[mask] = x
-    return out, mask
+        x, number = passages(texts)
+        return self.forward((x - self.mean) / self.spread, number)["score"]
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remainder: int = 0,
@@ -181,7 +160,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remai
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches):
-            x, number = passages(chunk.column(2).to_pylist(), None)
+            x, number = passages(chunk.column(2).to_pylist())
             parts = [part if len(part) <= LEARNED_PASSAGES else part[
                 np.arange(LEARNED_PASSAGES) * len(part) // LEARNED_PASSAGES] for part in np.split(x, np.cumsum(number)[:-1])]
             yield pa.RecordBatch.from_arrays([*chunk.columns[:2], pa.array([part.tobytes() for part in parts])],
@@ -204,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_remai
         model.constant = 0.99 if y[0] else 0.01
         return model
     weight = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
-    model.fit_flat((flat - model.mean) / model.spread, number, y, weight / weight.mean())
+    model.fit((flat - model.mean) / model.spread, number, y, weight / weight.mean())
     return model
 
 
