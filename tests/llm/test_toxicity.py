@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 from tests.llm.helpers import GIVEN, ODD, documents
@@ -24,6 +26,49 @@ def test_label_model_recovers_accuracies():
     assert abs(model.prior - 0.3) < 0.03
 
 
+def test_label_model_like_plain_expectation_maximisation():
+    """Document by document and voter by voter, with documents that have no label."""
+    rng = np.random.default_rng(5)
+    truth = (rng.random(200) < 0.4).astype(int)
+    votes = np.column_stack([np.where(rng.random(200) < p, 2 * truth - 1, 1 - 2 * truth) * (rng.random(200) < 0.8)
+                             for p in (0.9, 0.75, 0.65)]).astype(float)
+    y = np.where(rng.random(200) < 0.5, truth, -1)
+    share = np.where(y < 0, 0.7, np.where(y == 1, 1.0, 2.0))
+    model = toxicity.LabelModel(votes, y, share, rounds=4)
+    told = [0.0 if label < 0 else (1 if label else -1) * math.log(0.98 / 0.02) for label in y]
+    belief = [1 / (1 + math.exp(-t)) for t in told]
+    weights = [0.0 if label < 0 else w for label, w in zip(y, share)]
+    for _ in range(5):
+        rate = {}
+        for toxic in (0, 1):
+            part = [w * (b if toxic else 1 - b) for w, b in zip(weights, belief)]
+            for n in range(3):
+                for vote in (-1, 0, 1):
+                    rate[toxic, n, vote] = (sum(p for p, v in zip(part, votes[:, n]) if v == vote) + 0.5) / (sum(part) + 1.5)
+        prior = sum(w * b for w, b in zip(weights, belief)) / sum(weights)
+        means = {toxic: [rate[toxic, n, 1] - rate[toxic, n, -1] for n in range(3)] for toxic in (0, 1)}
+        left = [[votes[d, n] - belief[d] * means[1][n] - (1 - belief[d]) * means[0][n] for n in range(3)] for d in range(200)]
+        both = lambda a, b: sum(w * row[a] * row[b] for w, row in zip(weights, left)) / sum(weights)
+        alike = [[1.0 if a == b else both(a, b) / math.sqrt(both(a, a) * both(b, b)) for b in range(3)] for a in range(3)]
+        say = [1 / sum(c for c in (alike[a][b] for a in range(3)) if c > 0.2) for b in range(3)]
+        belief = [1 / (1 + math.exp(-(math.log(prior / (1 - prior)) + t + sum(
+            say[n] * math.log(rate[1, n, v] / rate[0, n, v]) for n, v in enumerate(row) if v)))) for row, t in zip(votes, told)]
+        weights = list(share)
+    assert np.allclose(model.belief, belief, atol=1e-6)
+    hidden = y < 0
+    assert ((model.belief[hidden] > 0.5) == (truth[hidden] == 1)).mean() > 0.75
+
+
+def test_unlabelled_documents_teach(spark, monkeypatch):
+    """A term that no labelled document holds is learned from unlabelled ones, where it comes with voters that are known."""
+    rows = [(n, ("you stupid scum " if n % 2 else "a calm garden day ") + f"w{n}", "en", "s") for n in range(80)]
+    rows += [(1000 + n, ("you stupid scum loser " if n % 2 else "a calm day ") + f"w{n}", "en", "s") for n in range(200)]
+    docs, marks = documents(spark, rows), labels(spark, [(n, n % 2) for n in range(80)])
+    with_others = toxicity.learn(docs, marks).score(["loser"])[0]
+    alone = toxicity.learn(docs.where("doc_id < 1000"), marks).score(["loser"])[0]
+    assert with_others > 2 * alone
+
+
 def test_finder_finds_words_and_beginnings():
     finder = toxicity.Finder(["scum", "idi*", "idiot"])
     assert finder("SCUM! idiot") == {0, 1, 2}

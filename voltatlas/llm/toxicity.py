@@ -3,10 +3,11 @@
 Voters are lexicons (a seed list per language, and words and word beginnings
 that a count over labelled documents finds) and patterns of form; each votes
 toxic, clean or not at all. A generative label model starts from the known
-labels and estimates, by expectation maximisation, how often each voter votes
+labels and estimates, by expectation maximisation over labelled and unlabelled documents,
+how often each voter votes
 what on toxic and on clean documents, and how voters depend on each other
 within a class; voters that say the same thing share one vote's weight, and a
-known label is a voter of stated accuracy. A
+known label is a voter of stated accuracy, which anchors the classes. A
 logistic regression over the presence of terms and patterns is trained on the
 posterior labels, so it also weighs terms that have no voter of their own.
 
@@ -42,6 +43,8 @@ SEEDS = {
 #: Bounds of what is learned from: documents of each label, terms, and terms with a voter of their own.
 DOCUMENTS_PER_LABEL, TERMS, OWN_VOTERS = 6_000, 400, 64
 GROUP_VOTERS = 8
+#: Unlabelled documents that enter the label model, and what they weigh together beside the labelled ones.
+UNLABELLED, UNLABELLED_WEIGHT = 4_000, 0.5
 #: How often a known label is taken to be right.
 LABEL_RIGHT = 0.98
 #: Lengths of word beginnings, and what a term needs: toxic documents, and their share of the documents that hold it.
@@ -147,16 +150,18 @@ class LabelModel:
     """How often each voter casts each vote on toxic and clean documents, and how far voters repeat each other.
 
     A known label counts as one more voter that is right as often as
-    ``LABEL_RIGHT``. A voter that does not vote says nothing.
+    ``LABEL_RIGHT``; a document without one (``y`` below zero) has the voters only, and comes
+    in once the labelled ones have given a first estimate. A voter that does not vote says nothing.
     """
 
     def __init__(self, votes: np.ndarray, y: np.ndarray, share: np.ndarray, rounds: int = 10):
-        told = np.where(y == 1, 1, -1) * math.log(LABEL_RIGHT / (1 - LABEL_RIGHT))
+        told = np.where(y == 1, 1, np.where(y == 0, -1, 0)) * math.log(LABEL_RIGHT / (1 - LABEL_RIGHT))
         belief = 1 / (1 + np.exp(-told))
+        self.estimate(votes, belief, np.where(y < 0, 0.0, share))
         for _ in range(rounds):
-            self.estimate(votes, belief, share)
             belief = self.posterior(votes, told)
-        self.belief = belief
+            self.estimate(votes, belief, share)
+        self.belief = self.posterior(votes, told)
 
     def estimate(self, votes: np.ndarray, belief: np.ndarray, share: np.ndarray) -> None:
         self.rates = {}
@@ -236,17 +241,27 @@ def mined_terms(few: DataFrame, label: str, scale: float) -> list[str]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_remainder: int = 0, divisor: int = 5) -> Model:
-    """Model from at most DOCUMENTS_PER_LABEL labelled documents of each label, spread over all ids."""
+    """Model from at most DOCUMENTS_PER_LABEL labelled documents of each label and UNLABELLED others, spread over all ids.
+
+    Together the unlabelled documents weigh UNLABELLED_WEIGHT times as much as the labelled ones, however many there are.
+    """
     known = pick(labels, "doc_id", label).where(
         F.col(label).isin(0, 1) & (id_remainder("doc_id", divisor) != held_remainder))
     total = {row[0]: row[1] for row in known.groupBy(label).count().collect()}
-    chosen = F.broadcast(spread_sample(known, label, DOCUMENTS_PER_LABEL))  # at most twice DOCUMENTS_PER_LABEL ids
-    few = pick(docs, "doc_id", "text").where("text is not null").join(chosen, "doc_id").select("doc_id", label, "text")
+    own = pick(docs, "doc_id", "text").where("text is not null")
+    bins = F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(UNLABELLED))
+    others = own.where(id_remainder("doc_id", divisor) != held_remainder).groupBy(bins.alias("bin")).agg(
+        F.min("doc_id").alias("doc_id")).select("doc_id").join(known.select("doc_id"), "doc_id", "left_anti")
+    chosen = F.broadcast(spread_sample(known, label, DOCUMENTS_PER_LABEL).select(F.col(label).cast("int").alias(label), "doc_id").union(
+        others.select(F.lit(-1).alias(label), "doc_id")))  # at most twice DOCUMENTS_PER_LABEL ids and UNLABELLED more
+    few = own.join(chosen, "doc_id").select("doc_id", label, "text")
     sampled = {row[0]: row[1] for row in few.groupBy(label).count().collect()}
+    n_others = sampled.pop(-1, 0)
     if len(sampled) < 2:
         return Constant({0: 0.01, 1: 0.99}[next(iter(sampled))] if sampled else 0.0)
     weight = {kind: total[kind] / sampled[kind] for kind in sampled}
-    terms = mined_terms(few, label, weight[0] / weight[1])
+    terms = mined_terms(few.where(F.col(label) >= 0), label, weight[0] / weight[1])
+    weight[-1] = UNLABELLED_WEIGHT * sum(total.values()) / max(n_others, 1)
     terms = [*terms, *(term for _, term in SEED_LIST)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +281,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_remaind
         "label", "doc_id").toPandas()
     y = found["label"].to_numpy()
     return Model(terms, [set(held) for held in found["held"]], np.array(found["forms"].tolist(), dtype=float),
-                 y, np.where(y == 1, weight[1], weight[0]).astype(float))
+                 y, np.select([y == 1, y == 0], [weight[1], weight[0]], weight[-1]).astype(float))
 
 
 def rate(docs: DataFrame, model: Model, least: float = 0.5, held_remainder: int = 0, divisor: int = 5) -> DataFrame:
