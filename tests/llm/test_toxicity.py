@@ -59,14 +59,18 @@ def test_label_model_like_plain_expectation_maximisation():
     assert ((model.belief[hidden] > 0.5) == (truth[hidden] == 1)).mean() > 0.75
 
 
-def test_unlabelled_documents_teach(spark, monkeypatch):
-    """A term that no labelled document holds is learned from unlabelled ones, where it comes with voters that are known."""
+def test_unlabelled_documents_enter_the_estimate(spark):
+    """A seed list that no labelled document speaks to gets its rate from unlabelled ones, where other voters go along with it."""
     rows = [(n, ("you stupid scum " if n % 2 else "a calm garden day ") + f"w{n}", "en", "s") for n in range(80)]
-    rows += [(1000 + n, ("you stupid scum loser " if n % 2 else "a calm day ") + f"w{n}", "en", "s") for n in range(200)]
+    rows += [(1000 + n, ("stupid scum trottel " if n % 2 else "a calm day ") + f"w{n}", "en", "s") for n in range(200)]
     docs, marks = documents(spark, rows), labels(spark, [(n, n % 2) for n in range(80)])
-    with_others = toxicity.learn(docs, marks).score(["loser"])[0]
-    alone = toxicity.learn(docs.where("doc_id < 1000"), marks).score(["loser"])[0]
-    assert with_others > 2 * alone
+    lists = list(toxicity.SEEDS)
+
+    def odds(model) -> float:
+        place = len(model.labels.weight) - 1 - sum(bool(vote) for _, _, vote in toxicity.FORMS) - len(lists) + lists.index("de")
+        return model.labels.rates[1][2][place] / model.labels.rates[0][2][place]
+
+    assert odds(toxicity.learn(docs, marks)) > 3 * odds(toxicity.learn(docs.where("doc_id < 1000"), marks))
 
 
 def test_finder_finds_words_and_beginnings():

@@ -16,7 +16,7 @@ from voltatlas.session import work_folder
 #: Whitespace that separates words: space and the controls tab to carriage return.
 SPACES = "\\x20\\x09-\\x0D"
 #: Rows handled before a Python task hands its output on, counted in characters of text.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 500_000
 
 
 #: Bytes of an Arrow batch. Spark counts batches in rows otherwise, and a row may hold a long text or a block of sets.

@@ -176,7 +176,7 @@ def keys(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 sig = signature(tokens) if len(tokens) else None
                 if sig is None or sig in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 seen.add(sig)
                 single, combined = keys_of(tokens, shared.value)

@@ -9,7 +9,7 @@ what on toxic and on clean documents, and how voters depend on each other
 within a class; voters that say the same thing share one vote's weight, and a
 known label is a voter of stated accuracy, which anchors the classes. A
 logistic regression over the presence of terms and patterns is trained on the
-posterior labels, so it also weighs terms that have no voter of their own.
+posterior labels of labelled documents, so it also weighs terms that have no voter of their own.
 
 Rows: a null or empty text has no terms and gets the score of such a text.
 Every input row gives one row, repeated rows included. A null id is neither held
@@ -106,7 +106,8 @@ class Model:
             presence[row, list(found)] = 1
         votes = voter_votes(presence, shapes, len(terms) - SEED_TERMS)
         self.labels = LabelModel(votes, y, share)
-        self.weights = logistic(np.hstack([presence, shapes]), self.labels.belief, share)
+        told = y >= 0  # the classifier learns from labelled documents; the others tell how far voters are right
+        self.weights = logistic(np.hstack([presence, shapes])[told], self.labels.belief[told], share[told])
         self.finder: Finder | None = None
 
     def __getstate__(self) -> dict:
