@@ -447,7 +447,6 @@ def event_records(t: Inputs) -> DataFrame:
 
 
 query("field_inventory")(lambda t: landing.field_inventory(event_records(t), "load_id"))
-query("record_types")(lambda t: landing.record_types(event_records(t), "load_id"))
 
 
 # --- fetched pages -------------------------------------------------------------------------
