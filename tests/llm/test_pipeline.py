@@ -75,7 +75,7 @@ def test_odd_rows(spark, name, stage):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == sorted(
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == sorted(
         queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)
 

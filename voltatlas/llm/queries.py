@@ -150,8 +150,8 @@ WITH pieces AS (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
 ), places AS (
   SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split
-), grams AS (
-  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+), grams AS MATERIALIZED (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, lang || chr(10) || phrase AS key, count(*) AS f
   FROM places, (VALUES (1), (2), (3)) s(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
 ), totals AS (
   SELECT lang, sum(f) AS n FROM grams WHERE size = 1 GROUP BY lang
@@ -168,7 +168,7 @@ WITH pieces AS (
 ), scores AS (
   SELECT u.lang, u.phrase, u.a, u.k, x.f AS l, y.f AS r,
          ((1000000::HUGEINT * u.a * u.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
-  FROM cuts u JOIN grams x ON x.lang = u.lang AND x.phrase = u.head JOIN grams y ON y.lang = u.lang AND y.phrase = u.rest
+  FROM cuts u JOIN grams x ON x.key = u.lang || chr(10) || u.head JOIN grams y ON y.key = u.lang || chr(10) || u.rest
 ), lowest AS (
   SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
 )
