@@ -347,3 +347,22 @@ def test_inventory_of_fields(spark):
     types = {row.load_id: (row.n_records, row.record_type) for row in landing.record_types(records.where("load > '1'"), "load").collect()}
     assert types["2"] == (2, "OBJECT<a: DECIMAL(2,1), c: OBJECT<d: ARRAY<BOOLEAN>>>")
     assert types["3"] == (1, "OBJECT<b: STRING, c: BIGINT, e: BOOLEAN>")
+
+
+def test_stretch_of_files_is_read_once(tmp_path, monkeypatch):
+    """A stretch of many pages from page files is read and ordered once, not once a page, and gives the same pages."""
+    from voltatlas.sources import paged
+    from voltatlas.sources.paged import KeyStretch, fetch_stretch_file
+
+    (tmp_path / "d").mkdir()
+    keys = [f"{n % 37:02d}" for n in range(100)]
+    (tmp_path / "d" / "a.json").write_text(json.dumps([{"k": key, "n": n} for n, key in enumerate(keys)]))
+    reads, records_in = [], paged.records_in
+    monkeypatch.setattr(paged, "records_in", lambda *args: reads.append(args) or records_in(*args))
+    reader = PagedJsonStreamReader({"dataset": "d", "base": str(tmp_path), "key": "k", "limit": "7"})
+    pages = list(reader.read(KeyStretch(0, "", "03", "30")))
+    assert len(reads) == 1
+    wanted = sorted(({"k": key, "n": n} for n, key in enumerate(keys) if "03" < key <= "30"), key=lambda r: r["k"])
+    assert [json.loads(page[3]) for page in pages] == [wanted[n:n + 7] for n in range(0, len(wanted), 7)]
+    assert [page[2] for page in pages] == list(range(0, len(wanted), 7))
+    assert json.loads(fetch_stretch_file(str(tmp_path), "d", 7, "k", "03", False, "30", "", 7, 60)) == wanted[7:14]

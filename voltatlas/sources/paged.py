@@ -135,12 +135,16 @@ def last_key_file(base: str, dataset: str, key: str, low: str, high: str | None,
 
 def fetch_stretch_file(base: str, dataset: str, limit: int, key: str, after: str | None, inclusive: bool, upto: str, low: str,
                        skip: int, timeout: float) -> str:
+    return json.dumps(stretch_in_files(base, dataset, key, after, inclusive, upto, low)[skip:skip + limit])
+
+
+def stretch_in_files(base: str, dataset: str, key: str, after: str | None, inclusive: bool, upto: str, low: str) -> list[dict]:
+    """Records of a stretch in the order of the key, read once from the page files, so its pages are slices of it."""
     def wanted(found: str) -> bool:
         start = found >= low if after is None else found >= after if inclusive else found > after
         return start and found <= upto
 
-    rows = sorted((record for record in records_in(base, dataset, key) if wanted(str(record[key]))), key=lambda r: str(r[key]))
-    return json.dumps(rows[skip:skip + limit])
+    return sorted((record for record in records_in(base, dataset, key) if wanted(str(record[key]))), key=lambda r: str(r[key]))
 
 
 @dataclass
@@ -284,7 +288,10 @@ class PagedJsonStreamReader(DataSourceStreamReader):
                 for part, upto in sorted(end.items()) if start.get(part) is None or start[part] < upto]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        fetch, pages = fetch_stretch_http if self.http else fetch_stretch_file, self.pages
+        if not self.http:
+            yield from self.read_files(partition)
+            return
+        fetch, pages = fetch_stretch_http, self.pages
         after, inclusive, skip, seen = partition.after, False, 0, 0
         while True:
             where = (after, inclusive, partition.upto, partition.low, skip)
@@ -303,6 +310,16 @@ class PagedJsonStreamReader(DataSourceStreamReader):
             else:
                 after, inclusive, skip = last, True, sum(str(record[pages.key]) == last for record in records)
 
+    def read_files(self, partition: InputPartition) -> Iterator[tuple]:
+        """The same pages from a folder of page files: the stretch is read and put in order once, not once a page."""
+        pages = self.pages
+        rows, error = pages.attempt(lambda: stretch_in_files(
+            pages.base, pages.dataset, pages.key, partition.after, False, partition.upto, partition.low))
+        if error is not None:
+            raise OSError(error)  # the batch is run again; nothing is passed over
+        for seen in range(0, len(rows), pages.limit):
+            yield pages.dataset, partition.part, seen, json.dumps(rows[seen:seen + pages.limit]), None
+
     def commit(self, end: dict) -> None:
         pass
 
