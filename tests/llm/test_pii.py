@@ -190,3 +190,33 @@ def test_numbers_of_many_groups_are_found(spark):
             for n in range(900)]
     found = {row.doc_id: row.spans for row in pii.find(documents(spark, rows + [(5001, text, "fr", "s")])).collect()}
     assert found[5001] == "phone:8:25,card:26:42"
+
+
+def test_few_examples_are_enough(spark):
+    """A small table, with fewer examples of each kind than stand alone in the calibrating fold, still gets what the patterns lose."""
+    more = [(5001, "call +1 (269) 555-3296 4012888888881881 now", "en", "s"), (5002, "4111111111111111 27.65.93.188 x", "en", "s"),
+            (5003, "clean text with 3 numbers, 1999 and 12 of them", "en", "s")]
+    for count in (60, 30):
+        docs = documents(spark, corpus()[:count] + more)
+        x, y, fold = pii.sample(docs)
+        for kind in range(len(pii.KINDS)):
+            assert 0 < ((x[:, kind] == 1) & (y == 1) & (fold == 1)).sum() < pii.LEAST_EXAMPLES
+        found = {row.doc_id: row for row in pii.find(docs).where("doc_id > 5000").collect()}
+        assert found[5001].spans == "phone:5:22,card:23:39" and found[5002].spans == "card:0:16,ip:17:29"
+        assert found[5003].spans == "" and found[5003].n_added == 0
+
+
+def test_a_kind_without_examples_gets_nothing():
+    """Few examples are held to the stricter threshold; a fold without a label takes all examples; no example, no span."""
+    rng = np.random.default_rng(1)
+    kinds, y = rng.integers(0, 3, 300), rng.integers(0, 2, 300).astype(float)
+    x = np.column_stack([*(kinds == kind for kind in range(4)), y + rng.normal(size=300) * 0.01]).astype(float)
+    fold = (np.arange(300) % 5 == 0).astype(int)
+    fold[kinds == 2] = 0  # examples to learn from, none to calibrate on
+    judge = pii.Judge(x, y, fold)
+    held = judge.score(x[fold == 1])
+    common = pii.in_the_gap(held, pii.threshold(held, y[fold == 1]))
+    assert judge.thresholds[2] == common < 1 and judge.thresholds[3] == 2.0
+    assert all(0.5 <= limit < 1 for limit in judge.thresholds[:3])
+    assert pii.Judge(x[:20], y[:20], np.zeros(20, int)).thresholds[0] < 1  # no document in the calibrating fold
+    assert pii.Judge(x, np.ones(300), fold).trees is None and pii.Judge(x[:0], y[:0], fold[:0]).trees is None
