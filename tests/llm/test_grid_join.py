@@ -108,3 +108,32 @@ def test_directions_of_wide_vectors(spark, monkeypatch):
     assert grid_join.by_power(nodes.limit(0), 40).shape == (40, grid_join.DIRECTIONS)
     rows = clustered(7, 16)
     assert result(spark, rows) == brute(rows)
+
+
+def test_block_pairs_are_not_shuffled(spark, monkeypatch):
+    """Blocks come to their pairs from the files, whatever the number of pairs; each pair once."""
+    monkeypatch.setattr(grid_join, "ROWS_PER_RANGE", 40)
+    rows = spark.createDataFrame([(vec_id, x) for vec_id, x in clustered(8, 16)], "vec_id bigint, vector array<float>")
+    axes = grid_join.directions(rows, 16)
+    blocks = grid_join.packed(grid_join.ordered(rows, axes, 0.3, 3), axes, 8)
+    found = [(row.at, len(row.vectors) // 64, row.copies) for row in blocks.orderBy("block").collect()]
+    assert [at for at, _, _ in found] == np.cumsum([0, *(count for _, count, _ in found[:-1])]).tolist() and len(found) > 10
+    assert sum(np.frombuffer(copies, np.int64).sum() for _, _, copies in found) == rows.count()
+    plan = grid_join.links(blocks, axes, 0.95, 0.3, "f4")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    pairs = [(a, b) for a in range(9) for b in range(a, 9)]
+    held = grid_join.partners(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted(tuple(sorted((row.block, other))) for row in held for other in row.others) == pairs
+
+
+def test_copies_over_batches(spark, monkeypatch):
+    """Equal vectors are one node also where Arrow batches part them, floats and doubles alike."""
+    rows = clustered(9, 4) + [(1000 + n, [1.0, 2.0, 3.0, 4.0]) for n in range(70)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert result(spark, rows) == brute(rows)
+        exact = [(vec_id, np.array(x, dtype=np.float32).astype(float).tolist()) for vec_id, x in rows]
+        wide = spark.createDataFrame(exact, "vec_id bigint, embedding array<double>")
+        assert Counter(map(tuple, grid_join.near_copies(wide).collect())) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

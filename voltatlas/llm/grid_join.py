@@ -8,6 +8,11 @@ intervals. Pairs of intervals are halved recursively; a pair whose boxes lie
 further apart than epsilon is dropped with all it contains. The blocks that
 remain are compared in double precision.
 
+The vectors are shuffled once, to sort them, and written once, as blocks. Tasks
+read the blocks of a pair from those files, as a cartesian product does, so
+the number of pairs takes time and no disk. Rows get their node's result
+by a digest of the vector, not by the vector.
+
 Equal vectors are one node with a count, so copies are never expanded. A
 block pair hands on, for each vector, how many vectors it links to, and only
 the links that a spanning forest of the pair needs.
@@ -20,14 +25,16 @@ nothing and has no component. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltatlas.llm.common import pick, stored
 from voltatlas.llm.graph import components
@@ -37,8 +44,10 @@ COSINE = 0.95
 DIRECTIONS = 8
 #: Vectors and bytes of a block, vectors compared by one product, and parts an interval is cut into.
 BLOCK, BLOCK_BYTES, LEAF, FANOUT = 2_048, 2_000_000, 512, 4
-#: Vectors sorted by one task.
-ROWS_PER_RANGE = 32_768
+#: Rows sorted by one task; one file of blocks holds them.
+ROWS_PER_RANGE = 8_192
+#: Bytes of the digest that names a vector.
+DIGEST = 16
 #: Room for rounding where boxes are compared.
 SLACK = 1e-6
 #: Longest embedding whose second moments are gathered whole; of longer ones a block of directions is.
@@ -48,9 +57,10 @@ SPARE_DIRECTIONS, POWER_ROUNDS = 4, 3
 
 
 def vectors(rows: DataFrame) -> DataFrame:
-    """vec_id and the vector as doubles; null where it links with nothing."""
+    """vec_id and the vector, floats as floats and all else as doubles; null where it links with nothing."""
+    kind = "float" if rows.schema["embedding"].dataType.elementType == T.FloatType() else "double"
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    value = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))  # a negative zero becomes zero
+    value = F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind))  # a negative zero becomes zero
     usable = F.col("embedding").isNotNull() & F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)
     return pick(rows, "vec_id", "embedding").select(
         "vec_id", F.when(F.coalesce(usable, F.lit(False)), value).alias("vector"))
@@ -62,7 +72,7 @@ def second_moments(nodes: DataFrame, width: int) -> tuple[np.ndarray, int]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width + 1, width + 1))
         for batch in batches:
-            x = unit(matrix(batch.column(0)))
+            x = unit(matrix(batch.column(0)).astype(float))
             x = np.hstack([np.ones((len(x), 1)), x])
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], ["at", "v"])
@@ -78,6 +88,31 @@ def matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def lists(x: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def digest(vector) -> bytes:
+    return hashlib.blake2b(vector, digest_size=DIGEST).digest()
+
+
+def keyed(own: DataFrame) -> DataFrame:
+    """vec_id and the digest of the vector; null for a row that links with nothing."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = memoryview(batch.column(1).flatten().to_numpy(zero_copy_only=False)).cast("B")
+            size = data.nbytes // max(1, pc.sum(pc.list_value_length(batch.column(1))).as_py() or 0)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy()) * size
+            keys = [digest(data[start:end]) if end > start else None
+                    for start, end in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["vec_id", "key"])
+
+    rows = own.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("vector")).alias("vector"))
+    return rows.mapInArrow(task, T.StructType([rows.schema["vec_id"], T.StructField("key", T.BinaryType())]))
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows at length one; scaled by the greatest component first, so that no square overflows."""
     if not x.size:
@@ -113,7 +148,7 @@ def by_power(nodes: DataFrame, width: int) -> np.ndarray:
             count = 0
             for batch in batches:
                 if batch.num_rows:
-                    x = unit(matrix(batch.column(0)))
+                    x = unit(matrix(batch.column(0)).astype(float))
                     total[:, :-1] += x.T @ (x @ shared.value)
                     total[:, -1] += x.sum(0)
                     count += len(x)
@@ -131,61 +166,98 @@ def by_power(nodes: DataFrame, width: int) -> np.ndarray:
     return found * np.where(found[np.abs(found).argmax(0), np.arange(found.shape[1])] < 0, -1, 1)
 
 
-def ordered(nodes: DataFrame, width: int, epsilon: float) -> DataFrame:
-    """Nodes along the grid order: at (number in the order), vector, copies, least, place; written once.
+def ordered(rows: DataFrame, axes: np.ndarray, epsilon: float, ranges: int) -> DataFrame:
+    """vector, copies and least along the grid order; equal vectors are neighbours, and ranges of the order tasks of their own.
 
-    Ranges of the order go to tasks of their own. A node's number is its number
-    within the range after the nodes of the ranges before, so no task sees
-    more than its range.
+    The rows of a batch that are equal go on as one, so a very common vector is no large key.
     """
-    shared = nodes.sparkSession.sparkContext.broadcast(directions(nodes, width))
+    kind = rows.schema["vector"].dataType.elementType.simpleString()
+    shared = rows.sparkSession.sparkContext.broadcast(axes)
 
     def place_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                place = unit(matrix(batch.column("vector"))) @ shared.value
+                x, ids = matrix(batch.column("vector")), batch.column("least").to_numpy(zero_copy_only=False)
+                known: dict[bytes, int] = {}
+                node = np.array([known.setdefault(row.tobytes(), len(known)) for row in x])
+                first = np.unique(node, return_index=True)[1]
+                least = ids[first]
+                np.minimum.at(least, node, ids)
+                x = x[first]
+                cells = np.floor(unit(x.astype(float)) @ shared.value / epsilon).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(list(place)), pa.array(list(np.floor(place / epsilon).astype(np.int32)))],
-                    [*batch.schema.names, "place", "cells"])
+                    [lists(x), pa.array(np.bincount(node)), pa.array(least), lists(cells)],
+                    ["vector", "copies", "least", "cells"])
+
+    grid = rows.select("vector", F.col("vec_id").cast("long").alias("least")).mapInArrow(
+        place_task, f"vector array<{kind}>, copies long, least long, cells array<int>")
+    return grid.repartitionByRange(ranges, "cells", "vector").sortWithinPartitions("cells", "vector")
+
+
+def packed(grid: DataFrame, axes: np.ndarray, block: int) -> DataFrame:
+    """One row per block of neighbours in the order: its number, its first node's number (at), the nodes' vectors, copies
+    and least ids, and the box of their places; written once.
+
+    Blocks end with their range. They and their nodes are numbered within the range after those of the ranges
+    before, so no task sees more than its range.
+    """
+    shared = grid.sparkSession.sparkContext.broadcast(axes)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, row, first = TaskContext.get().partitionId(), 0, 0
+        held = None
+
+        def made(x: np.ndarray, copies: np.ndarray, least: np.ndarray) -> pa.RecordBatch:
+            nonlocal row, first
+            place = unit(x.astype(float)) @ shared.value
+            row, first = row + 1, first + len(x)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([row - 1], pa.int64()), pa.array([first - len(x)], pa.int64()),
+                 pa.array([len(x)], pa.int64()), pa.array([x.tobytes()]), pa.array([copies.tobytes()]),
+                 pa.array([least.tobytes()]), lists(place.min(0)[None]), lists(place.max(0)[None])],
+                ["part", "row", "first", "nodes", "vectors", "copies", "least", "low", "high"])
 
-    def number_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, count = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows = np.arange(count, count + batch.num_rows)
-            count += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(rows), part, dtype=np.int32)), pa.array(rows)],
-                [*batch.schema.names, "part", "row"])
-
-    names = "vector array<double>, copies long, least bigint, place array<double>, cells array<int>"
-    grid = nodes.mapInArrow(place_task, names)
-    ranges = max(1, -(-nodes.count() // ROWS_PER_RANGE))
-    ranged = stored(grid.repartitionByRange(ranges, "cells", "vector").sortWithinPartitions("cells", "vector").mapInArrow(
-        number_task, f"{names}, part int, row long"), "grid")
-    start, begins = 0, []
-    for row in ranged.groupBy("part").count().orderBy("part").collect():  # one row per range
-        begins.append((row["part"], start))
-        start += row["count"]
-    firsts = nodes.sparkSession.createDataFrame(begins, "part int, first long")
+            if batch.num_rows:
+                own = [matrix(batch.column("vector")), *(batch.column(name).to_numpy() for name in ("copies", "least"))]
+                x, copies, least = own if held is None else (np.concatenate(both) for both in zip(held, own))
+                begins = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(1)))  # of equal vectors
+                x, copies, least = x[begins], np.add.reduceat(copies, begins), np.minimum.reduceat(least, begins)
+                done = (len(x) - 1) // block * block  # the last vector may go on in the next batch
+                for n in range(0, done, block):
+                    yield made(x[n:n + block], copies[n:n + block], least[n:n + block])
+                held = x[done:], copies[done:], least[done:]
+        if held is not None:
+            yield made(*held)
+
+    ranged = stored(grid.select("vector", "copies", "least").mapInArrow(
+        task, "part int, row long, first long, nodes long, vectors binary, copies binary, least binary, "
+              "low array<double>, high array<double>"), "blocks")
+    begins, blocks, nodes = [], 0, 0
+    for row in ranged.groupBy("part").agg(F.count(F.lit(1)).alias("blocks"), F.sum("nodes").alias("nodes")).orderBy("part").collect():
+        begins.append((row["part"], blocks, nodes))  # one row per range
+        blocks, nodes = blocks + row["blocks"], nodes + row["nodes"]
+    firsts = grid.sparkSession.createDataFrame(begins, "part int, blocks long, before long")
     return ranged.join(F.broadcast(firsts), "part").select(
-        (F.col("first") + F.col("row")).alias("at"), "vector", "copies", "least", "place")
+        (F.col("blocks") + F.col("row")).alias("block"), (F.col("before") + F.col("first")).alias("at"),
+        "vectors", "copies", "least", "low", "high")
 
 
-def packed(grid: DataFrame, block: int) -> DataFrame:
-    """One row per block of neighbours in the order: their numbers, copies, unit vectors, places, and the box."""
+def nodes_of(blocks: DataFrame, kind: str, width: int) -> DataFrame:
+    """at, key (the vector's digest), copies and least of every node."""
+    row_bytes = width * np.dtype(kind).itemsize
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("at")
-        place = np.stack(rows["place"].to_numpy())
-        return pd.DataFrame({
-            "block": [rows["block"].iloc[0]], "at": [rows["at"].to_numpy(np.int64).tobytes()],
-            "copies": [rows["copies"].to_numpy(np.int64).tobytes()],
-            "vectors": [unit(np.stack(rows["vector"].to_numpy())).tobytes()], "places": [place.tobytes()],
-            "low": [place.min(0)], "high": [place.max(0)]})
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, vectors, copies, least in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+                data = memoryview(vectors.as_buffer())
+                keys = [digest(data[n:n + row_bytes]) for n in range(0, len(data), row_bytes)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(at, at + len(keys))), pa.array(keys, pa.binary()),
+                     *(pa.array(np.frombuffer(part.as_buffer(), np.int64)) for part in (copies, least))],
+                    ["at", "key", "copies", "least"])
 
-    return stored(grid.withColumn("block", F.floor(F.col("at") / block).cast("long")).groupBy("block").applyInPandas(
-        pack, "block long, at binary, copies binary, vectors binary, places binary, "
-              "low array<double>, high array<double>"), "blocks")
+    return blocks.select("at", "vectors", "copies", "least").mapInArrow(task, "at long, key binary, copies long, least long")
 
 
 def near_blocks(blocks: DataFrame, epsilon: float) -> DataFrame:
@@ -279,25 +351,35 @@ def roots(i: np.ndarray, j: np.ndarray, count: int) -> np.ndarray:
     return label
 
 
-def links(blocks: DataFrame, cosine: float, epsilon: float, width: int) -> DataFrame:
+def partners(pairs: DataFrame) -> DataFrame:
+    """Each block and the blocks it is compared with; of a pair either may hold the other, so that the lists are alike in length."""
+    even = F.pmod(F.col("a") + F.col("b"), F.lit(2)) == 0
+    return pairs.groupBy(F.when(even, F.col("a")).otherwise(F.col("b")).alias("block")).agg(
+        F.collect_list(F.when(even, F.col("b")).otherwise(F.col("a"))).alias("others"))
+
+
+def links(blocks: DataFrame, axes: np.ndarray, cosine: float, epsilon: float, kind: str) -> DataFrame:
     """at, links (linked vectors, copies counted) and root (a node of the same component), per block pair and node."""
+    width = len(axes)
+    shared = blocks.sparkSession.sparkContext.broadcast(axes)
+    near = stored(partners(near_blocks(blocks, epsilon)), "partners")
     side = lambda name: blocks.select(F.col("block").alias(name), *(
-        F.col(c).alias(f"{c}_{name}") for c in ("at", "copies", "vectors", "places")))
-    both = near_blocks(blocks, epsilon).join(side("a"), "a").join(side("b"), "b")
+        F.col(c).alias(f"{c}_{name}") for c in ("at", "copies", "vectors")))
+    held = side("a").join(near.withColumnRenamed("block", "a"), "a")
+    both = held.join(side("b").hint("shuffle_replicate_nl"), F.array_contains("others", F.col("b"))).drop("others")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 get = lambda name, kind: np.frombuffer(batch.column(name)[row].as_buffer(), dtype=kind)
-                at_a, at_b = get("at_a", np.int64), get("at_b", np.int64)
-                x, y = (get(f"vectors_{name}", float).reshape(-1, width) for name in "ab")
-                p, q = (get(f"places_{name}", float).reshape(len(block), -1) for name, block in (("a", x), ("b", y)))
+                x, y = (unit(get(f"vectors_{name}", kind).reshape(-1, width).astype(float)) for name in "ab")
                 same = batch.column("a")[row].as_py() == batch.column("b")[row].as_py()
-                i, j = Tile(cosine, epsilon, (x, p), (y, q), same).pairs()
+                i, j = Tile(cosine, epsilon, (x, x @ shared.value), (y, y @ shared.value), same).pairs()
                 if not len(i):
                     continue
                 copies = np.concatenate([get("copies_a", np.int64), get("copies_b", np.int64)])
-                at, j = np.concatenate([at_a, at_b]), j if same else j + len(at_a)
+                at = np.concatenate([batch.column(f"at_{name}")[row].as_py() + np.arange(len(z)) for name, z in (("a", x), ("b", y))])
+                j = j if same else j + len(x)
                 count = np.bincount(i, copies[j], len(at)) + np.bincount(j, copies[i], len(at))
                 root = roots(i, j, len(at))
                 some = np.flatnonzero(count)
@@ -312,30 +394,30 @@ def near_copies(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
     own = vectors(rows)
+    kind = "f4" if own.schema["vector"].dataType.elementType == T.FloatType() else "f8"
     usable = own.where("vector is not null and vec_id is not null")
-    whole = usable.groupBy("vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
     known = None
-    for row in usable.select(F.size("vector").alias("width")).distinct().orderBy("width").collect():  # mostly one
+    for row in usable.groupBy(F.size("vector").alias("width")).count().orderBy("width").collect():  # mostly one
         width = row["width"]
-        nodes = stored(whole.where(F.size("vector") == width).withColumn("least", F.col("least").cast("long")), "nodes")
-        grid = stored(ordered(nodes, width, epsilon), "order")
+        whole = usable.where(F.size("vector") == width)
+        axes = directions(whole, width)
         block = max(64, min(BLOCK, BLOCK_BYTES // (8 * width)))
-        linked = stored(links(packed(grid, block), cosine, epsilon, width), "links")
+        blocks = packed(ordered(whole, axes, epsilon, -(-row["count"] // ROWS_PER_RANGE)), axes, block)
+        linked = stored(links(blocks, axes, cosine, epsilon, kind), "links")
         joined = components(linked.select(F.col("at").alias("a"), F.col("root").alias("b")))
         counts = linked.groupBy("at").agg(F.sum("links").alias("links"))
-        named = grid.select("at", "vector", "copies", "least").join(
-            joined.withColumnRenamed("node", "at"), "at", "left").join(counts, "at", "left").withColumn(
-            "component", F.coalesce("component", "at"))
+        # A vector without links or copies is its own component, so it needs no row.
+        named = nodes_of(blocks, kind, width).join(
+            joined.withColumnRenamed("node", "at"), "at", "left").join(counts, "at", "left").where(
+            "component is not null or copies > 1").withColumn("component", F.coalesce("component", "at"))
         least = named.groupBy("component").agg(F.min("least").alias("component_id"))
         part = named.join(least, "component").select(
-            "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+            "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
         known = part if known is None else known.union(part)
     if known is None:
         return own.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias(
             "component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    # A row without an id is left out of the join's right side by a key that no vector has.
-    key = F.when(F.col("vec_id").isNotNull(), F.col("vector"))
-    found = own.withColumn("vector", key).join(stored(known, "named"), "vector", "left").select(
+    found = keyed(own).join(stored(known, "named"), "key", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", F.col("vec_id").cast("long")).alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
