@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -117,3 +118,24 @@ def test_long_text(spark):
     found = mined(documents(spark, [(1, text, "en", "a")]))
     assert {row[2] for row in found} >= {"one two three", "four one two"} and found[0][6] == 240_002
     assert plain_rows(phrases.mine(documents(spark, [(1, text, "en", "a")]), least=10 ** 6)) == []
+
+
+def test_filter_comes_to_the_driver_in_bytes(spark):
+    """The table holds both bits of each pair and no others; the driver makes no object for each of its words."""
+    made = spark.range(400_000).selectExpr("xxhash64(id) as pair")
+    pairs = np.array([row.pair for row in made.collect()], dtype=np.int64).view(np.uint64)
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")  # a session that build_session has not set up
+    tracemalloc.start()
+    try:
+        table = phrases.pair_filter(made)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    assert len(table) == 1 << 17 and most < 8_000_000
+    expected = np.zeros(len(table), dtype=np.uint64)
+    for place in (pairs, pairs >> np.uint64(32)):
+        place = place & np.uint64(64 * len(table) - 1)
+        np.bitwise_or.at(expected, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    assert (table == expected).all() and phrases.passes(table, pairs).all()
+    assert not phrases.pair_filter(made.limit(0)).any()

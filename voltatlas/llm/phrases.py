@@ -43,6 +43,8 @@ LEAST, HIDDEN_BY, FIRST = 10, 50, 2000
 BYTES_AT_ONCE, PAIRS_AT_ONCE, ROWS_AT_ONCE = 4_000_000, 4_000_000, 300_000
 #: Bits of the pair filter: so many for each frequent pair, within these bounds. A full filter keeps more pairs, and changes no count.
 BITS_PER_PAIR, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+#: Words of 64 bits of the filter that come to the driver as one row.
+WORDS_AT_ONCE = 8_192
 #: One node in so many ends a path whatever its edges.
 PATH_ENDS = 128
 #: Parts a language's candidates are first ranked in.
@@ -129,14 +131,26 @@ def frequent_pairs(docs: DataFrame, least: int) -> DataFrame:
 
 
 def pair_filter(pairs: DataFrame) -> np.ndarray:
-    """A bit table with two bits set for each pair: at most MOST_BITS bits, whatever the number of pairs."""
+    """A bit table with two bits set for each pair: at most MOST_BITS bits, whatever the number of pairs.
+
+    Tasks put its words together to stretches of bytes, so the driver holds the table and one partition's stretches, and no row per word.
+    """
     bits = min(max(LEAST_BITS, 1 << (BITS_PER_PAIR * pairs.count()).bit_length()), MOST_BITS)
+    table = np.zeros(bits // 64, dtype=np.uint64)
+    size = min(WORDS_AT_ONCE, len(table))
+
+    def task(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        words = np.zeros(size, dtype=np.uint64)
+        words[rows["word"].to_numpy() % size] = rows["bits"].to_numpy().view(np.uint64)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([words.tobytes()], pa.binary())})
+
     both = F.explode(F.array(F.col("pair").bitwiseAND(F.lit(bits - 1)),
                              F.shiftrightunsigned("pair", 32).bitwiseAND(F.lit(bits - 1))))
     found = pairs.select(both.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toPandas()
-    table = np.zeros(bits // 64, dtype=np.uint64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+        F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).groupBy(
+        F.floor(F.col("word") / size).cast("long").alias("part")).applyInArrow(task, "part long, words binary")
+    for row in stored(found, "filter").toLocalIterator():
+        table[row["part"] * size:(row["part"] + 1) * size] = np.frombuffer(row["words"], dtype=np.uint64)
     return table
 
 
